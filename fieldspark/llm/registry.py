@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import line_dedup
+from fieldspark.llm import decontaminate, line_dedup
 
 QUERIES = {
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_line_dedup": line_dedup.op7_line_dedup,
 }
 SQL = {
+    "op4_decontaminate": decontaminate.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
 }
