@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
+from fieldspark.llm import bpe, decontaminate, html_text, language_id, line_dedup, ngram_join
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_bpe": bpe.op2_bpe,
     "op3_language_id": language_id.op3_language_id,
+    "op5_html_text": html_text.op5_html_text,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_line_dedup": line_dedup.op7_line_dedup,
 }
