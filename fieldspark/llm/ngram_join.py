@@ -30,7 +30,7 @@ from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
 #: Sets, and tokens, of one block of a cell.
-BLOCK_SETS, BLOCK_TOKENS = 128, 4_000_000
+BLOCK_SETS, BLOCK_TOKENS = 1024, 2_000_000
 #: Ids of documents in cells that are broadcast to fetch those documents' sets; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Ratio of the bounds of a size range at least, and deals tried for a set that fills too few buckets.

@@ -71,11 +71,29 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a)) if len(b) else 0
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Tokens common to each two of ``sets``, as a matrix: products of 0/1 matrices over a few thousand tokens each."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = often > 1  # a token of one set alone is in no overlap
+    keep = shared[ids]
+    rows, ids = rows[keep], (np.cumsum(shared) - 1)[ids[keep]]
+    order = np.argsort(ids, kind="stable")
+    rows, ids = rows[order], ids[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(ids, (low, low + 4096))
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[rows[a:b], ids[a:b] - low] = 1
+        out += has @ has.T
+    return out.astype(np.int64)
+
+
 def forest(sets: list[np.ndarray], percent: int, skip: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the same sets as all links do: pairs with 100 * overlap >= percent * union.
 
     A pair whose sets are joined by earlier links is not looked at again. ``skip``: labels; sets of one label count as
-    joined from the start.
+    joined from the start. Where the tree leaves many pairs a set, their overlaps are counted all at once.
     """
     root = list(range(len(sets)))
 
@@ -85,17 +103,25 @@ def forest(sets: list[np.ndarray], percent: int, skip: np.ndarray | None = None)
             i = root[i]
         return i
 
+    left, right = SignatureTree(sets).candidates(percent)
     if skip is not None:
         seen: dict = {}
         for i, label in enumerate(skip.tolist()):
             root[i] = seen.setdefault(label, i)
+        apart = skip[left] != skip[right]
+        left, right = left[apart], right[apart]
+    checked = len(left) > 32 * len(sets)
+    if checked:
+        size = np.array([len(s) for s in sets])
+        both = overlaps(sets)[left, right]
+        linked = 100 * both >= percent * (size[left] + size[right] - both)
+        left, right = left[linked], right[linked]
     out = []
-    left, right = SignatureTree(sets).candidates(percent)
     for i, j in zip(left.tolist(), right.tolist()):
         a, b = find(i), find(j)
         if a != b:
-            both = overlap(sets[i], sets[j])
-            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            both = 0 if checked else overlap(sets[i], sets[j])
+            if checked or 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 root[max(a, b)] = min(a, b)
                 out.append((i, j))
     return out
