@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import bpe, decontaminate, html_text, language_id, line_dedup, ngram_join
+from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, line_dedup, ngram_join
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": language_id.op3_language_id,
     "op5_html_text": html_text.op5_html_text,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op6_fingerprints": fingerprints.op6_fingerprints,
     "op7_line_dedup": line_dedup.op7_line_dedup,
 }
 SQL = {
