@@ -19,14 +19,14 @@ from pyspark.sql import types as T
 
 from fieldspark.llm.shared import table
 
-LEAF_CHARS = 16_384
+LEAF_CHARS = 32_768
 #: Code points before the end of a text in which what follows may still move a word bound: the longest added token, a
 #: contraction or a blank looked ahead for are all shorter.
 MARGIN = 16
 #: Tokens on each side of a join inside one long word in the first window; doubled while the sides disagree.
 FIRST_WINDOW = 4
 #: Space-separated units whose encodings one Python worker keeps, and the longest that it keeps.
-KEPT_UNITS, UNIT_CHARS = 200_000, 64
+KEPT_UNITS, UNIT_CHARS = 400_000, 64
 #: One space between characters that aren't white space: a word of the tokenizer begins there in every context.
 UNIT_BOUND = re.compile(r"(?<=\S) (?=\S)")
 
@@ -52,52 +52,58 @@ class TreeBpe:
         self.said = [self.lib.id_to_token(i) or "" for i in range(size)]
         own = {i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.bytes_of = np.array([len(s.encode()) if i in own else len(s) for i, s in enumerate(self.said)], np.int64)
-        self.units: dict[str, tuple[bytes, bytes, str]] = {}
+        self.units: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}  # units whose ids decode to another text
 
     # leaves
 
-    def _fill(self, units: set[str]) -> None:
-        if len(self.units) + len(units) > KEPT_UNITS:
-            self.units.clear()
-        todo = list(units)
-        found = self.lib.encode_batch(todo, add_special_tokens=False)
-        back = self.lib.decode_batch([e.ids for e in found], skip_special_tokens=False)
-        for unit, e, text in zip(todo, found, back):
-            words = np.array([-1, *(-2 if w is None else w for w in e.word_ids)], np.int64)
-            begins = (words[1:] != words[:-1]) | (words[1:] == -2)
-            self.units[unit] = np.array(e.ids, "<u4").tobytes(), begins.tobytes(), unit if text == unit else text
-
-    def encode(self, texts: list[str], begins: bool = False) -> list[tuple[bytes, bytes, str]]:
-        """(ids as little-endian 32-bit numbers, word beginnings as bytes, decoded text) of each text."""
-        cut = []
-        for text in texts:
-            head, *rest = UNIT_BOUND.split(text)
-            cut.append([head, *(" " + x for x in rest)])
-        out, own = [], {}
-        step = 64
-        for k in range(0, len(cut), step):
-            group = cut[k : k + step]
-            need = {u for units in group for u in units}
-            missing = {u for u in need if u not in self.units}
-            long = {u for u in missing if len(u) > UNIT_CHARS}
-            self._fill(missing - long if len(self.units) + len(missing) <= KEPT_UNITS else need - long)
-            own = dict(zip(long, self._long(long))) if long else {}
-            get = (lambda u: own.get(u) or self.units[u]) if own else self.units.__getitem__
-            for units in group:
-                got = [get(u) for u in units]
-                out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got]) if begins else b"", "".join([g[2] for g in got])))
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of texts that each begin with a space that is a word bound: encoded as one text and cut at their bytes."""
+        if not units:
+            return []
+        said = "".join(units)
+        ids = np.array(self.lib.encode(said, add_special_tokens=False).ids, "<u4")
+        ends = np.cumsum(self.bytes_of[ids])
+        cut = np.searchsorted(ends, np.cumsum([len(u.encode()) for u in units])) + 1
+        if self.lib.decode(ids.tolist(), skip_special_tokens=False) != said:
+            self.odd |= {u: d for u in units if (d := self.decode(np.array(self.lib.encode(u, add_special_tokens=False).ids, "<u4").tobytes())) != u}
+        raw, a = ids.tobytes(), 0
+        out = []
+        for b in cut.tolist():
+            out.append(raw[4 * a : 4 * b])
+            a = b
         return out
 
-    def _long(self, units: set[str]) -> list[tuple[bytes, bytes, str]]:
-        kept = self.units
-        self.units = {}
-        self._fill(units)
-        found, self.units = [self.units[u] for u in units], kept
-        return found
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """(ids as little-endian 32-bit numbers, decoded text) of each text; each different unit is encoded once."""
+        out, kept = [], self.units
+        for k in range(0, len(texts), 256):
+            cut = [UNIT_BOUND.split(text) for text in texts[k : k + 256]]
+            heads = [np.array(self.lib.encode(c[0], add_special_tokens=False).ids, "<u4").tobytes() for c in cut]
+            need = set().union(*(c[1:] for c in cut))
+            missing = [u for u in need if u not in kept]
+            own = dict(zip(missing, self._units([" " + u for u in missing])))
+            if len(kept) + len(own) > KEPT_UNITS:
+                own |= {u: kept[u] for u in need if u in kept}
+                kept.clear()
+            long = {u for u in own if len(u) > UNIT_CHARS}
+            kept.update(own)
+            for text, head, (first, *rest) in zip(texts[k : k + 256], heads, cut):
+                back = text
+                if self.odd or not self._returns(first, head):
+                    back = self.decode(head) + "".join(self.odd.get(" " + u, " " + u) for u in rest)
+                out.append((head + b"".join([kept[u] for u in rest]), back))
+            for u in long:
+                del kept[u]
+        return out
+
+    def _returns(self, text: str, ids: bytes) -> bool:
+        return self.decode(ids) == text
 
     def leaf(self, text: str) -> Encoded:
-        ids, begins, _ = self.encode([text], begins=True)[0]
-        return Encoded(text, np.frombuffer(ids, "<u4"), np.frombuffer(begins, bool))
+        found = self.lib.encode(text, add_special_tokens=False)
+        words = np.array([-1, *(-2 if w is None else w for w in found.word_ids)], np.int64)
+        return Encoded(text, np.array(found.ids, "<u4"), (words[1:] != words[:-1]) | (words[1:] == -2))
 
     # joins
 
@@ -232,7 +238,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEA
         bpe = _tokenizer(path)
         for batch in batches:
             found = bpe.encode([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[2] for f in found], pa.string())], ["row", "text", "token_ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], ["row", "text", "token_ids", "decoded"])
 
     def halve(batches):
         for batch in batches:
@@ -247,8 +253,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEA
     def encode_leaves(batches):
         bpe = _tokenizer(path)
         for batch in batches:
-            found = bpe.encode(batch.column(2).to_pylist(), begins=True)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["rid", "part", "text", "ids", "begins"])
+            found = [bpe.leaf(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f.ids.tobytes() for f in found], pa.binary()), pa.array([f.begins.tobytes() for f in found], pa.binary())], ["rid", "part", "text", "ids", "begins"])
 
     def join_leaves(batches):
         bpe = _tokenizer(path)
