@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, line_dedup, ngram_join, token_counts
+from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, token_counts
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -12,9 +12,12 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_fingerprints": fingerprints.op6_fingerprints,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_license_scan": licenses.op8_license_scan,
+    "op9_lm_score": lm_score.op9_lm_score,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 SQL = {
+    "op8_license_scan": licenses.OP8_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
 }
