@@ -3,27 +3,66 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldspark.llm import line_dedup
-from fieldspark.llm.shared import table, written
+from fieldspark.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
+from fieldspark.llm.shared import table, within, written
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Ids of dropped near-duplicates that are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known: those that language ID rejects (no letters, or like none of the languages) go."""
+    models = language_id.fit(language_id.learning_rows(docs))
+    return language_id.predict(docs, models).where("not rejected").select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them share."""
+    """Documents without the lines that ten or more of them share; none goes, also where no line stays."""
     return line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1).select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that shingles of five words link at 0.8 or more, the one of the smallest id.
+
+    Documents without words, or without an id, are in no group and stay.
+    """
+    groups = ngram_join.jaccard_components(docs, words=5, percent=80)
+    dropped = written(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-duplicates")
+    return docs.join(F.broadcast(dropped) if within(dropped, BROADCAST_IDS) else dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages cover less than a twentieth of the words."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's tokens: their number, the ids' hash and the hash of the text that they decode to."""
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), bpe.default_path())
+    return out.select(
+        "doc_id", "lang", "source",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("token_ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
+    ("language ID", language_stage),
     ("line dedup", line_dedup_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("BPE encoding", encoding_stage),
 ]
+#: Components of near-duplicates and token ids are beyond SQL; tests compare ``run`` to a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = written(docs, f"stage-{k}")
