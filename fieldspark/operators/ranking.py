@@ -25,11 +25,12 @@ def top_by(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataF
 
 
 def best_value(df: DataFrame, keys: list[str], score: Column, value: str, name: str) -> DataFrame:
-    """One row per key with the ``value`` of the highest ``score``, the least value on ties, as a plain aggregate.
+    """One row per key with the ``value`` of the highest ``score``, the least value on ties and null scores last, as a plain
+    aggregate.
 
     Unlike ``first_by`` this is combined before the shuffle, so a key with a third of all rows costs one row per task.
     """
-    return df.groupBy(*keys).agg(F.min_by(value, F.struct((-score).alias("s"), F.col(value).alias("v"))).alias(name))
+    return df.groupBy(*keys).agg(F.min_by(value, F.struct(score.isNull().alias("n"), (-score).alias("s"), F.col(value).alias("v"))).alias(name))
 
 
 def primary_first(flag: Column) -> Column:
