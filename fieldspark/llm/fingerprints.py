@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -156,9 +157,16 @@ def likeness(one: str | Marks, other: str | Marks) -> float:
     return min(total / long, 1 - 1 / (2 * long))
 
 
+def _packed(batches):
+    for batch in batches:
+        said = [zlib.compress(t.encode(), 1) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said, pa.binary())], ["range", "id", "packed"])
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, next_text) where next is the document after this one in descending order of ids, the first after the
-    last; null texts are empty. Equal ids follow each other by their texts; null ids come last.
+    """(id, packed, next_packed) where next is the document after this one in descending order of ids, the first after
+    the last; packed is the zlib form of the text in UTF-8, since whole texts are shuffled; null texts are empty. Equal
+    ids follow each other in an order that only their texts decide; null ids come last.
 
     Ids (numbers) are cut into ranges at quantiles of their distribution, each range is ordered by itself, and the first
     text of each range goes to the range before it through a table of one row a range. Rows of one id are in one range.
@@ -169,21 +177,23 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     cuts = sorted({int(c) for c in cuts})
     if cuts:  # range 0 has the largest ids, the last one the null ids too
         below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("id")))
-        dealt = rows.withColumn("range", F.coalesce(F.lit(len(cuts)) - F.when(F.col("id").isNotNull(), below), F.lit(len(cuts))))
+        dealt = rows.select(F.coalesce(F.lit(len(cuts)) - F.when(F.col("id").isNotNull(), below), F.lit(len(cuts))).alias("range"), "id", "text")
     else:
-        dealt = rows.withColumn("range", F.lit(0))
-    order = Window.partitionBy("range").orderBy(F.col("id").desc_nulls_last(), F.col("text"))
-    ranged = dealt.select("*", F.lead(F.struct("text")).over(order).alias("after"))
+        dealt = rows.select(F.lit(0).alias("range"), "id", "text")
+    kind = T.StructType([T.StructField("range", T.IntegerType()), rows.schema["id"], T.StructField("packed", T.BinaryType())])
+    order = Window.partitionBy("range").orderBy(F.col("id").desc_nulls_last(), F.col("packed"))
+    ranged = dealt.mapInArrow(_packed, kind).select("*", F.lead(F.struct("packed")).over(order).alias("after"))
     tops = dealt.groupBy("range").agg(F.max("id").alias("top")).collect()  # a row a range
     if not tops:
-        return rows.select("id", "text", F.lit("").alias("next_text"))
+        return rows.select("id", F.lit(b"").alias("packed"), F.lit(b"").alias("next_packed"))
     present = sorted(r["range"] for r in tops)
     before = {present[(k + 1) % len(present)]: b for k, b in enumerate(present)}
     top = docs.sparkSession.createDataFrame([(r["range"], r["top"], before[r["range"]]) for r in tops], T.StructType([T.StructField("range", T.IntegerType()), T.StructField("top", rows.schema["id"].dataType), T.StructField("before", T.IntegerType())]))
-    first = dealt.join(F.broadcast(top), (dealt["range"] == top["range"]) & dealt["id"].eqNullSafe(top["top"])).groupBy("before").agg(F.min("text").alias("head"))
+    first = dealt.join(F.broadcast(top), (dealt["range"] == top["range"]) & dealt["id"].eqNullSafe(top["top"])).select(F.col("before").alias("range"), "id", "text")
+    first = first.mapInArrow(_packed, kind).groupBy(F.col("range").alias("before")).agg(F.min("packed").alias("head"))
     last = ranged.where("after is null")
-    last = last.join(F.broadcast(first), last["range"] == first["before"]).select("id", "text", F.col("head").alias("next_text"))
-    return ranged.where("after is not null").select("id", "text", F.col("after.text").alias("next_text")).unionByName(last)
+    last = last.join(F.broadcast(first), last["range"] == first["before"]).select("id", "packed", F.col("head").alias("next_packed"))
+    return ranged.where("after is not null").select("id", "packed", F.col("after.packed").alias("next_packed")).unionByName(last)
 
 
 COLUMNS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_start")
@@ -194,26 +204,27 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _compare(batches):
-    known: dict[str, tuple[str, Marks, PrefixHashes]] = {}
-
-    def of(text: str, keep: bool):
-        if text not in known:
-            h = PrefixHashes(_codes(text))
-            said = fingerprint(h)
-            if not keep:
-                return said, Marks(said), h
+    known: dict[bytes, tuple] = {}
+
+    def of(text: str) -> tuple:
+        h = PrefixHashes(_codes(text))
+        said = fingerprint(h)
+        return text, said, Marks(said), h
+
+    def unpacked(packed: bytes) -> tuple:
+        if packed not in known:  # most often the next text is the next row's own
             if len(known) > 2:
                 known.clear()
-            known[text] = said, Marks(said), h
-        return known[text]
+            known[packed] = of(zlib.decompress(packed).decode())
+        return known[packed]
 
     for batch in batches:
         out = []
-        for text, nxt in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for own, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            text, a, marks_a, whole_a = unpacked(own)
+            nxt, _, marks_c, _ = unpacked(other)
             n = len(text)
-            edited = text[: n - n // 2] + nxt[: n // 2]
-            (a, marks_a, whole_a), (b, marks_b, whole_b) = of(text, True), of(edited, False)
-            marks_c = of(nxt, True)[1]  # most often the next row's own text
+            edited, b, marks_b, whole_b = of(text[: n - n // 2] + nxt[: n // 2])
             out.append((n, hashlib.sha256(edited.encode()).hexdigest(), a, b, likeness(marks_a, marks_b), likeness(marks_a, marks_c), longest_common_extension(whole_a, 0, whole_b, 0)))
         columns = zip(*out) if out else [()] * len(COLUMNS)
         kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
