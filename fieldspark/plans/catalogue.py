@@ -107,11 +107,11 @@ def event_spells(t):
     return s.select("day", "user_id", "event_type", F.col("at").alias("began"), F.col("until").alias("ended"), (F.col("until") - F.col("at")).alias("seconds"))
 
 
-@query(_SPELLS + "select day, user_id, event_type, min(began) as first_second, max(ended) as last_second, sum(ended - began)::bigint as seconds, round(sum(ended - began) / nullif(max(day_end), 0)::double, 6) as share from s where ended > began group by all")
+@query(_SPELLS + "select day, user_id, event_type, min(began) as first_second, max(ended) as last_second, sum(ended - began)::bigint as seconds, sum(ended - began) / nullif(max(day_end), 0)::double as share from s where ended > began group by all")
 def spell_minutes_by_type(t):
     s = _event_spells(t).where("until > at").groupBy("day", "user_id", "event_type")
     out = s.agg(F.min("at").alias("first_second"), F.max("until").alias("last_second"), F.sum(F.col("until") - F.col("at")).alias("seconds"), F.max("day_end").alias("day_end"))
-    return out.select("day", "user_id", "event_type", "first_second", "last_second", "seconds", F.round(scalars.safe_ratio(F.col("seconds"), F.col("day_end").cast("double")), 6).alias("share"))
+    return out.select("day", "user_id", "event_type", "first_second", "last_second", "seconds", scalars.safe_ratio(F.col("seconds"), F.col("day_end").cast("double")).alias("share"))
 
 
 @query("""select event_id, (floor(clock / 10000) + 1)::bigint as period_id, clock % 10000 as within
@@ -160,9 +160,9 @@ part as (select sp.match_id, sp.match_id // 10 as iteration_id, case when rest =
 """
 
 
-@query(_PARTICIPATION + "select match_id, iteration_id, side, squad_id::bigint as squad_id, player_id, position, position_side, started, first_second::double as first_second, last_second::double as last_second, play_duration::double as play_duration, match_duration::double as match_duration, round(play_duration / nullif(match_duration, 0), 6) as match_share from part")
+@query(_PARTICIPATION + "select match_id, iteration_id, side, squad_id::bigint as squad_id, player_id, position, position_side, started, first_second::double as first_second, last_second::double as last_second, play_duration::double as play_duration, match_duration::double as match_duration, play_duration / nullif(match_duration, 0) as match_share from part")
 def participation_spells(t):
-    return spells.participation(*_season(t)).withColumn("match_share", F.round("match_share", 6))
+    return spells.participation(*_season(t))
 
 
 def _positions(t):
@@ -180,9 +180,9 @@ def participation_by_position(t):
 
 
 @query(_POSITIONS + """select player_id, fixture_id, squad_id, season_id, bool_or(started) as started, sum(play_duration) as play_duration, max(match_duration) as match_duration,
-arg_min(position, struct_pack(d := -play_duration, p := position)) as dominant_position, round(sum(play_duration) / nullif(max(match_duration), 0), 6) as match_share from pos group by all""")
+arg_min(position, struct_pack(d := -play_duration, p := position)) as dominant_position, sum(play_duration) / nullif(max(match_duration), 0) as match_share from pos group by all""")
 def participation_by_fixture(t):
-    return spells.by_fixture(_positions(t)).withColumn("match_share", F.round("match_share", 6))
+    return spells.by_fixture(_positions(t))
 
 
 @query(_POSITIONS + """, f as (select player_id, season_id, fixture_id, max(started::int) as s, sum(play_duration) as d from pos group by all), m as (select player_id, season_id, position, sum(play_duration) as d from pos group by all)
@@ -196,12 +196,12 @@ def participation_by_season(t):
 # aggregates
 
 
-@query("""select l_suppkey, year(l_shipdate)::int as season, sum(l_extendedprice::decimal(18,2))::double as total, round((sum(l_extendedprice::decimal(18,2)) / count(l_extendedprice))::double, 4) as average,
+@query("""select l_suppkey, year(l_shipdate)::int as season, sum(l_extendedprice::decimal(18,2))::double as total, sum(l_extendedprice::decimal(18,2))::double / count(l_extendedprice) as average,
 count(distinct l_orderkey) as orders, sum(l_quantity::decimal(18,2))::double as quantity from lineitem group by all""")
 def season_rollup(t):
     price = exact("l_extendedprice")
     return t.lineitem.groupBy("l_suppkey", F.year("l_shipdate").alias("season")).agg(
-        F.sum(price).cast("double").alias("total"), F.round(F.sum(price).cast("double") / F.count("l_extendedprice"), 4).alias("average"), F.count_distinct("l_orderkey").alias("orders"), F.sum(exact("l_quantity")).cast("double").alias("quantity")
+        F.sum(price).cast("double").alias("total"), (F.sum(price).cast("double") / F.count("l_extendedprice")).alias("average"), F.count_distinct("l_orderkey").alias("orders"), F.sum(exact("l_quantity")).cast("double").alias("quantity")
     )
 
 
