@@ -33,6 +33,8 @@ AWAY_WORDS = frozenset(
     "sidebar side aside widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar toc "
     "footer foot header masthead topbar copyright legal disclaimer byline tags form hidden".split()
 )
+# Those of the words that also name page layouts around an article (a page "with sidebar").
+LAYOUT_WORDS = frozenset("sidebar side aside widget widgets header masthead footer foot nav navbar menu toolbar topbar share sharing social search tags form promo promoted popular related hidden".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tablist".split())
 
 MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -68,6 +70,9 @@ LABELLED = [
     (1, 0.0, 80, 0.0, 40, 0.0, 0, 0, 0, 1), (6, 0.0, 3, 1.0, 90, 0.0, 0, 0, 1, 1), (5, 0.0, 40, 0.0, 55, 0.0, 0, 0, 1, 1),
     (8, 0.0, -1, 0, 60, 0.0, 0, 0, 1, 1), (3, 0.0, 30, 0.0, 25, 0.0, 0, 0, 1, 1), (9, 0.0, 60, 0.0, 20, 0.0, 0, 0, 0, 1),
     (12, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (5, 0.0, -1, 0, 6, 0.0, 0, 0, 0, 1), (6, 0.0, 5, 0.0, -1, 0, 0, 0, 0, 1),
+    (1, 0.0, 14, 0.0, 15, 0.0, 0, 0, 0, 1), (3, 0.0, -1, 0, 14, 0.0, 0, 0, 1, 1), (4, 0.0, 12, 0.0, 13, 0.0, 0, 0, 0, 1),
+    (1, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (4, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (3, 0.0, -1, 0, 5, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 10, 0.0, -1, 0, 0, 0, 0, 1), (3, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 1), (16, 0.0, 3, 0.0, 40, 0.0, 0, 0, 0, 1),
     # pages that mark no article: the rest
     (4, 1.0, -1, 0, 5, 1.0, 0, 0, 0, 0), (5, 1.0, 4, 1.0, 3, 0.8, 0, 0, 0, 0), (3, 0.7, 5, 1.0, 60, 0.0, 0, 0, 0, 0),
     (20, 0.9, 40, 0.0, 15, 1.0, 0, 0, 0, 0), (15, 1.0, 20, 0.9, 8, 1.0, 0, 0, 0, 0), (30, 0.6, 20, 0.7, 12, 0.9, 0, 0, 0, 0),
@@ -118,17 +123,21 @@ def trained() -> DecisionTree:
 
 
 @lru_cache(maxsize=4096)
-def _is_away(tag: str, attributes: str) -> bool:
-    """Whether the tag, its role or a word of its class and id says that what is inside isn't the article."""
+def _away(tag: str, attributes: str) -> int:
+    """2 where the tag, its role or a word of its class and id says that what is inside isn't the article, 1 where only
+    words say so that may name a layout around it, else 0."""
     if tag in AWAY:
-        return True
+        return 2
+    words: set[str] = set()
     for name, value in ATTRIBUTES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-        if name == "role" and value.lower() in AWAY_ROLES or name in ("class", "id") and not AWAY_WORDS.isdisjoint(w.lower() for w in NAME_WORDS.findall(value)):
-            return True
-    return False
+            return 2
+        if name == "role" and value.lower() in AWAY_ROLES:
+            return 2
+        if name in ("class", "id"):
+            words |= AWAY_WORDS & {w.lower() for w in NAME_WORDS.findall(value)}
+    return 0 if not words else 1 if words <= LAYOUT_WORDS else 2
 
 
 def decoded(text: str) -> str:
@@ -141,7 +150,7 @@ def decoded(text: str) -> str:
 def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
     """(text, share of linked words, main, away, heading) of each text block, in page order; main: 1 inside, else 0."""
     out: list[tuple[str, float, int, int, int]] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, in an article, away
+    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, in an article, away
     parts: list[str] = []
     linked: list[str] = []
     in_link, heading, at, size = False, 0, 0, len(page)
@@ -153,7 +162,7 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             if words:
                 share = min(1.0, len(decoded(" ".join(linked)).split()) / len(words)) if linked else 0.0
                 _, main, away = stack[-1]
-                out.append((" ".join(words), share, int(main), int(away), heading))
+                out.append((" ".join(words), share, int(main), int(away > 0), heading))
             parts.clear()
             linked.clear()
 
@@ -203,9 +212,11 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
                 stack.pop()
             _, main, away = stack[-1]
             heading = int(tag in LEAVES and tag[0] == "h" and tag != "th")
+            if tag in MAIN and away == 1:
+                away = 0  # it was the layout around the article
             main = main or tag in MAIN
-            own = _is_away(tag, attributes) and not (tag == "header" and main)
-            stack.append((tag, main, away or (own and tag not in ("html", "body", "main"))))
+            own = 0 if tag in ("html", "body", "main") or tag == "header" and main else _away(tag, attributes)
+            stack.append((tag, main, max(away, own)))
     flush()
     return out
 

@@ -257,6 +257,7 @@ def test_html_text():
     got = html_text.main_text([page, None, "", bare, "<p>", "<script>x", "<!-- open"])
     assert got[0] == "Head & tail One bold word. Two lines Be. a &lt; b"
     assert got[1:3] == ["", ""] and got[4:] == ["", "", ""]
+    assert html_text.main_text(['<div class="page with-sidebar"><article class="post"><p>In.</p></article><div id=sidebar><p>Out.</p></div></div><div class="comments"><article><p>No.</p></article></div>']) == ["In."]
     assert got[3].startswith("Plain words") and "Short one." in got[3] and "Next page" not in got[3]
 
 
