@@ -168,8 +168,9 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     the last; packed is the zlib form of the text in UTF-8, since whole texts are shuffled; null texts are empty. Equal
     ids follow each other in an order that only their texts decide; null ids come last.
 
-    Ids (numbers) are cut into ranges at quantiles of their distribution, each range is ordered by itself, and the first
-    text of each range goes to the range before it through a table of one row a range. Rows of one id are in one range.
+    Ids (numbers) are cut into ranges at quantiles of their distribution and each range is ordered by itself. The first
+    text of each range also goes to the end of the range before it, so that the texts meet in one shuffle and no text is
+    broadcast. Rows of one id are in one range.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     ranges = min(MOST_RANGES, rows.count() // RANGE_ROWS)
@@ -181,8 +182,6 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     else:
         dealt = rows.select(F.lit(0).alias("range"), "id", "text")
     kind = T.StructType([T.StructField("range", T.IntegerType()), rows.schema["id"], T.StructField("packed", T.BinaryType())])
-    order = Window.partitionBy("range").orderBy(F.col("id").desc_nulls_last(), F.col("packed"))
-    ranged = dealt.mapInArrow(_packed, kind).select("*", F.lead(F.struct("packed")).over(order).alias("after"))
     tops = dealt.groupBy("range").agg(F.max("id").alias("top")).collect()  # a row a range
     if not tops:
         return rows.select("id", F.lit(b"").alias("packed"), F.lit(b"").alias("next_packed"))
@@ -190,10 +189,11 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     before = {present[(k + 1) % len(present)]: b for k, b in enumerate(present)}
     top = docs.sparkSession.createDataFrame([(r["range"], r["top"], before[r["range"]]) for r in tops], T.StructType([T.StructField("range", T.IntegerType()), T.StructField("top", rows.schema["id"].dataType), T.StructField("before", T.IntegerType())]))
     first = dealt.join(F.broadcast(top), (dealt["range"] == top["range"]) & dealt["id"].eqNullSafe(top["top"])).select(F.col("before").alias("range"), "id", "text")
-    first = first.mapInArrow(_packed, kind).groupBy(F.col("range").alias("before")).agg(F.min("packed").alias("head"))
-    last = ranged.where("after is null")
-    last = last.join(F.broadcast(first), last["range"] == first["before"]).select("id", "packed", F.col("head").alias("next_packed"))
-    return ranged.where("after is not null").select("id", "packed", F.col("after.packed").alias("next_packed")).unionByName(last)
+    first = first.mapInArrow(_packed, kind).groupBy("range").agg(F.min("packed").alias("packed"))
+    ends = first.select("range", F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "packed", F.lit(True).alias("end"))
+    order = Window.partitionBy("range").orderBy("end", F.col("id").desc_nulls_last(), "packed")
+    both = dealt.mapInArrow(_packed, kind).withColumn("end", F.lit(False)).unionByName(ends)
+    return both.withColumn("next_packed", F.lead("packed").over(order)).where("not end").select("id", "packed", "next_packed")
 
 
 COLUMNS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_start")
