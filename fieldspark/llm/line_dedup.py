@@ -30,9 +30,10 @@ def common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_ch
     Every row is a document of its own, also where ids repeat. Each document's hashes are made distinct inside its row,
     so that the one shuffle only carries partial counts and a line that is everywhere costs one row per task.
     """
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    lines = F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "\n")
+    keys = F.transform(lines, lambda x: F.btrim(x, F.lit(BLANKS)))  # as line_key, but each key is made once a line
     return (
-        docs.select(F.explode(F.array_distinct(F.transform(lines, lambda x: _hash(x, min_chars)))).alias("h"))
+        docs.select(F.explode(F.array_distinct(F.transform(keys, lambda x: F.when(F.length(x) >= min_chars, F.md5(x))))).alias("h"))
         .where("h is not null")
         .select(F.unhex("h").alias("line_hash"))
         .groupBy("line_hash")
