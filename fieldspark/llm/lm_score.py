@@ -5,9 +5,10 @@ network predicts the token's class; within a class, tokens keep their share of t
 the log-probabilities of all its tokens.
 
 Everything that is learned comes from all documents: Spark counts every word for the vocabulary, the class shares and
-the rare words of each class; and in each round every task trains on a stride of positions of all its texts, from the
-same weights, after which the tasks' weights are averaged by the examples that they saw. Only the vocabulary, whose size
-is a parameter, and one set of weights come to the driver.
+the rare words of each class; and the rounds together train on every position of all texts: in each round every task
+trains on the positions of one remainder by the stride, from the same weights, after which the tasks' weights are
+averaged by the examples that they saw. Only the vocabulary, whose size is a parameter, and one set of weights come to
+the driver.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ WINDOW = 2
 @dataclass(frozen=True)
 class Settings:
     """Words with ids of their own; buckets that all other words share, by hash; classes of the words with ids (each
-    bucket is a class besides); sizes of embeddings and hidden layer; rounds; stride of the positions trained on."""
+    bucket is a class besides); sizes of embeddings and hidden layer; rounds; stride of the positions trained on in one
+    round, at most as many as there are rounds, so that none is left out."""
 
     vocabulary: int = 4096
     rare: int = 16
@@ -38,7 +40,7 @@ class Settings:
     embedding: int = 16
     hidden: int = 32
     rounds: int = 2
-    stride: int = 12
+    stride: int = 2
     batch: int = 512
     rate: float = 0.3
     seed: int = 7
@@ -172,12 +174,14 @@ def vocabulary(docs: DataFrame, s: Settings, text: str = "text") -> Vocabulary:
 def train(docs: DataFrame, s: Settings = Settings(), text: str = "text") -> tuple[Vocabulary, Network]:
     """Vocabulary and network of the documents' words. Null and empty texts give nothing; without any words the network
     stays as it began."""
+    if s.stride > s.rounds:
+        raise ValueError(f"{s.rounds} rounds leave positions out at a stride of {s.stride}")
     v = vocabulary(docs, s, text)
     net = Network(v, s)
     context = docs.sparkSession.sparkContext
     for turn in range(s.rounds):
         sent = context.broadcast((v, net))
-        offset = turn * s.stride // s.rounds
+        offset = turn % s.stride
 
         def fit(batches, sent=sent, offset=offset, turn=turn):
             v, start = sent.value

@@ -364,6 +364,14 @@ def test_lm_score(spark, texts):
     assert lm_score.score(empty, lm_score.train(empty, s)).count() == 0
 
 
+def test_every_position_trains(spark):
+    # the first words and what is near them are the same in both, and so is every count
+    one, other = (lm_score.train(docs(spark, [t] * 40))[1].pack() for t in ("p q r s t u", "p q r s u t"))
+    assert one != other
+    with pytest.raises(ValueError):
+        lm_score.train(docs(spark, ["a b"]), lm_score.Settings(stride=3))
+
+
 # op 10
 
 
