@@ -284,6 +284,23 @@ def test_longest_common_extension():
         assert 0 <= like <= 1 and (like == 1) == (x == y)
 
 
+def test_likeness_of_near_copies():
+    r = random.Random(5)
+    like = lambda x, y: fingerprints.likeness(*[fingerprints.fingerprint(fingerprints.PrefixHashes(fingerprints._codes(t))) for t in (x, y)])
+    make = lambda n: "".join(r.choice("abcdefghijklmnop    🙂") for _ in range(n))
+    for n, least in ((200, 0.75), (3_000, 0.95), (200_000, 0.99)):
+        text, other = make(n), make(n)
+        assert like(text, text[:3] + "+" + text[3:-3] + "+" + text[-3:]) > least
+        assert like(text, "+" + text) > least and like(text, text[n // 2 :] + text[: n // 2]) > least - 0.1
+        edited = list(text)
+        for k in range(n // 32, n, n // 16):  # one in each span of the grid
+            edited[k] = "+"
+        assert like(text, "".join(edited)) > 1 - 16 * 80 / n and like(text, other) < 0.35
+    for text in ("a" * 5_000, "abcde" * 1_000, "ab" * 2_500):
+        assert like(text, "+" + text[:2_000] + "-" + text[2_000:] + "+") > 0.9
+    assert like("abcdefgh", "abcdefgx") == 7 / 8
+
+
 def test_fingerprints(spark, texts, monkeypatch):
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
     got = {r["doc_id"]: r for r in fingerprints.compare_with_edits(docs(spark, texts)).collect()}
