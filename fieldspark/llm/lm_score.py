@@ -2,7 +2,7 @@
 
 Every token (lower-cased alphanumeric word) is predicted from the two before and the two after it, itself hidden. The
 network predicts the token's class; within a class, tokens keep their share of the corpus. A text's score is the sum of
-the log-probabilities of all its tokens.
+the log-probabilities of all its tokens. The counts of the words without ids stay a table, joined to their occurrences.
 
 Everything that is learned comes from all documents: Spark counts every word for the vocabulary, the class shares and
 the rare words of each class; and the rounds together train on every position of all texts: in each round every task
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import table, written
 
 U = np.uint64
 WINDOW = 2
@@ -59,7 +59,9 @@ class Vocabulary:
         self.of_class = np.concatenate([np.minimum(share * s.classes // max(1.0, counts.sum()), s.classes - 1).astype(np.int64), s.classes + np.arange(s.rare)])
         mass = np.bincount(self.of_class[: self.size], counts, s.classes)
         inside = np.log(counts / np.maximum(mass[self.of_class[: self.size]], 1)) if self.size else np.zeros(0)
+        # a rare word's own share needs its count, see rare_shares; here its bucket's kinds have equal ones
         self.log_share = np.concatenate([inside, -np.log(np.maximum(rare_kinds, 1))]).astype(np.float32)
+        self.rare_lift = np.log(np.maximum(rare_kinds, 1)) - np.log(np.maximum(rare_counts, 1))
         at = np.argsort(hashes[order])
         self.sorted, self.ids = hashes[order][at], at
         self.classes = s.classes + s.rare
@@ -158,25 +160,28 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, s: Settings, text: str = "text") -> Vocabulary:
-    counts = word_counts(docs, text)
+def _bucket(rare: int):
+    """The remainder of the unsigned hash, as the lookup takes it."""
+    return F.expr(f"cast(pmod(pmod(word, {rare}) + case when word < 0 then {pow(2, 64, rare)} else 0 end, {rare}) as int)")
+
+
+def vocabulary(docs: DataFrame, s: Settings, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
+    counts = word_counts(docs, text) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(s.vocabulary).collect()
     known = docs.sparkSession.createDataFrame([(r["word"],) for r in top], "word long")
-    # the remainder of the unsigned hash, as the lookup takes it
-    bucket = F.expr(f"cast(pmod(pmod(word, {s.rare}) + case when word < 0 then {pow(2, 64, s.rare)} else 0 end, {s.rare}) as int)")
-    rest = counts.join(F.broadcast(known), "word", "left_anti").groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+    rest = counts.join(F.broadcast(known), "word", "left_anti").groupBy(_bucket(s.rare).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     n, kinds = np.zeros(s.rare), np.zeros(s.rare)
     for r in rest:
         n[r["bucket"]], kinds[r["bucket"]] = r["n"], r["kinds"]
     return Vocabulary(np.array([r["word"] for r in top], np.int64).view(U), np.array([r["n"] for r in top], np.float64), n, kinds, s)
 
 
-def train(docs: DataFrame, s: Settings = Settings(), text: str = "text") -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, s: Settings = Settings(), text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
     """Vocabulary and network of the documents' words. Null and empty texts give nothing; without any words the network
-    stays as it began."""
+    stays as it began. ``counts``: the documents' ``word_counts``, where they are at hand."""
     if s.stride > s.rounds:
         raise ValueError(f"{s.rounds} rounds leave positions out at a stride of {s.stride}")
-    v = vocabulary(docs, s, text)
+    v = vocabulary(docs, s, text, counts)
     net = Network(v, s)
     context = docs.sparkSession.sparkContext
     for turn in range(s.rounds):
@@ -258,14 +263,46 @@ class Scorer:
         return out
 
 
+def rare_shares(texts: DataFrame, v: Vocabulary, counts: DataFrame) -> DataFrame:
+    """(key, lift double) of ``texts`` (text, key: a hash of it): the sum over a text's rare words of their log shares of
+    their buckets by ``counts``, less what equal shares of the bucket's kinds give. Texts without rare words have no row."""
+    known = texts.sparkSession.createDataFrame([(int(h),) for h in v.sorted.view(np.int64)], "word long")
+    lift = F.array(*[F.lit(float(x)) for x in v.rare_lift])[_bucket(v.rare)]
+    shares = counts.join(F.broadcast(known), "word", "left_anti").select("word", (F.log("n") + lift).alias("lift"))
+    sent = texts.sparkSession.sparkContext.broadcast(v)
+
+    def occurrences(batches):
+        v = sent.value
+        for batch in batches:
+            for i, j, w in _tokens(batch.column(0)):
+                at = np.flatnonzero(v.lookup(w.hash) >= v.size)
+                if not len(at):
+                    continue
+                text, word = np.repeat(np.arange(i, j), np.diff(w.first))[at], w.hash[at]
+                order = np.lexsort((word, text))
+                text, word = text[order], word[order]
+                new = np.concatenate([[True], text[1:] != text[:-1]])
+                cut = np.flatnonzero(new | np.concatenate([[True], word[1:] != word[:-1]]))
+                n = np.diff(np.append(cut, len(text)))
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(text[cut])), pa.array(word[cut].view(np.int64)), pa.array(n), pa.array(new[cut].astype(np.int64))], ["key", "word", "n", "rows"])
+
+    found = texts.select("text", "key").mapInArrow(occurrences, "key binary, word long, n long, rows long")
+    # equal texts add up to the same multiple of the lift and of the rows
+    return found.join(shares, "word").groupBy("key").agg((F.sum(F.col("n") * F.col("lift")) / F.sum("rows")).alias("lift"))
+
+
 SCORES = ("n_tokens", "log_prob", "per_token")
 
 
-def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``log_prob`` (sum over all tokens, nats) and ``per_token`` (their mean) after its
-    columns. A null or wordless text has no tokens, 0.0 and null. Columns of the three names are replaced."""
+    columns. A null or wordless text has no tokens, 0.0 and null. Columns of the three names are replaced.
+
+    With ``counts``, the ``word_counts`` that the model comes from, each rare word has its own share of its bucket;
+    without them the bucket's kinds have equal ones."""
     keep = [c for c in docs.columns if c not in SCORES]
-    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"))
+    key = F.lit(None).cast("binary") if counts is None else F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
+    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"), key.alias("key"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -278,13 +315,18 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text"
                 if len(some):
                     total[i + some] = np.add.reduceat(scorer.tokens(w), w.first[:-1][some], dtype=np.float64)
             mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(total), mean], ["row", "text", *SCORES])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(total), mean], ["row", "text", "key", *SCORES])
 
     kinds = (T.LongType(), T.DoubleType(), T.DoubleType())
     out = packed.mapInArrow(run, T.StructType([*packed.schema, *[T.StructField(c, k) for c, k in zip(SCORES, kinds)]]))
+    if counts is not None:
+        out = out.join(rare_shares(packed.select("text", "key"), model[0], counts), "key", "left")
+        total = F.col("log_prob") + F.coalesce("lift", F.lit(0.0))
+        out = out.select("row", "text", "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("per_token"))
     return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], *SCORES)
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs)).select("doc_id", *SCORES)
+    counts = written(word_counts(docs), "word-counts")
+    return score(docs, train(docs, counts=counts), counts=counts).select("doc_id", *SCORES)

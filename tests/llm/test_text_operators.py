@@ -389,6 +389,29 @@ def test_every_position_trains(spark):
         lm_score.train(docs(spark, ["a b"]), lm_score.Settings(stride=3))
 
 
+def test_rare_words_keep_their_shares(spark, texts):
+    df = docs(spark, texts)
+    s = lm_score.Settings(vocabulary=50, rare=4, classes=6, embedding=8, hidden=8, batch=32)
+    n = lm_score.word_counts(df)
+    model = lm_score.train(df, s, counts=n)
+    v = model[0]
+    count = {np.int64(r["word"]).astype(np.uint64): r["n"] for r in n.collect()}
+    bucket = lambda h: int(v.lookup(np.array([h], np.uint64))[0])
+    mass, kinds = defaultdict(int), defaultdict(int)
+    for h, k in count.items():
+        mass[bucket(h)] += k
+        kinds[bucket(h)] += 1
+    even, own = ({r["doc_id"]: r for r in x.collect()} for x in (lm_score.score(df, model), lm_score.score(df, model, counts=n)))
+    assert len(own) == len(even) == len(texts) and any(count[h] > 1 for h in count if bucket(h) >= v.size)
+    for i, t in enumerate(texts):
+        lift = 0.0
+        for h in W.words(*W.texts(__import__("pyarrow").array([t or ""])), W.ALNUM).hash:
+            if bucket(h) >= v.size:
+                lift += np.log(count[h] / mass[bucket(h)]) + np.log(kinds[bucket(h)])
+        assert own[i]["log_prob"] == pytest.approx(even[i]["log_prob"] + lift, abs=1e-6) and own[i]["n_tokens"] == even[i]["n_tokens"] and own[i]["text"] == t
+        assert (own[i]["per_token"] is None) == (not own[i]["n_tokens"])
+
+
 # op 10
 
 
