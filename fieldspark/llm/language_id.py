@@ -2,8 +2,8 @@
 
 A text is read as its lower-cased letters with one bound symbol for each run of anything else. Every language's model
 gives each symbol a probability from the three symbols before it; the language of the lowest cross-entropy per symbol
-is predicted. A text is rejected where it has no letters or where even the best model's cross-entropy lies far outside
-of what the calibration rows of that language show.
+is predicted. A text is rejected where it has no letters or where even the best model's cross-entropy lies outside of
+what the calibration rows of that language show for its length, those left out whose best model isn't their label's.
 
 The models are fitted on a sample of the learning rows of at most about ``fit_docs`` documents a language (chosen by a
 hash of the text; all of them where there are fewer), counted by Spark; prediction reads every text as a whole.
@@ -30,8 +30,36 @@ FIT_DOCS, CALIBRATION_DOCS = 2_000, 500
 #: Symbols: 0 bound, 1 letters that are not among the learned ones, from 2 the learned letters; 16 bits each.
 BOUND, OTHER, MOST_LETTERS = 0, 1, 65_000
 UNDETERMINED = "und"
-#: A text is rejected beyond this many times the largest deviation of the calibration rows.
-REJECT = 3.0
+#: A text is rejected beyond this quantile of the deviations of the calibration rows, and this many spreads at least.
+QUANTILE, LEAST = 0.99, 6.0
+#: Documents of a language from which a fifth, or the rows that the models aren't fitted on if they are so many, can be set
+#: aside for calibration; with fewer it uses the fitted ones, whose entropies are lower than those of new documents.
+SET_ASIDE, LEFT = 100, 20
+#: Nats a symbol by which whole documents differ besides (mixed, listed, repeated ones are too few to show it).
+SPREAD = 0.15
+
+
+def _usual(h: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
+    """Mean entropy of a language's rows, the variance between documents, and that of one symbol: a row of n symbols
+    deviates by between + symbol / n. Rows far out for their length (junk with a label) count for nothing."""
+    keep = np.zeros(len(h), bool)
+    for part in np.array_split(np.argsort(n, kind="stable"), min(4, 1 + len(h) // 20)):
+        off = np.abs(h[part] - np.median(h[part]))
+        keep[part] = off <= 6 * np.median(off) + 1e-6
+    between, symbol = (x.ravel() for x in np.meshgrid(np.geomspace(1e-4, 4, 24), np.geomspace(0.5, 40, 18)))
+    for _ in range(3):
+        best, best_loss = None, np.inf
+        for a, b in zip(between, symbol):
+            var = a + b / n[keep]
+            mean = np.average(h[keep], weights=1 / var)
+            loss = np.sum((h[keep] - mean) ** 2 / var + np.log(var))
+            if loss < best_loss:
+                best, best_loss = (float(mean), float(a), float(b)), loss
+        again = (h - best[0]) ** 2 <= 16 * (best[1] + best[2] / n)
+        if not again.any() or (again == keep).all():
+            break
+        keep = again
+    return best
 
 
 @lru_cache(maxsize=1)
@@ -179,18 +207,18 @@ class CharModels:
         return out, n
 
     def calibrate(self, entropies: np.ndarray, n: np.ndarray, truth: np.ndarray) -> None:
-        """Sets each language's usual entropy and spread, the largest deviation seen, and the sharpness of the scores."""
+        """Sets each language's usual entropy and spreads, the bound of deviations, and the sharpness of the scores."""
         root = np.sqrt(n)
-        mean, spread = np.zeros(len(self.langs)), np.ones(len(self.langs))
+        clean = entropies.argmin(axis=1) == truth if len(truth) else np.zeros(0, bool)
+        mean, between, symbol = np.full(len(self.langs), -float(self.unseen)), np.ones(len(self.langs)), np.ones(len(self.langs))
         for i in range(len(self.langs)):
-            own = truth == i
+            own = clean & (truth == i)
             if own.any():
-                h, r = entropies[own, i], root[own]
-                mean[i] = np.average(h, weights=r * r)
-                spread[i] = max(1e-3, float(np.sqrt(np.mean(((h - mean[i]) * r) ** 2))))
-        z = np.zeros(len(truth))
-        if len(truth):
-            z = (entropies[np.arange(len(truth)), truth] - mean[truth]) * root / spread[truth]
+                mean[i], between[i], symbol[i] = _usual(entropies[own, i], n[own])
+        between += SPREAD**2
+        low, best = entropies[clean, truth[clean]], truth[clean]
+        z = (low - mean[best]) / np.sqrt(between[best] + symbol[best] / n[clean])
+        bound = max(LEAST, float(np.quantile(z, QUANTILE))) if len(z) else LEAST
         best, sharp = np.inf, 1.0
         for t in np.geomspace(0.01, 10, 31) if len(truth) else []:
             x = -entropies * root[:, None] * t
@@ -198,18 +226,18 @@ class CharModels:
             loss = -np.mean(x[np.arange(len(truth)), truth] - np.log(np.exp(x).sum(axis=1)))
             if loss < best:
                 best, sharp = loss, float(t)
-        self.calibration = mean, spread, max(6.0, float(z.max(initial=0.0))), sharp
+        self.calibration = mean, between, symbol, bound, sharp
 
     def predict(self, data: np.ndarray, bounds: np.ndarray):
         """(language or ``und``, score, rejected, entropy) lists."""
         h, n = self.entropies(data, bounds)
-        mean, spread, most, sharp = self.calibration
+        mean, between, symbol, bound, sharp = self.calibration
         best = h.argmin(axis=1)
         x = -h * np.sqrt(n)[:, None] * sharp
         x = np.exp(x - x.max(axis=1, keepdims=True))
         score = np.where(n > 0, x.max(axis=1) / x.sum(axis=1), 0.0)
         low = h[np.arange(len(n)), best]
-        rejected = (n == 0) | ((low - mean[best]) * np.sqrt(n) / spread[best] > REJECT * most)
+        rejected = (n == 0) | (low - mean[best] > bound * np.sqrt(between[best] + symbol[best] / np.maximum(n, 1)))
         return [self.langs[b] if k else UNDETERMINED for b, k in zip(best, n)], score, rejected, low
 
 
@@ -226,9 +254,16 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
     counted = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
     if not counted:
         return None
-    shares = F.create_map(*[F.lit(x) for lang, n in counted for x in (lang, fit_docs / n)])
-    later = F.create_map(*[F.lit(x) for lang, n in counted for x in (lang, calibration_docs / n)])
-    share = shares[F.col("lang")]
+    shares, starts, widths = [], [], []
+    for lang, n in counted:
+        share = min(1.0, fit_docs / n)
+        if n * (1 - share) < LEFT:
+            share = 0.8 if n >= SET_ASIDE else 1.0
+        start = share if share < 1 else 0.0
+        shares += [F.lit(lang), F.lit(share)]
+        starts += [F.lit(lang), F.lit(start)]
+        widths += [F.lit(lang), F.lit(min(calibration_docs / n, 1 - start))]
+    share = F.create_map(*shares)[F.col("lang")]
 
     def count(batches):
         for batch in batches:
@@ -271,8 +306,7 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
     models = CharModels(langs, letters, packed)
 
     # calibration rows lie beside the fitted ones in the order of the hash, or are the same where there are too few
-    width = later[F.col("lang")]
-    start = F.least(share, F.greatest(F.lit(0.0), F.lit(1.0) - width))
+    start, width = F.create_map(*starts)[F.col("lang")], F.create_map(*widths)[F.col("lang")]
     held = models
 
     def measure(batches):

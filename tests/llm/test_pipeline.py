@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline
 from test_text_operators import LOWER, brute_components, brute_scan
 
-from fieldspark.llm import bpe, registry
+from fieldspark.llm import bpe, language_id, registry
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -59,3 +59,12 @@ def test_sql(spark, name):
     columns = [d[0] for d in want.description]
     got = registry.QUERIES[name](spark, DATA).select(*columns).collect()
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want.fetchall()))
+
+
+def test_language_left_out_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = language_id.fit(language_id.learning_rows(docs).where("lang <> 'de'"))
+    for chars in (40, 100, 200_000):
+        found = language_id.predict(docs.selectExpr("lang", f"substring(text, 1, {chars}) as text"), models)
+        share = {r[0]: r[1] for r in found.selectExpr("lang", "int(rejected) as r").groupBy("lang").avg("r").collect()}
+        assert share.pop("de") > 0.95 and max(share.values()) < 0.02

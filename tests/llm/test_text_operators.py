@@ -191,6 +191,21 @@ def test_language_id(spark):
     assert {x["lang_pred"] for x in language_id.predict(df, None).collect()} == {"und"}
 
 
+def test_unlearned_languages_are_rejected(spark):
+    r = random.Random(12)
+    parts = {"xx": "ka ro mi tu se na lo".split(), "yy": "blin stra grunt oft prus chwe".split(), "zz": "vqi jyx wuk pfz".split(), "cyr": "да но ли бу".split(), "junk": "ae ia uo oe".split()}
+    make = lambda lang, n: " ".join("".join(r.choice(parts[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+    rows = [(i, make(lang, r.choice([1, 3, 40, 300])), lang) for i, lang in enumerate(["xx", "yy"] * 300)]
+    for k in range(40):  # junk and wrong labels among the learning rows
+        rows.append((1000 + k, make("yy" if k % 8 else "junk", 60), "xx"))
+    new = [(2000 + k, make(lang, n), None) for k, (lang, n) in enumerate([(lang, n) for lang in ("zz", "cyr") for n in (6, 10, 40, 300)] * 3)]
+    new += [(3000 + k, "".join(r.choice("rmtsnlk") for _ in range(n)), None) for k, n in enumerate([14, 20, 30, 60, 2000] * 4)]
+    df = spark.createDataFrame(rows + new, "doc_id long, text string, lang string")
+    models = language_id.fit(language_id.learning_rows(df), fit_docs=200, calibration_docs=100)
+    got = {x["doc_id"]: x["rejected"] for x in language_id.predict(df, models).collect()}
+    assert [x for x in new if not got[x[0]]] == [] and [x for x in rows[:600] if got[x[0]]] == []
+
+
 def test_kneser_ney_sums_to_one():
     r = np.random.default_rng(4)
     letters = np.arange(97, 103)
