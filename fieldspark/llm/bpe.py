@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, table
 
 LEAF_CHARS = 32_768
 #: Code points before the end of a text in which what follows may still move a word bound: the longest added token, a
@@ -25,8 +25,9 @@ LEAF_CHARS = 32_768
 MARGIN = 16
 #: Tokens on each side of a join inside one long word in the first window; doubled while the sides disagree.
 FIRST_WINDOW = 4
-#: Space-separated units whose encodings one Python worker keeps, and the longest that it keeps.
-KEPT_UNITS, UNIT_CHARS = 400_000, 64
+#: Space-separated units whose encodings a task keeps: the last ones used, from once to twice so many (some 200 bytes each),
+#: and the longest that it keeps.
+KEPT_UNITS, UNIT_CHARS = 40_000, 64
 #: One space between characters that aren't white space: a word of the tokenizer begins there in every context.
 UNIT_BOUND = re.compile(r"(?<=\S) (?=\S)")
 
@@ -52,7 +53,12 @@ class TreeBpe:
         self.said = [self.lib.id_to_token(i) or "" for i in range(size)]
         own = {i for i, t in self.lib.get_added_tokens_decoder().items()}
         self.bytes_of = np.array([len(s.encode()) if i in own else len(s) for i, s in enumerate(self.said)], np.int64)
-        self.units: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin with no kept units, as every task does."""
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.odd: dict[str, str] = {}  # units whose ids decode to another text
 
     # leaves
@@ -76,25 +82,31 @@ class TreeBpe:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian 32-bit numbers, decoded text) of each text; each different unit is encoded once."""
-        out, kept = [], self.units
+        out = []
         for k in range(0, len(texts), 256):
             cut = [UNIT_BOUND.split(text) for text in texts[k : k + 256]]
             heads = [np.array(self.lib.encode(c[0], add_special_tokens=False).ids, "<u4").tobytes() for c in cut]
-            need = set().union(*(c[1:] for c in cut))
-            missing = [u for u in need if u not in kept]
-            own = dict(zip(missing, self._units([" " + u for u in missing])))
-            if len(kept) + len(own) > KEPT_UNITS:
-                own |= {u: kept[u] for u in need if u in kept}
-                kept.clear()
-            long = {u for u in own if len(u) > UNIT_CHARS}
-            kept.update(own)
+            young, old, own, missing = self.young, self.old, {}, []
+            for u in set().union(*(c[1:] for c in cut)):
+                ids = young.get(u)
+                if ids is None:
+                    ids = old.get(u)
+                    if ids is None:
+                        missing.append(u)
+                        continue
+                    young[u] = ids
+                own[u] = ids
+            for u, ids in zip(missing, self._units([" " + u for u in missing])):
+                own[u] = ids
+                if len(u) <= UNIT_CHARS:
+                    young[u] = ids
+            if len(young) > KEPT_UNITS:
+                self.old, self.young = young, {}
             for text, head, (first, *rest) in zip(texts[k : k + 256], heads, cut):
                 back = text
                 if self.odd or not self._returns(first, head):
                     back = self.decode(head) + "".join(self.odd.get(" " + u, " " + u) for u in rest)
-                out.append((head + b"".join([kept[u] for u in rest]), back))
-            for u in long:
-                del kept[u]
+                out.append((head + b"".join([own[u] for u in rest]), back))
         return out
 
     def _returns(self, text: str, ids: bytes) -> bool:
@@ -217,28 +229,37 @@ _loaded: dict[str, TreeBpe] = {}
 
 
 def _tokenizer(path: str) -> TreeBpe:
+    """The tokenizer of this worker, its kept units forgotten, so that none outlives the task that met them."""
     if path not in _loaded:
+        _loaded.clear()
         _loaded[path] = TreeBpe(path)
+    _loaded[path].forget()
     return _loaded[path]
 
 
+NEW = {"token_ids": T.BinaryType(), "decoded": T.StringType()}
 
-def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEAF_CHARS) -> DataFrame:
+
+def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEAF_CHARS, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``token_ids`` (binary: ids as little-endian unsigned 32-bit numbers) and ``decoded`` (the ids' text).
 
     Equal to the tokenizers library's ``encode(text, add_special_tokens=False).ids`` and ``decode(ids,
     skip_special_tokens=False)``; null counts as empty and gives no ids. Columns of ``docs`` of the two new names are
-    replaced, others pass through. ``path``: the tokenizer's JSON file, at the same place on all machines.
+    replaced, others pass through (without ``keep_text`` the text doesn't); null and repeated ids and rows are rows like
+    others, an empty table gives an empty one. ``path``: the tokenizer's JSON file, at the same place on all machines.
     """
-    keep = [c for c in docs.columns if c not in ("token_ids", "decoded")]
-    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"))
-    result = T.StructType([*packed.schema, T.StructField("token_ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    packed = Packed(docs, text, NEW, keep_text)
+    size = F.coalesce(F.length("text"), F.lit(0))
+    every, packed.rows = packed.rows, packed.rows.where(size <= leaf_chars)
 
-    def short(batches):
+    def short():
         bpe = _tokenizer(path)
-        for batch in batches:
-            found = bpe.encode([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], ["row", "text", "token_ids", "decoded"])
+
+        def run(texts: pa.Array) -> list:
+            found = bpe.encode([t or "" for t in texts.to_pylist()])
+            return [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
+
+        return run
 
     def halve(batches):
         for batch in batches:
@@ -275,16 +296,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEA
         if parts:
             yield done()
 
-    size = F.coalesce(F.length("text"), F.lit(0))
-    out = packed.where(size <= leaf_chars).mapInArrow(short, result)
-    long = packed.where(size > leaf_chars)
     # equal long texts are encoded once; the hash names the text, and the rows take their text's encoding back
-    long = long.withColumn("rid", F.sha2("text", 256))
+    long = every.where(size > leaf_chars).withColumn("rid", F.sha2("text", 256))
     parts = long.select("rid", "text").dropDuplicates(["rid"]).mapInArrow(halve, "rid string, part int, text string")
     coded = parts.repartition("rid", "part").mapInArrow(encode_leaves, "rid string, part int, text string, ids binary, begins binary")
     whole = coded.repartition("rid").sortWithinPartitions("rid", "part").mapInArrow(join_leaves, "rid string, token_ids binary, decoded string")
-    out = out.unionByName(long.join(whole, "rid").select("row", "text", "token_ids", "decoded"))
-    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], "token_ids", "decoded")
+    rows = long if packed.keeps_text else long.drop("text")
+    return packed.mapped(short).unionByName(packed.unpacked(rows.join(whole, "rid"), F.col("token_ids"), F.col("decoded")))
 
 
 def default_path() -> str:
@@ -295,7 +313,7 @@ def default_path() -> str:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = encode(docs, default_path())
+    out = encode(docs, default_path(), keep_text=False)
     return out.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.shared import written
+from fieldspark.llm.shared import removed, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,6 +28,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = written(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        last, edges = edges, written(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
         before, now = now, _state(edges)
+        removed(last)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

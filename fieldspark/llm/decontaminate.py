@@ -1,12 +1,14 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams; training texts are scanned window by
 window, hits are verified word by word, and hit spans or contaminated documents are removed.
 
-The benchmark is cut into blocks of at most ``BLOCK_WINDOWS`` windows, and each block is broadcast alone, so that what
-is broadcast has a fixed bound whatever the benchmark's size; one block is the usual case and needs no shuffle at all.
+A benchmark of at most ``BROADCAST_WINDOWS`` windows is broadcast, and no text is shuffled. For a larger one a bit table of
+a fixed size is broadcast instead: it lets through the few document windows whose hash may be one of the benchmark's,
+and those alone are joined to the benchmark's windows by a salted shuffle.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -16,17 +18,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, column, removed, table, within, written
 
+U = np.uint64
 WINDOW = 13
-#: Windows of the benchmark in one broadcast, of about 200 bytes each.
-BLOCK_WINDOWS = 200_000
+#: Windows of the benchmark that are broadcast at most, of about 300 bytes each in a worker.
+BROADCAST_WINDOWS = 200_000
+#: Bits of the table that screens windows of a larger benchmark (8 MB), and salts of the join that follows.
+SCREEN_BITS, SALTS = 26, 8
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("bounds", SPANS)])
+NEW = {"n_words": T.LongType(), "n_hit": T.LongType(), "n_items": T.LongType(), "items": T.ArrayType(T.StringType()), "spans": SPANS, "bounds": SPANS}
+_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+#: A document window that may be the benchmark's: words from and to, bytes from and to, its hash, its words.
+MAYBE = T.ArrayType(T.StructType([*[T.StructField(c, T.LongType()) for c in ("start", "end", "first", "last", "h")], T.StructField("said", T.StringType())]))
 
 
 def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", n: int = WINDOW) -> DataFrame:
-    """(item string, size int, said string): every window of ``n`` words of each item, or its fewer words as one.
+    """(item string, size int, said string, h long): every window of ``n`` words of each item, or its fewer words as one,
+    and its hash.
 
     Items that are null, or whose text is null or has no words, give none.
     """
@@ -37,33 +46,55 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
             ids, out = batch.column(0).to_pylist(), []
             for i, j in W.chunks(bounds):
                 w = W.words(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], W.ALNUM)
-                for k in range(i, j):
-                    a, b = int(w.first[k - i]), int(w.first[k - i + 1])
-                    size = min(n, b - a)
-                    out += [(ids[k], size, W.folded(w, x, x + size).decode("utf-8", "replace")) for x in range(a, b - size + 1) if size]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], []), (pa.string(), pa.int32(), pa.string()))], ["item", "size", "said"])
+                for h, x, k in zip(*(c.tolist() for c in (c.view(np.int64) for c in w.windows(n, True)))):
+                    size = min(n, int(w.first[k + 1]) - x)
+                    out.append((ids[i + k], size, W.folded(w, x, x + size).decode("utf-8", "replace"), h))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], [], []), (pa.string(), pa.int32(), pa.string(), pa.int64()))], ["item", "size", "said", "h"])
 
     rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).where("item is not null and text is not null")
-    return rows.mapInArrow(cut, "item string, size int, said string").distinct()
+    return rows.mapInArrow(cut, "item string, size int, said string, h long").distinct()
 
 
 class WindowSet:
-    """The windows of one block: hashes by size for the scan, and what each says for the verification."""
+    """The windows of a benchmark: hashes by size for the scan, and what each says, and whose it is, for the verification."""
 
     def __init__(self, rows: list):
-        self.items: dict[bytes, set[str]] = defaultdict(set)
-        by_size: dict[int, list[bytes]] = defaultdict(list)
-        for item, size, said in rows:
-            said = said.encode()
-            if said not in self.items:
-                by_size[size].append(said)
-            self.items[said].add(item)
-        self.hashes = {}
-        for size, said in by_size.items():
-            joined = b"\n".join(said)  # no window has a line feed
-            bounds = np.cumsum([0] + [len(s) + 1 for s in said])
-            bounds[-1] -= 1
-            self.hashes[size] = W.SortedHashes(W.words(np.frombuffer(joined, np.uint8), bounds, W.ALNUM).windows(size, False)[0])
+        items: dict[bytes, list[str]] = defaultdict(list)
+        by_size: dict[int, set[int]] = defaultdict(set)
+        for item, size, said, h in rows:
+            items[said.encode()].append(item)
+            by_size[size].add(h)
+        self.items = {said: tuple(own) for said, own in items.items()}
+        self.hashes = {size: W.SortedHashes(np.array(sorted(own), np.int64).view(U)) for size, own in by_size.items()}
+
+
+_held: dict[str, WindowSet] = {}
+
+
+def _window_set(name: str, known) -> WindowSet:
+    """The broadcast windows as a set, made once a worker; a worker keeps the last one only."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = WindowSet(known.value)
+    return _held[name]
+
+
+def merged(hits: list[tuple[int, int]]) -> list[list[int]]:
+    """The union of half-open spans, those that touch joined."""
+    out: list[list[int]] = []
+    for a, b in sorted(hits):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return out
+
+
+def _found(words: list[int], spans: list[list[tuple[int, int]]], items: list[list[str]], bounds: list[list[tuple[int, int]]]) -> list:
+    """Arrow columns of ``NEW``."""
+    as_spans = lambda rows: pa.array([[{"start": a, "end": b} for a, b in r] for r in rows], _SPAN)
+    hit = [sum(b - a for a, b in r) for r in spans]
+    return [pa.array(words, pa.int64()), pa.array(hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(items, pa.list_(pa.string())), as_spans(spans), as_spans(bounds)]
 
 
 def _scan_texts(data: np.ndarray, bounds: np.ndarray, known: WindowSet):
@@ -78,93 +109,102 @@ def _scan_texts(data: np.ndarray, bounds: np.ndarray, known: WindowSet):
                 a = int(at[x])
                 if found := known.items.get(W.folded(w, a, a + size)):
                     hits[int(text[x])].append((a, a + size))
-                    items[int(text[x])] |= found
+                    items[int(text[x])].update(found)
         for k in range(j - i):
-            first, merged = int(w.first[k]), []
-            for a, b in sorted(hits.get(k, ())):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
-                else:
-                    merged.append([a, b])
-            base = int(bounds[i + k] - bounds[i])
-            yield (
-                int(w.first[k + 1]) - first,
-                [(a - first, b - first) for a, b in merged],
-                sorted(items.get(k, ())),
-                [(int(w.start[a]) - base, int(w.end[b - 1]) - base) for a, b in merged],
-            )
-
-
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW) -> DataFrame:
+            first, base, whole = int(w.first[k]), int(bounds[i + k] - bounds[i]), merged(hits.get(k, []))
+            yield int(w.first[k + 1]) - first, [(a - first, b - first) for a, b in whole], sorted(items.get(k, ())), [(int(w.start[a]) - base, int(w.end[b - 1]) - base) for a, b in whole]
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted strings), ``spans`` (hit words, start and end)
     and ``bounds`` (the same spans in UTF-8 bytes of the text).
 
     A document word inside any occurrence of a benchmark window is hit. Null or wordless texts have no words; an empty
     benchmark hits nothing; repeated rows and items count each by themselves and once. Columns of ``docs`` with one of
-    the six new names are replaced, all others pass through.
+    the six new names are replaced, all others pass through (without ``keep_text`` the text doesn't).
     """
-    spark = docs.sparkSession
-    new = ("n_words", "n_hit", "n_items", "items", "spans", "bounds")
-    keep = [c for c in docs.columns if c not in new]
-    windows = benchmark_windows(benchmark, item, item_text, n)
-    total = windows.count()
-    blocks = max(1, -(-total // BLOCK_WINDOWS))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
-    for block in range(blocks):
-        own = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("said"), F.lit(blocks)) == block)
-        known = spark.sparkContext.broadcast(own.collect())
-        packed = _scanned(packed, known, first=block == 0)
-    union = F.col("found")
-    spans = union.getField("spans")
-    return packed.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in keep],
-        union.getField("n_words").alias("n_words"),
-        F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"]).alias("n_hit"),
-        F.size(union.getField("items")).cast("long").alias("n_items"),
-        union.getField("items").alias("items"),
-        spans.alias("spans"),
-        union.getField("bounds").alias("bounds"),
-    )
+    windows = written(benchmark_windows(benchmark, item, item_text, n), "benchmark-windows")
+    packed = Packed(docs, text, NEW, keep_text)
+    if not within(windows, broadcast_windows):
+        return _scan_by_join(packed, windows)
+    known = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in windows.collect()])
+    removed(windows)
+    name = uuid.uuid4().hex
+
+    def start():
+        own = _window_set(name, known)
+        return lambda texts: _found(*([list(c) for c in zip(*_scan_texts(*W.texts(texts), own))] or [[]] * 4))
+
+    return packed.mapped(start)
+
+
+def _screen(windows: DataFrame) -> np.ndarray:
+    """A bit for each of the benchmark's hashes, by their lowest bits: of a fixed size, put together by Spark."""
+    cell = F.col("h").bitwiseAND((1 << SCREEN_BITS) - 1)
+    parts = windows.select(F.shiftright(cell, 6).alias("k"), F.expr(f"shiftleft(1L, cast(h & 63 as int))").alias("b")).groupBy("k").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(1 << (SCREEN_BITS - 6), np.int64)
+    rows = parts.toPandas()
+    out[rows["k"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
+    return out.view(U)
+
+
+def _scan_by_join(packed: Packed, windows: DataFrame) -> DataFrame:
+    """``scan`` for a benchmark of any size."""
+    spark = windows.sparkSession
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most the window's size of them
+    sent = spark.sparkContext.broadcast((_screen(windows), sizes))
+    maybe = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("h", pa.int64()), ("said", pa.string())]))
+
+    def start():
+        screen, sizes = sent.value
+
+        def run(texts: pa.Array) -> list:
+            words, out = [], []
+            data, bounds = W.texts(texts)
+            for i, j in W.chunks(bounds):
+                w = W.words(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], W.ALNUM)
+                rows: list[list[dict]] = [[] for _ in range(j - i)]
+                for size in sizes:
+                    h, at, text = w.windows(size, False)
+                    cell = h & U((1 << SCREEN_BITS) - 1)
+                    for x in np.flatnonzero((screen[cell >> U(6)] >> (h & U(63))) & U(1)).tolist():
+                        a, k = int(at[x]), int(text[x])
+                        base, first = int(bounds[i + k] - bounds[i]), int(w.first[k])
+                        rows[k].append({"start": a - first, "end": a - first + size, "first": int(w.start[a]) - base, "last": int(w.end[a + size - 1]) - base, "h": int(h[x].view(np.int64)), "said": W.folded(w, a, a + size).decode("utf-8", "replace")})
+                words += np.diff(w.first).tolist()
+                out += rows
+            return [pa.array(words, pa.int64()), pa.array(out, maybe)]
+
+        return run
+
+    # each text stays with the first of its rows
+    inner = Packed(packed.rows, "text", {"n_words": T.LongType(), "maybe": MAYBE})
+    rows = inner.mapped(start).withColumn("rid", F.monotonically_increasing_id())
+    cut = rows.select("rid", "row", "text", "n_words", F.posexplode_outer("maybe").alias("pos", "m"))
+    head = F.when(F.coalesce("pos", F.lit(0)) == 0, F.struct("row", "text", "n_words"))
+    cut = cut.select("rid", head.alias("head"), F.struct("m.start", "m.end").alias("span"), F.struct(F.col("m.first").alias("start"), F.col("m.last").alias("end")).alias("bound"), F.col("m.h").alias("h"), F.col("m.said").alias("said"), F.pmod(F.hash("rid", "pos"), F.lit(SALTS)).alias("salt"))
+    salted = windows.select("h", "said", "item", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = cut.join(salted, ["h", "said", "salt"], "left")
+    hit = F.col("item").isNotNull()
+    grouped = met.groupBy("rid").agg(F.first("head", ignorenulls=True).alias("head"), F.collect_set(F.when(hit, F.struct("span", "bound"))).alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
+    kinds = T.StructType([grouped.schema["head"], *[T.StructField(f"n{k}", kind) for k, kind in enumerate(NEW.values())]])
+
+    def merge(batches):
+        for batch in batches:
+            words = batch.column(0).field("n_words").to_pylist()
+            hits = batch.column(1).to_pylist()
+            spans = [merged([(h["span"]["start"], h["span"]["end"]) for h in own]) for own in hits]
+            bounds = [_bytes_of(own, found) for own, found in zip(spans, hits)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_found(words, spans, batch.column(2).to_pylist(), bounds)], ["head", *[f"n{k}" for k in range(len(NEW))]])
 
+    out = grouped.select("head", "hits", "items").mapInArrow(merge, kinds)
+    return packed.unpacked(out.select(F.col("head.row").alias("row"), F.col("head.text").alias("text"), *[f"n{k}" for k in range(len(NEW))]), *[F.col(f"n{k}") for k in range(len(NEW))])
 
-def _scanned(packed: DataFrame, known, first: bool) -> DataFrame:
-    """One scan of all texts against one broadcast block, joined to what earlier blocks found in the same row."""
-    schema = T.StructType([packed.schema["row"], T.StructField("text", T.StringType()), T.StructField("found", FOUND)])
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    found_type = pa.struct([("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string())), ("bounds", span)])
-    held: dict[int, WindowSet] = {}
 
-    def run(batches):
-        if id(known) not in held:
-            held[id(known)] = WindowSet(known.value)
-        windows = held[id(known)]
-        for batch in batches:
-            data, bounds = W.texts(batch.column(1))
-            was = [None] * batch.num_rows if first else batch.column(2).to_pylist()
-            found = []
-            for (n, spans, items, at), old in zip(_scan_texts(data, bounds, windows), was):
-                if old:
-                    whole = _byte_words(spans, at, old)
-                    spans, at, items = whole[0], whole[1], sorted({*items, *old["items"]})
-                found.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": items, "bounds": [{"start": a, "end": b} for a, b in at]})
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, found_type)], ["row", "text", "found"])
-
-    return packed.mapInArrow(run, schema)
-
-
-def _byte_words(spans, at, old):
-    """Union of two sets of spans, in words and in bytes; both are joined alike, for they overlap alike."""
-    if not old["spans"]:
-        return spans, at
-    pairs = [*zip(spans, at), *(((a["start"], a["end"]), (b["start"], b["end"])) for a, b in zip(old["spans"], old["bounds"]))]
-    out: list[list[list[int]]] = []
-    for (a, b), (x, y) in sorted(pairs):
-        if out and a <= out[-1][0][1]:
-            if b > out[-1][0][1]:
-                out[-1][0][1], out[-1][1][1] = b, y
-        else:
-            out.append([[a, b], [x, y]])
-    return [tuple(s) for s, _ in out], [tuple(s) for _, s in out]
+def _bytes_of(spans: list[list[int]], hits: list[dict]) -> list[list[int]]:
+    """The bytes of each merged span of words."""
+    first, last = ({h["span"][side]: h["bound"][side] for h in hits} for side in ("start", "end"))
+    return [[first[a], last[b]] for a, b in spans]
 
 
 def is_contaminated(share: int = 20):
@@ -174,22 +214,22 @@ def is_contaminated(share: int = 20):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without contaminated documents (``mode="documents"``), or with the hit spans cut out of the texts of all
-    documents (``mode="spans"``; null stays null). Columns stay as they are."""
-    found = scan(docs, benchmark, text, item, item_text, n)
+    documents (``mode="spans"``; null stays null). Columns stay as they are, whatever their names."""
+    row = F.struct(F.lit(True).alias("here"), *[column(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    found = scan(docs.select(row.alias("row"), column(text).alias("text")), benchmark, "text", item, item_text, n)
     if mode == "documents":
-        return found.where(~is_contaminated(share)).select(*[F.col(f"`{c}`") for c in docs.columns])
-    size = F.octet_length(F.col(f"`{text}`"))
-    raw = F.encode(F.col(f"`{text}`"), "utf-8")
+        return found.where(~is_contaminated(share)).select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+    raw = F.encode("text", "utf-8")
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("bounds", lambda s: s["end"]))
-    starts = F.concat(F.transform("bounds", lambda s: s["start"]), F.array(size.cast("long")))
+    starts = F.concat(F.transform("bounds", lambda s: s["start"]), F.array(F.octet_length("text").cast("long")))
     parts = F.zip_with(ends, starts, lambda a, b: F.decode(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")), "utf-8"))
-    cut = F.when(F.col(f"`{text}`").isNotNull(), F.array_join(parts, ""))
-    return found.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    cut = F.when(F.col("text").isNotNull(), F.array_join(parts, ""))
+    return found.select(*[cut.alias(c) if c == text else F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan(docs, table(spark, sf_dir, "benchmark"))
+    found = scan(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated")
     )

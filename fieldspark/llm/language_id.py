@@ -5,8 +5,8 @@ gives each symbol a probability from the three symbols before it; the language o
 is predicted. A text is rejected where it has no letters or where even the best model's cross-entropy lies outside of
 what the calibration rows of that language show for its length, those left out whose best model isn't their label's.
 
-The models are fitted on a sample of the learning rows of at most about ``fit_docs`` documents a language (chosen by a
-hash of the text; all of them where there are fewer), counted by Spark; prediction reads every text as a whole.
+The models are fitted on a sample of the learning rows of at most ``fit_docs`` different texts a language (those of the
+least hash; all of them where there are fewer), counted by Spark; prediction reads every text as a whole.
 """
 
 from __future__ import annotations
@@ -19,22 +19,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, removed, table, written
 
 U = np.uint64
 ORDER = 4
-#: The documents of a language that its model, and its calibration, are fitted on (about; by hash).
+#: The different texts of a language that its model, and its calibration, are fitted on at most.
 FIT_DOCS, CALIBRATION_DOCS = 2_000, 500
 #: Symbols: 0 bound, 1 letters that are not among the learned ones, from 2 the learned letters; 16 bits each.
 BOUND, OTHER, MOST_LETTERS = 0, 1, 65_000
 UNDETERMINED = "und"
+#: Bytes of texts predicted at a time, log-probabilities held at a time, and the most languages that one table is for.
+SLICE, PIECE_LOGS, MOST_LANGS = 1 << 17, 1 << 19, 1_000
 #: A text is rejected beyond this quantile of the deviations of the calibration rows, and this many spreads at least.
 QUANTILE, LEAST = 0.99, 6.0
-#: Documents of a language from which a fifth, or the rows that the models aren't fitted on if they are so many, can be set
-#: aside for calibration; with fewer it uses the fitted ones, whose entropies are lower than those of new documents.
-SET_ASIDE, LEFT = 100, 20
+#: Texts of a language from which a fifth can be set aside for calibration; with fewer it uses the fitted ones, whose
+#: entropies are lower than those of new documents.
+SET_ASIDE = 100
 #: Nats a symbol by which whole documents differ besides (mixed, listed, repeated ones are too few to show it).
 SPREAD = 0.15
 
@@ -200,11 +203,15 @@ class CharModels:
         letters, cut = _streams(data, bounds)
         n = np.diff(cut)
         out = np.zeros((len(n), len(self.langs)))
-        if len(letters):
-            logs = self._log(_grams(self.symbols(letters), cut), ORDER)
-            some = np.flatnonzero(n)
-            out[some] = -np.add.reduceat(logs, cut[:-1][some], axis=0, dtype=np.float64) / n[some][:, None]
-        return out, n
+        grams = _grams(self.symbols(letters), cut) if len(letters) else np.zeros(0, U)
+        step = max(1, PIECE_LOGS // len(self.langs))
+        for a in range(0, len(grams), step):  # a long text, or one of many languages, is summed piece by piece
+            logs = self._log(grams[a : a + step], ORDER)
+            first = max(0, int(np.searchsorted(cut, a, "right")) - 1)
+            last = int(np.searchsorted(cut, a + len(logs), "left"))
+            some = first + np.flatnonzero(n[first:last])
+            out[some] -= np.add.reduceat(logs, np.maximum(cut[some] - a, 0), axis=0, dtype=np.float64)
+        return out / np.maximum(n, 1)[:, None], n
 
     def calibrate(self, entropies: np.ndarray, n: np.ndarray, truth: np.ndarray) -> None:
         """Sets each language's usual entropy and spreads, the bound of deviations, and the sharpness of the scores."""
@@ -241,29 +248,37 @@ class CharModels:
         return [self.langs[b] if k else UNDETERMINED for b, k in zip(best, n)], score, rejected, low
 
 
-def _sampled(rows: DataFrame, low: Column, high: Column) -> DataFrame:
-    """Rows whose hash, as a share of all hashes, lies from ``low`` to ``high``."""
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where((share >= low) & (share < high))
+def sample(rows: DataFrame, fit_docs: int, calibration_docs: int) -> DataFrame:
+    """(lang, text, fitted, measured): the texts that models are fitted on and those that they are calibrated on.
+
+    Different texts of a language count, not their copies: the ``fit_docs`` of the least hash are fitted, and the next
+    ``calibration_docs`` measured, exactly. Of a language with fewer, a fifth is measured, or all are for both. No
+    language is left out, and none has more than the two numbers together.
+    """
+    hashed = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    n = hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))  # a row a language
+    # with some to spare, the texts below a share of all hashes; what is sent on is bounded whatever the table's size
+    share = 1.5 * (fit_docs + calibration_docs) / F.col("n")
+    near = hashed.join(F.broadcast(n), "lang").where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    texts = near.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    place = texts.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
+    all_of = place.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("lang")))
+    few = F.col("m") < fit_docs + calibration_docs
+    fifth = F.ceil(F.when(F.col("m") >= SET_ASIDE, 0.8).otherwise(1.0) * F.col("m"))
+    last = F.when(few, F.least(fifth, F.lit(fit_docs))).otherwise(fit_docs)
+    fitted = F.col("k") <= last
+    measured = F.when(few & (F.col("m") < SET_ASIDE), F.lit(True)).otherwise(~fitted & (F.col("k") <= last + calibration_docs))
+    return all_of.select("lang", "text", fitted.alias("fitted"), measured.alias("measured")).where("fitted or measured")
 
 
 def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS) -> CharModels | None:
     """Models of the languages in ``rows`` (text, lang); None where no row has both. Rows with a null in either count for
-    nothing, and so do texts without letters."""
+    nothing, and so do texts without letters. More than ``MOST_LANGS`` languages are an error."""
     rows = rows.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    counted = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
-    if not counted:
-        return None
-    shares, starts, widths = [], [], []
-    for lang, n in counted:
-        share = min(1.0, fit_docs / n)
-        if n * (1 - share) < LEFT:
-            share = 0.8 if n >= SET_ASIDE else 1.0
-        start = share if share < 1 else 0.0
-        shares += [F.lit(lang), F.lit(share)]
-        starts += [F.lit(lang), F.lit(start)]
-        widths += [F.lit(lang), F.lit(min(calibration_docs / n, 1 - start))]
-    share = F.create_map(*shares)[F.col("lang")]
+    spread = rows.sparkSession.sparkContext.defaultParallelism
+    chosen = written(sample(rows, fit_docs, calibration_docs).repartition(spread), "language-sample")
+    if len(chosen.select("lang").distinct().limit(MOST_LANGS + 1).collect()) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
 
     def count(batches):
         for batch in batches:
@@ -285,8 +300,7 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
                     ["lang", "a", "b", "c", "d", "n"],
                 )
 
-    sample = _sampled(rows, F.lit(0.0), share)
-    grams = sample.mapInArrow(count, "lang string, a long, b long, c long, d long, n long").groupBy("lang", "a", "b", "c", "d").agg(F.sum("n").alias("n")).toPandas()
+    grams = chosen.where("fitted").select("text", "lang").mapInArrow(count, "lang string, a long, b long, c long, d long, n long").groupBy("lang", "a", "b", "c", "d").agg(F.sum("n").alias("n")).toPandas()
     if not len(grams):
         return None
     points = grams[["a", "b", "c", "d"]].to_numpy()
@@ -305,8 +319,6 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
         packed.append((k, np.bincount(inverse, grams["n"].to_numpy()[own])))
     models = CharModels(langs, letters, packed)
 
-    # calibration rows lie beside the fitted ones in the order of the hash, or are the same where there are too few
-    start, width = F.create_map(*starts)[F.col("lang")], F.create_map(*widths)[F.col("lang")]
     held = models
 
     def measure(batches):
@@ -319,39 +331,38 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
             ok = (n > 0) & (truth >= 0)
             yield pa.RecordBatch.from_arrays([pa.array(list(h[ok]), pa.list_(pa.float64())), pa.array(n[ok].astype(np.int64)), pa.array(truth[ok].astype(np.int64))], ["h", "n", "truth"])
 
-    seen = _sampled(rows, start, start + width).mapInArrow(measure, "h array<double>, n long, truth long").toPandas()
+    seen = chosen.where("measured").select("text", "lang").mapInArrow(measure, "h array<double>, n long, truth long").toPandas()
     h = np.stack(seen["h"].to_numpy()) if len(seen) else np.zeros((0, len(langs)))
     models.calibrate(h, seen["n"].to_numpy(), seen["truth"].to_numpy())
+    removed(chosen)
     return models
 
 
-PREDICTED = ("lang_pred", "score", "rejected", "entropy")
+PREDICTED = {"lang_pred": T.StringType(), "score": T.DoubleType(), "rejected": T.BooleanType(), "entropy": T.DoubleType()}
 
 
-def predict(docs: DataFrame, models: CharModels | None, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, models: CharModels | None, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1), ``rejected`` and ``entropy`` (nats per symbol).
 
     A null text, or one without letters, is ``und`` with score 0 and rejected; so is every text where there are no
-    models. Only the text is looked at. Columns of ``docs`` of the four new names are replaced, others pass through.
+    models. Only the text is looked at. Columns of ``docs`` of the four new names are replaced, others pass through
+    (without ``keep_text`` the text doesn't); repeated rows get equal results, an empty table gives an empty one.
     """
-    keep = [c for c in docs.columns if c not in PREDICTED]
-    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"))
+    packed = Packed(docs, text, PREDICTED, keep_text)
     if models is None:
-        out = packed.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0), "rejected": F.lit(True), "entropy": F.lit(0.0)})
-    else:
-        sent = docs.sparkSession.sparkContext.broadcast(models)
+        return packed.unpacked(packed.rows, F.lit(UNDETERMINED), F.lit(0.0), F.lit(True), F.lit(0.0))
+    sent = docs.sparkSession.sparkContext.broadcast(models)
+
+    def start():
+        own = sent.value
+
+        def run(texts: pa.Array) -> list:
+            lang, score, rejected, entropy = own.predict(*W.texts(texts))
+            return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(entropy, pa.float64())]
 
-        def run(batches):
-            own = sent.value
-            for batch in batches:
-                data, bounds = W.texts(batch.column(1))
-                found = [own.predict(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]) for i, j in W.chunks(bounds)]
-                lang, score, rejected, entropy = (np.concatenate(x) for x in zip(*found)) if found else ([], [], [], [])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(lang), pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(entropy, pa.float64())], ["row", "text", *PREDICTED])
+        return run
 
-        kinds = (T.StringType(), T.DoubleType(), T.BooleanType(), T.DoubleType())
-        out = packed.mapInArrow(run, T.StructType([*packed.schema, *[T.StructField(c, k) for c, k in zip(PREDICTED, kinds)]]))
-    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], *PREDICTED)
+    return packed.mapped(start, SLICE)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -367,5 +378,5 @@ def learning_rows(docs: DataFrame) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     models = fit(learning_rows(docs))
-    out = predict(docs.select("doc_id", "text"), models)
+    out = predict(docs.select("doc_id", "text"), models, keep_text=False)
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected", "entropy")

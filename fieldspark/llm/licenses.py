@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldspark.llm.shared import UPPER, LOWER, table
+from fieldspark.llm.shared import LOWER, UPPER, Packed, table
 
 THRESHOLD = 0.8
 # Public notices by which texts name their licence, by SPDX name.
@@ -59,24 +60,25 @@ def by_size(sets: DataFrame, threshold: float) -> DataFrame:
     return sets.select("template", "license", "grams", F.explode(F.sequence(F.greatest(F.lit(1), low.cast("int")), high.cast("int"))).alias("n"))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``license`` (of the best match: highest Dice, then first name), ``dice``, ``n_matches`` (units of the
     text that match a template) and ``licenses`` (all names that match, sorted) after its columns.
 
     The units of a text are its lines, its paragraphs of more than one line (between blank lines) and the whole where it
     has more than one paragraph. Units that match nothing, and texts that are null or empty, have null, 0.0, 0 and no
     names. The templates are a fixed parameter and the only thing broadcast; units whose size fits no template are
-    dropped inside their row, and no text is shuffled. Columns of the four new names are replaced, others pass through.
+    dropped inside their row. Without ``keep_text`` the text doesn't pass, and none is shuffled. Columns of the four new
+    names are replaced, others pass through.
     """
     spark = docs.sparkSession
-    new = ("license", "dice", "n_matches", "licenses")
-    keep = [c for c in docs.columns if c not in new and c != text]
+    new = {"license": T.StringType(), "dice": T.DoubleType(), "n_matches": T.LongType(), "licenses": T.ArrayType(T.StringType())}
     sized = by_size(template_sets(spark, templates), threshold)
     sizes = [r["n"] for r in sized.select("n").distinct().collect()] or [1]  # of the fixed templates
     least, most = min(sizes), max(sizes)
 
-    said = normalised(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep]).alias("row"), said.alias("said"))
+    packed = Packed(docs, text, new, keep_text)
+    held = F.struct("row", "text") if packed.keeps_text else F.struct("row")
+    rows = packed.rows.select(F.monotonically_increasing_id().alias("rid"), held.alias("row"), normalised(F.coalesce("text", F.lit(""))).alias("said"))
     rows = rows.withColumn("paragraphs", F.split("said", "\n ?(?:\n ?)+"))
     none = F.array().cast("array<string>")
     units = F.concat(
@@ -102,11 +104,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
         F.count("unit").alias("n_matches"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("licenses"),
     )
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *new)
+    return packed.unpacked(out.select("row.*", *new), *[F.col(c) for c in new])
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return out.select("doc_id", "license", "dice", "n_matches", F.array_join("licenses", ",").alias("licenses"))
 
 

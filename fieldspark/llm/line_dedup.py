@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldspark.llm.shared import ascii_lower, table, within, written
+from fieldspark.llm.shared import Packed, ascii_lower, column, table, within, written
 
 #: Stripped at both ends of a line; the line feed cannot occur inside one.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,7 +31,7 @@ def common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_ch
     Every row is a document of its own, also where ids repeat. Each document's hashes are made distinct inside its row,
     so that the one shuffle only carries partial counts and a line that is everywhere costs one row per task.
     """
-    lines = F.split(ascii_lower(F.coalesce(F.col(text), F.lit(""))), "\n")
+    lines = F.split(ascii_lower(F.coalesce(column(text), F.lit(""))), "\n")
     keys = F.transform(lines, lambda x: F.btrim(x, F.lit(BLANKS)))  # as line_key, but each key is made once a line
     return (
         docs.select(F.explode(F.array_distinct(F.transform(keys, lambda x: F.when(F.length(x) >= min_chars, F.md5(x))))).alias("h"))
@@ -50,10 +51,9 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, m
     empty text. Repeated rows and null ids are rows like others. Columns of ``docs`` named ``n_lines`` or ``n_dropped``
     are replaced; all others pass through, whatever their names. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
     common = written(common_lines(docs, text, min_docs, min_chars), "common-lines")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("rid"))
+    packed = Packed(docs, text, {"n_lines": T.LongType(), "n_dropped": T.LongType()})
+    rows = packed.rows.withColumn("rid", F.monotonically_increasing_id())
     lines = rows.select("rid", F.when(F.col("text").isNotNull(), F.lit(True)).alias("real"), "row", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
     lines = lines.select("rid", "pos", "line", F.when(F.col("pos") == 0, F.struct("real", "row")).alias("head"), F.unhex(_hash(F.col("line"), min_chars)).alias("line_hash"))
     if within(common, BROADCAST_KEYS):
@@ -69,8 +69,8 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, m
         F.count("hit").alias("n_dropped"),
         F.array_join(F.sort_array(F.collect_list(kept)).getField("line"), "\n").alias("kept"),
     )
-    order = [F.when(F.col("head.real"), F.col("kept")).alias(text) if c == text else F.col(f"head.row.`{c}`").alias(c) for c in keep]
-    return out.select(*order, "n_lines", "n_dropped")
+    out = out.select(F.col("head.row").alias("row"), F.when(F.col("head.real"), F.col("kept")).alias("text"), "n_lines", "n_dropped")
+    return packed.unpacked(out, F.col("n_lines"), F.col("n_dropped"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

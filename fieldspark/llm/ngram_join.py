@@ -1,17 +1,24 @@
 """N-gram Jaccard join: documents whose sets of word shingles overlap, found by signature trees.
 
-1. Each text becomes its set of shingle hashes. Equal sets are one class from here on, so that a group of copies of any
-   size is one row.
-2. Routing. Two sets of sizes a and b within the threshold differ in at most k tokens, k known from a size range. Their
-   tokens are dealt into more than k buckets by hash, so at least one bucket holds the same tokens in both. Each class
-   sends a digest of every filled bucket; classes with a digest in common meet in the cell of the least of them. Common
-   words, lines or passages don't gather unlike documents, because whole buckets must agree.
-3. In each cell a signature tree is built over its sets and joined with itself; the pairs that bitmaps and sizes leave
-   are checked exactly. A large cell is cut into blocks with its least class in each, so no task has more than one block.
-4. Cells with several blocks and several components are looked at again: members outside the cell's largest component
-   against all its members, block by block. No link between different components is lost, and pairs within a component
-   are not repeated.
-5. Components by star contraction; the smallest id of a component names it.
+Each text becomes its set of shingle hashes, its tokens. Equal sets are one class from here on, so that a group of copies
+of any size is one row. The signature tree over the classes has its nodes in these levels, from the root down:
+
+1. Size ranges. Classes whose sizes are further apart than the threshold allows are in ranges that are never paired.
+2. Segments. A bitmap wide enough for a bit a token is cut into more segments than two sets of a range within the threshold
+   may differ in tokens, so at least one segment is the same in both. A node is a segment with what it holds, its members
+   all classes that agree in it; nodes with different bits in a segment aren't paired there, since all pairs within the
+   threshold meet below another segment. Segments are sent as digests, and a shuffle joins members of equal ones, which
+   is what makes the traversal of this level linear: a pair of nodes is never looked at unless it is one node. Members that
+   meet in several nodes are joined in one of them, the cell of their least class. Common words, lines or passages don't
+   gather unlike documents, because whole segments must agree.
+3. Inside a cell, nodes of pairs, fours, eights ... of classes in the order of their sizes, each with the OR of its members'
+   bitmaps and the range of their sizes. The dual traversal drops a pair of nodes as soon as the largest overlap that
+   bitmaps and sizes allow misses the threshold, and checks the pairs of leaves that remain exactly.
+
+A large cell is cut into blocks with its least class in each, so no task has more than one block. Cells with several
+blocks and several components are looked at again: members outside the cell's largest component against all its members,
+block by block. No link between different components is lost, and pairs within a component are not repeated. Components
+are found by star contraction; the smallest id of a component names it.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm import words as W
 from fieldspark.llm.components import components
-from fieldspark.llm.shared import table, within, written
+from fieldspark.llm.shared import column, removed, slices, table, within, written
 from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
@@ -33,6 +40,10 @@ U = np.uint64
 BLOCK_SETS, BLOCK_TOKENS = 1024, 2_000_000
 #: Ids of documents in cells that are broadcast to fetch those documents' sets; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Cells of more than one block that are broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 200_000
+#: Names that a task remembers, so that copies within it are routed once.
+REMEMBERED = 200_000
 #: Ratio of the bounds of a size range at least, and deals tried for a set that fills too few buckets.
 RANGE, DEALS = 1.3, 4
 
@@ -50,7 +61,7 @@ def size_ranges(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def digests(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """The routing keys of one set: of its own size range and, where it may be the larger of a pair, the one below."""
+    """The segments of one set's bitmap: of its own size range and, where it may be the larger of a pair, the one below."""
     low, most, buckets = size_ranges(percent)
     n = len(tokens)
     home = int(np.searchsorted(low, n, "right")) - 1
@@ -97,39 +108,32 @@ def _named(tokens: np.ndarray) -> tuple[int, str]:
     return a - (1 << 63), f"{a:016x}{b:016x}"
 
 
-def _summary(k: int):
-    def run(batches):
-        for batch in batches:
-            n, node = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
-            for row, tokens in _sets(batch.column(1), k):
-                n[row], node[row] = len(tokens), _named(tokens)[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(node, pa.string())], ["id", "n", "node"])
-
-    return run
-
+def _summary(k: int, percent: int):
+    """Of each row its set's size and names and, once a task for equal sets, the segments' digests."""
 
-def _routes(k: int, percent: int):
     def run(batches):
-        seen: set[int] = set()  # copies within a task are sent once
+        seen: set[int] = set()
         for batch in batches:
-            keys, names = [], []
-            for _, tokens in _sets(batch.column(0), k):
-                name = _named(tokens)[0]
-                if name not in seen:
-                    seen.add(name)
-                    keys.append(digests(tokens, percent))
-                    names.append(np.full(len(keys[-1]), name, np.int64))
-            if len(seen) > 1_000_000:
-                seen.clear()
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], ["digest", "name"])
+            for part in slices(batch, 1):
+                count = part.num_rows
+                n, node, name = np.zeros(count, np.int64), [None] * count, [None] * count
+                keys: list = [None] * count
+                for row, tokens in _sets(part.column(1), k):
+                    n[row] = len(tokens)
+                    name[row], node[row] = _named(tokens)
+                    if name[row] not in seen:
+                        seen.add(name[row])
+                        keys[row] = digests(tokens, percent).view(np.int64)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(node, pa.string()), pa.array(name, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "node", "name", "digests"])
 
     return run
 
 
 def _payload(k: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 0)):
             found = [(*_named(t), len(t), t.tobytes()) for _, t in _sets(batch.column(0), k)]
             name, node, n, tokens = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(node, pa.string()), pa.array(n, pa.int64()), pa.array(tokens, pa.binary())], ["name", "node", "n", "tokens"])
@@ -188,18 +192,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links reach, the row's own included. Rows of one id with different texts are linked only where their texts are; a
     row whose id is null has no part in the links and a null component. Other columns are not looked at.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(column(doc_id).alias("id"), column(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    base = written(rows.mapInArrow(_summary(words), f"id {id_type}, n long, node string"), "sets")
+    base = written(rows.mapInArrow(_summary(words, percent), f"id {id_type}, n long, node string, name long, digests array<long>"), "sets")
     valid = rows.where("id is not null")
 
-    routes = valid.select("text").mapInArrow(_routes(words, percent), "digest long, name long")
+    routes = base.where("id is not null and digests is not null").select(F.explode("digests").alias("digest"), "name")
     least = routes.groupBy("digest").agg(F.min("name").alias("cell"), F.max("name").alias("top")).where("cell < top").select("digest", "cell")
     cells = written(routes.join(least, "digest").select("cell", "name").distinct(), "cells")
 
-    classes = base.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("low"), F.max("n").alias("n"))
-    named = classes.withColumn("name", F.expr("cast(conv(substr(node, 1, 16), 16, 10) as decimal(20, 0)) - 9223372036854775808BD").cast("long"))
-    inside = named.join(cells.select("name").distinct(), "name")
+    classes = base.where("n > 0 and id is not null").groupBy("node", "name").agg(F.min("id").alias("low"), F.max("n").alias("n"))
+    inside = classes.join(cells.select("name").distinct(), "name")
     wanted = written(inside.select(F.col("low").alias("id"), "name", "node", "n"), "wanted")
     ids = wanted.select("id").distinct()
     fetched = valid.join(F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids, "id", "left_semi")
@@ -207,7 +210,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     sized = cells.join(wanted.select("name", "n"), "name").groupBy("cell").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("t"))
     blocks = sized.select("cell", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    members = cells.join(blocks, "cell")
+    large = written(blocks.where("blocks > 1"), "large-cells")
+    members = cells.join(F.broadcast(large) if within(large, BROADCAST_CELLS) else large, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     # the least class of a cell stands in each of its blocks
     dealt = members.select(
         "cell", "name", "blocks",
@@ -232,6 +236,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         more = written(_links(again, percent), "links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
+        removed(more)
+    removed(cells, wanted, sets, large, dealt, links)
 
     owned = classes.select("node", "low").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least_id = owned.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, table
 
 UNKNOWN_PENALTY = 10.0
-#: Words whose counts one Python worker keeps, and the longest that it keeps.
-KEPT_WORDS, WORD_CHARS = 400_000, 64
+#: Words whose counts a task keeps: the last ones used, from once to twice so many, and the longest that it keeps.
+KEPT_WORDS, WORD_CHARS = 50_000, 64
 MARK = "▁"
 
 
@@ -36,7 +36,11 @@ class CountingViterbi:
             if piece:
                 self.matches.add_word(piece, (len(piece), score))
         self.matches.make_automaton()
-        self.kept: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def count(self, word: str) -> int:
         """Pieces of the best path through ``word``."""
@@ -81,16 +85,18 @@ class CountingViterbi:
         parts = text.replace(" ", MARK).split(MARK)
         if not parts[0] and len(parts) > 1:
             del parts[0]  # the text's own first mark stands for the one that is put before other texts
-        kept, total = self.kept, 0
+        young, old, total = self.young, self.old, 0
         for part in parts:
-            n = kept.get(part)
+            n = young.get(part)
             if n is None:
-                n = self.count(MARK + part)
+                n = old.get(part)
+                if n is None:
+                    n = self.count(MARK + part)
                 if len(part) <= WORD_CHARS:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[part] = n
+                    young[part] = n
             total += n
+        if len(young) > KEPT_WORDS:
+            self.old, self.young = young, {}
         return total
 
 
@@ -112,25 +118,23 @@ def default_path() -> str:
 _loaded: dict[str, CountingViterbi] = {}
 
 
-def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens`` after its columns: the pieces of each whole text under the vocabulary in ``path``.
 
     Null and empty texts have none. A column of that name is replaced, others pass through; repeated rows count alike.
     """
-    keep = [c for c in docs.columns if c != "n_tokens"]
-    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"))
 
-    def run(batches):
+
+    def start():
         if path not in _loaded:
+            _loaded.clear()
             _loaded[path] = CountingViterbi(unigram_vocabulary(path))
         viterbi = _loaded[path]
-        for batch in batches:
-            counts = [viterbi.count_text(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], ["row", "text", "n_tokens"])
+        viterbi.forget()
+        return lambda texts: [pa.array([viterbi.count_text(t or "") for t in texts.to_pylist()], pa.int64())]
 
-    out = packed.mapInArrow(run, T.StructType([*packed.schema, T.StructField("n_tokens", T.LongType())]))
-    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], "n_tokens")
+    return Packed(docs, text, {"n_tokens": T.LongType()}, keep_text).mapped(start)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), default_path()).select("doc_id", "n_tokens")
+    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), default_path(), keep_text=False).select("doc_id", "n_tokens")

@@ -1,8 +1,9 @@
 """Words and word windows of whole texts as numpy arrays, for use inside Arrow-batched tasks.
 
 Works on the UTF-8 bytes of a batch: both word definitions only test bytes below 0x80, so that every byte of a longer
-character belongs to a word, and only A-Z are lower-cased. Hashes are polynomials modulo 2**64 over per-byte constants,
-taken from prefix sums, then mixed; equal words have equal hashes in every task.
+character belongs to a word, and only A-Z are lower-cased. A word's hash takes eight bytes a step through a mixing
+bijection, a long one as a tree of pieces; no sum or product over all letters is involved, so that texts built to
+collide under polynomials don't. Equal words have equal hashes in every task.
 """
 
 from __future__ import annotations
@@ -14,9 +15,13 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one vector operation handles; a longer text is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 U = np.uint64
-BASE, BASE_INV = U(0x9E3779B97F4A7C15), U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+ODD = U(0x9E3779B97F4A7C15)
+#: Bytes of a word that are hashed in a row; a longer one is cut into such pieces.
+PIECE = 64
+#: The bytes of a word's last eight that belong to it.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,31 +44,48 @@ ALNUM = _mask([range(0x30), range(0x3A, 0x61), range(0x7B, 0x80)])
 ALNUM[0x41:0x5B] = True
 _folded = np.arange(256, dtype=U)
 _folded[0x41:0x5B] += U(32)
-BYTE_HASH = mix((_folded + U(1)) * BASE)
 FOLD = _folded.astype(np.uint8)
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(n: int, base: np.uint64) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64; kept for the next call of this process up to a few chunks."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, base, U)
-        steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if size <= 4 * CHUNK:
-            _powers[int(base)] = have
-    return have[:n]
-
-
-def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span values[start:end], by one prefix array of polynomial sums."""
-    prefix = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(len(values), BASE), out=prefix[1:])
-    back = powers(len(values) + 1, BASE_INV)
-    return mix((prefix[ends] - prefix[starts]) * back[starts] + (ends - starts).astype(U))
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two spans side by side from theirs."""
+    return mix(a * ODD + b)
+
+
+def spans_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span data[start:end] of bytes."""
+    size = end - start
+    out = mix(size.astype(U) + ODD)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))  # the eight bytes from each place on
+    at, step = np.flatnonzero(size <= PIECE), 0
+    while len(at):
+        left = size[at] - step
+        out[at] = joined(out[at], eight[start[at] + step] & MASKS[np.minimum(left, 8)])
+        step += 8
+        at = at[left > 8]
+    long = np.flatnonzero(size > PIECE)
+    if len(long):
+        pieces = -(-size[long] // PIECE)
+        first = np.cumsum(pieces) - pieces
+        own = np.repeat(np.arange(len(long)), pieces)
+        begin = start[long][own] + (np.arange(len(own)) - first[own]) * PIECE
+        parts = spans_hash(data, begin, np.minimum(begin + PIECE, end[long][own])).astype("<u8").view(np.uint8)
+        out[long] = joined(out[long], spans_hash(parts, 8 * first, 8 * (first + pieces)))
+    return out
+
+
+def runs_hash(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of ``k`` of ``hashes``, put together from runs of powers of two."""
+    out, done, power, size = None, 0, hashes, 1
+    while True:
+        if k & size:
+            n = len(hashes) - done - size + 1
+            out = power if out is None else joined(out[:n], power[done : done + n])
+            done += size
+        if done == k:
+            return mix(out + U(k * int(ODD) % (1 << 64)))
+        power, size = joined(power[:-size], power[size:]), 2 * size
 
 
 @dataclass
@@ -80,15 +102,20 @@ class Words:
         """(hash, first word, text) of all windows of ``k`` words; with ``short``, texts of fewer words give one."""
         count = np.diff(self.first)
         text = np.repeat(np.arange(len(count)), count)
-        at = np.arange(len(self.hash))
-        inside = at + k <= self.first[1:][text]
-        end = at + k
-        if short:
-            whole = (at == self.first[:-1][text]) & (count[text] < k)
-            inside |= whole
-            end = np.where(whole, self.first[1:][text], end)
-        at, end, text = at[inside], end[inside], text[inside]
-        return spans_hash(self.hash, at, end), at, text
+        at = np.flatnonzero(np.arange(len(text)) + k <= self.first[1:][text])
+        hashes = runs_hash(self.hash, k)[at] if len(at) else np.zeros(0, U)
+        if not short:
+            return hashes, at, text[at]
+        few = np.flatnonzero((count > 0) & (count < k))
+        own = np.zeros(len(few), U)
+        for n in range(1, k):
+            same = np.flatnonzero(count[few] == n)
+            if len(same):
+                begin = self.first[few[same]]
+                own[same] = runs_hash(self.hash[begin[:, None] + np.arange(n)].ravel(), n)[::n]
+        at, text = np.concatenate([at, self.first[few]]), np.concatenate([text[at], few])
+        order = np.argsort(at, kind="stable")
+        return np.concatenate([hashes, own])[order], at[order], text[order]
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +156,7 @@ def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> Words:
     begins[cut] |= inside[cut]
     ends[cut - 1] |= inside[cut - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(data, start, end, spans_hash(BYTE_HASH[data], start, end), np.searchsorted(start, bounds))
+    return Words(data, start, end, spans_hash(FOLD[data], start, end), np.searchsorted(start, bounds))
 
 
 def folded(w: Words, i: int, j: int) -> bytes:

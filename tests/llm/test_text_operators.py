@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,28 @@ def test_jaccard_components_without_broadcast_and_with_null_ids(spark, texts, mo
     assert ngram_join.jaccard_components(df.limit(0)).count() == 0
 
 
+def test_words_built_to_collide_under_polynomials_stay_apart(spark):
+    said = "a"
+    while len(said) < 1024:
+        said += said.translate({97: 98, 98: 97})
+    other = said.translate({97: 98, 98: 97})
+    df = docs(spark, [said, other, said.upper(), f"{said} x y z", f"{other} x y z"])
+    assert [r[2] for r in sorted(ngram_join.jaccard_components(df, words=3, percent=90).collect())] == [0, 1, 0, 3, 4]
+    assert {r["n"] for r in lm_score.word_counts(df).collect()} == {2, 3}
+
+
+def test_word_hashes_tell_words_apart():
+    r = random.Random(14)
+    said = [" ".join("".join(r.choice("abé") for _ in range(r.choice([1, 7, 8, 9, 63, 64, 65, 700, 5000]))) for _ in range(30)) for _ in range(30)]
+    w = W.words(*W.texts(pa.array(said)), W.SPACED)
+    every = [x for t in said for x in words(t)]
+    assert len(set(zip(every, w.hash.tolist()))) == len(set(every)) == len(set(w.hash.tolist()))
+    for k in (1, 2, 3, 13, 40):
+        h, at, text = w.windows(k, True)
+        want = [(i, tuple(x[a : a + k])) for i, x in enumerate(map(words, said)) for a in range(max(1, len(x) - k + 1))]
+        assert [i for i, _ in want] == text.tolist() and len({(x, y) for (_, x), y in zip(want, h.tolist())}) == len({x for _, x in want}) == len(set(h.tolist()))
+
+
 def test_signature_tree_keeps_every_link():
     r = np.random.default_rng(1)
     for _ in range(20):
@@ -206,6 +229,33 @@ def test_unlearned_languages_are_rejected(spark):
     assert [x for x in new if not got[x[0]]] == [] and [x for x in rows[:600] if got[x[0]]] == []
 
 
+def test_copies_neither_crowd_out_nor_lose_a_language(spark):
+    r = random.Random(13)
+    parts = {"xx": "ka ro mi tu se na lo".split(), "yy": "blin stra grunt oft prus chwe".split()}
+    make = lambda lang, n: " ".join("".join(r.choice(parts[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+    one = make("yy", 60)
+    rows = [(make("xx", 30), "xx") for _ in range(300)] + [(one, "yy")] * 2_000
+    df = spark.createDataFrame(rows, "text string, lang string")
+    got = {(r["lang"], r["fitted"], r["measured"]): r["n"] for r in language_id.sample(df, 50, 20).groupBy("lang", "fitted", "measured").agg(F.count("text").alias("n")).collect()}
+    assert got == {("xx", True, False): 50, ("xx", False, True): 20, ("yy", True, True): 1}
+    models = language_id.fit(df, 50, 20)
+    assert models.langs == ["xx", "yy"]
+    pieces = [t for t, _ in rows[:40]] + [one[:80], one]
+    whole = models.predict(*W.texts(pa.array(pieces)))
+    assert whole[0] == ["xx"] * 40 + ["yy"] * 2
+
+
+def test_entropies_do_not_depend_on_pieces(spark, monkeypatch):
+    letters = np.arange(97, 103)
+    key = language_id._grams(np.arange(400) * 7 % 6 + 2, np.array([0, 400]))
+    m = language_id.CharModels(["a", "b"], letters, [np.unique(key, return_counts=True)] * 2)
+    data, bounds = W.texts(pa.array(["abc abd", None, "", "1 2", "fedcba" * 50, "é", "a"]))
+    want = m.entropies(data, bounds)
+    monkeypatch.setattr(language_id, "PIECE_LOGS", 14)
+    got = m.entropies(data, bounds)
+    assert np.allclose(want[0], got[0], atol=1e-5) and (want[1] == got[1]).all()
+
+
 def test_kneser_ney_sums_to_one():
     r = np.random.default_rng(4)
     letters = np.arange(97, 103)
@@ -244,15 +294,21 @@ def brute_scan(texts, items, n=13):
 
 @pytest.mark.parametrize("block", [200_000, 7])
 def test_decontamination(spark, texts, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+    monkeypatch.setattr(decontaminate.scan, "__defaults__", tuple(block if d == decontaminate.BROADCAST_WINDOWS else d for d in decontaminate.scan.__defaults__))
     items = [(1, texts[12]), (2, texts[12]), (30, "Z1, z2"), (4, None), (5, "..."), (None, "x"), (6, " ".join(words(texts[15])[:20]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     said = [*texts, "before " + texts[12] + " after", "z1 Z2 z1-z2", "X", "z1\nz2 and more words than twenty " * 9]
     df = docs(spark, said).withColumn("spans", F.lit("mine"))
     got = {r["doc_id"]: r for r in decontaminate.scan(df, bench).collect()}
+    assert set(decontaminate.scan(df, bench).columns) == {*df.columns, *decontaminate.NEW}
     for i, (n, hit, found) in enumerate(brute_scan(said, [x for x in items if x[0] is not None])):
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) == (n, hit, found), said[i]
-    kept = {r["doc_id"] for r in decontaminate.decontaminate(df, bench).collect()}
+        for span, place in zip(got[i]["spans"], got[i]["bounds"]):
+            raw = said[i].encode()[place["start"] : place["end"]].decode()
+            assert words(raw, ALNUM) == words(said[i], ALNUM)[span["start"] : span["end"]]
+    rows = decontaminate.decontaminate(df, bench).collect()
+    assert all((r["spans"], r["n"], r["rid"]) == ("mine", 2, "r") for r in rows) and rows[0].asDict().keys() == set(df.columns)
+    kept = {r["doc_id"] for r in rows}
     assert kept == {i for i, r in got.items() if not (r["n_hit"] > 0 and 20 * r["n_hit"] >= r["n_words"])}
     cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(df, bench, mode="spans").collect()}
     assert cut[len(texts)] == "before  after" and cut[len(texts) + 1] == "" and cut[0] is None
@@ -378,7 +434,7 @@ def test_lm_score(spark, texts):
     got = {r["doc_id"]: r for r in lm_score.score(df, (v, net)).collect()}
     for i, t in enumerate(texts):
         w = words(t, ALNUM)
-        hashes = W.words(*W.texts(__import__("pyarrow").array([t or ""])), W.ALNUM).hash
+        hashes = W.words(*W.texts(pa.array([t or ""])), W.ALNUM).hash
         ids = [v.tokens - 1] * 2 + v.lookup(hashes).tolist() + [v.tokens - 1] * 2
         total = 0.0
         for k in range(len(w)):
@@ -420,7 +476,7 @@ def test_rare_words_keep_their_shares(spark, texts):
     assert len(own) == len(even) == len(texts) and any(count[h] > 1 for h in count if bucket(h) >= v.size)
     for i, t in enumerate(texts):
         lift = 0.0
-        for h in W.words(*W.texts(__import__("pyarrow").array([t or ""])), W.ALNUM).hash:
+        for h in W.words(*W.texts(pa.array([t or ""])), W.ALNUM).hash:
             if bucket(h) >= v.size:
                 lift += np.log(count[h] / mass[bucket(h)]) + np.log(kinds[bucket(h)])
         assert own[i]["log_prob"] == pytest.approx(even[i]["log_prob"] + lift, abs=1e-6) and own[i]["n_tokens"] == even[i]["n_tokens"] and own[i]["text"] == t
