@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
-from fieldspark.llm.shared import table, within, written
+from fieldspark.llm.shared import removed, table, within, written
 
 #: Ids of dropped near-duplicates that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
@@ -26,11 +26,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that shingles of five words link at 0.8 or more, the one of the smallest id.
 
-    Documents without words, or without an id, are in no group and stay.
+    A document is an id with a text: rows of one id with different texts are judged apart, and of rows with equal ids and
+    texts one stays. Documents without words, or without an id, are in no group and stay.
     """
-    groups = ngram_join.jaccard_components(docs, words=5, percent=80)
-    dropped = written(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(F.broadcast(dropped) if within(dropped, BROADCAST_IDS) else dropped, "doc_id", "left_anti").select(*docs.columns)
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.unhex(F.md5("text")).alias("md5")))
+    groups = written(ngram_join.jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key", words=5, percent=80).where("n_shingles > 0 and key is not null"), "groups")
+    dropped = written(groups.where("component_id < key").select("key").distinct(), "near-duplicates")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    kept = keyed.join(F.broadcast(dropped) if within(dropped, BROADCAST_IDS) else dropped, "key", "left_anti")
+    repeated = written(groups.where("component_id = key").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+        kept = kept.join(repeated, "key", "left_anti").unionByName(once)
+    removed(groups)
+    return kept.select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +49,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's tokens: their number, the ids' hash and the hash of the text that they decode to."""
-    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), bpe.default_path())
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), bpe.default_path(), keep_text=False)
     return out.select(
         "doc_id", "lang", "source",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
