@@ -1,18 +1,21 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network trained in numpy.
 
-Every token (lower-cased alphanumeric word) is predicted from the two before and the two after it, itself hidden. The
-network predicts the token's class; within a class, tokens keep their share of the corpus. A text's score is the sum of
-the log-probabilities of all its tokens. The counts of the words without ids stay a table, joined to their occurrences.
-
-Everything that is learned comes from all documents: Spark counts every word for the vocabulary, the class shares and
-the rare words of each class; and the rounds together train on every position of all texts: in each round every task
-trains on the positions of one remainder by the stride, from the same weights, after which the tasks' weights are
-averaged by the examples that they saw. Only the vocabulary, whose size is a parameter, and one set of weights come to
-the driver.
+Every token (lower-cased alphanumeric word) is predicted from the two before and the two after it, itself hidden: first
+its class, then which of the class's ids it has, both by softmax over the same hidden layer. A text's score is the sum of
+the log-probabilities of all its tokens. The most frequent words have ids of their own. Each other word shares one by hash
+and has in it its own share of the corpus, for which the counts of all words stay a table that is joined to occurrences;
+so the probabilities of all words of the corpus sum to one in every context.
+
+What is learned comes from all documents: Spark counts every word, and every position of every text trains the network
+once. Texts are dealt to shards by a hash of their rows, each shard trains from the same weights in the order of those
+hashes, and the shards' weights are averaged by the positions they saw, in a tree of a few sets a task. Neither the files'
+layout nor the number of tasks changes the result. Only the vocabulary, whose size is a parameter, and a few sets of
+weights come to the driver.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,55 +25,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import table, written
+from fieldspark.llm.shared import Packed, column, removed, slices, table, written
 
 U = np.uint64
 WINDOW = 2
+#: Tokens of one piece of a text for training (what lies beyond a piece counts as outside the text), and of one step of
+#: scoring.
+PIECE, STEP = 1 << 16, 1 << 14
+#: Sets of weights that one task, or the driver, averages.
+MEAN = 16
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Words with ids of their own; buckets that all other words share, by hash; classes of the words with ids (each
-    bucket is a class besides); sizes of embeddings and hidden layer; rounds; stride of the positions trained on in one
-    round, at most as many as there are rounds, so that none is left out."""
+    """Words with ids of their own; ids that all other words share, by hash; ids of a class; sizes of embeddings and hidden
+    layer; rounds, of which each trains on the positions of one remainder, so that all train once; positions of a shard
+    and the most shards (more positions make them larger); positions of a batch; step size (Adagrad) and seed."""
 
     vocabulary: int = 4096
-    rare: int = 16
-    classes: int = 48
-    embedding: int = 16
-    hidden: int = 32
+    rare: int = 1024
+    width: int = 64
+    embedding: int = 12
+    hidden: int = 16
     rounds: int = 2
-    stride: int = 2
-    batch: int = 512
-    rate: float = 0.3
+    shard: int = 2_000_000
+    most_shards: int = 4096
+    batch: int = 8192
+    rate: float = 0.06
     seed: int = 7
 
 
 class Vocabulary:
-    """Word hashes in a sorted array; ids, classes and log shares within the class."""
+    """Ids of word hashes: the most frequent words by falling count, then, from the next full class on, shared ids."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, rare_kinds: np.ndarray, s: Settings):
-        """``hashes``, ``counts``: the most frequent words; ``rare_*``: occurrences and kinds of the others by bucket."""
+        """``hashes``, ``counts``: the most frequent words; ``rare_*``: occurrences and kinds of the others by shared id."""
         order = np.lexsort((hashes, -counts))
-        counts = counts[order].astype(np.float64)
-        self.size, self.rare = len(order), s.rare
-        # classes of about equal mass, by falling frequency
-        share = np.cumsum(counts) - counts
-        self.of_class = np.concatenate([np.minimum(share * s.classes // max(1.0, counts.sum()), s.classes - 1).astype(np.int64), s.classes + np.arange(s.rare)])
-        mass = np.bincount(self.of_class[: self.size], counts, s.classes)
-        inside = np.log(counts / np.maximum(mass[self.of_class[: self.size]], 1)) if self.size else np.zeros(0)
-        # a rare word's own share needs its count, see rare_shares; here its bucket's kinds have equal ones
-        self.log_share = np.concatenate([inside, -np.log(np.maximum(rare_kinds, 1))]).astype(np.float32)
-        self.rare_lift = np.log(np.maximum(rare_kinds, 1)) - np.log(np.maximum(rare_counts, 1))
         at = np.argsort(hashes[order])
         self.sorted, self.ids = hashes[order][at], at
-        self.classes = s.classes + s.rare
-        mass = np.concatenate([mass, rare_counts]) + 1.0
-        self.log_mass = np.log(mass / mass.sum()).astype(np.float32)
-        self.tokens = self.size + s.rare + 1  # the last stands for what is outside the text
+        self.size, self.rare, self.width = len(order), s.rare, s.width
+        self.first_rare = -(-self.size // s.width) * s.width
+        self.classes = (self.first_rare + -(-s.rare // s.width) * s.width) // s.width
+        self.outside = self.classes * s.width  # what is outside the text
+        n = np.zeros(self.outside)
+        n[: self.size] = counts[order]
+        n[self.first_rare : self.first_rare + s.rare] = np.maximum(rare_counts, 0.5)
+        n = n.reshape(self.classes, s.width)
+        mass = n.sum(axis=1)
+        self.log_class = np.log(np.maximum(mass, 0.5) / max(mass.sum(), 1)).astype(np.float32)
+        self.log_inside = np.where(n > 0, np.log(np.maximum(n, 0.5) / np.maximum(mass, 0.5)[:, None]), -1e4).astype(np.float32)
+        # of one of a shared id's words: all equal, or, see ``score``, one occurrence's share
+        self.even, self.one = np.zeros(self.outside, np.float32), np.zeros(self.outside, np.float32)
+        own = slice(self.first_rare, self.first_rare + s.rare)
+        self.even[own], self.one[own] = -np.log(np.maximum(rare_kinds, 1)), -np.log(np.maximum(rare_counts, 1))
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
-        out = self.size + (hashes % U(self.rare)).astype(np.int64)
+        out = self.first_rare + (hashes % U(self.rare)).astype(np.int64)
         if self.size:
             at = np.minimum(np.searchsorted(self.sorted, hashes), self.size - 1)
             hit = self.sorted[at] == hashes
@@ -90,46 +100,79 @@ def contexts(ids: np.ndarray, first: np.ndarray, outside: int) -> np.ndarray:
     return out
 
 
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x), in place, and its sums by row (as a product, which is faster than a sum along short rows). What is beyond
+    the range of floats is cut to it, alike in training and scoring."""
+    np.exp(np.minimum(x, 80, out=x), out=x)
+    return x, np.maximum(x @ np.ones(x.shape[1], np.float32), 1e-30)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x, total = _exp(x)
+    x /= total[:, None]
+    return x
+
+
+def by_class(classes: np.ndarray):
+    """(class, places) of each class that occurs."""
+    order = np.argsort(classes, kind="stable")
+    cut = np.flatnonzero(np.diff(classes[order], prepend=-1))
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
+        yield int(classes[order[a]]), order[a:b]
+
+
 class Network:
-    """p(class | neighbours): embeddings, one layer of tanh fed by a matrix for each neighbour's place, softmax."""
+    """p(class | neighbours) and p(id | class, neighbours): embeddings, one layer of tanh fed by a matrix for each
+    neighbour's place, and two levels of softmax. It begins as the unigram model."""
 
     def __init__(self, v: Vocabulary, s: Settings):
         r = np.random.default_rng(s.seed)
         f = lambda *shape, scale: (r.standard_normal(shape) * scale).astype(np.float32)
-        self.weights = [f(v.tokens, s.embedding, scale=0.1), f(2 * WINDOW, s.embedding, s.hidden, scale=0.3), np.zeros(s.hidden, np.float32), f(s.hidden, v.classes, scale=0.1), v.log_mass.copy()]
-
-    def hidden(self, near: np.ndarray) -> np.ndarray:
-        e, m, b = self.weights[:3]
-        return np.tanh(e[near].reshape(len(near), -1) @ m.reshape(-1, m.shape[2]) + b)
+        self.width = v.width
+        self.weights = [
+            f(v.outside + 1, s.embedding, scale=0.1), f(2 * WINDOW, s.embedding, s.hidden, scale=0.3), np.zeros(s.hidden, np.float32),
+            f(s.hidden, v.classes, scale=0.01), v.log_class.copy(), f(v.classes, s.hidden, v.width, scale=0.01), v.log_inside.copy(),
+        ]
+        self.squares: list[np.ndarray] | None = None
+
+    def step(self, near: np.ndarray, ids: np.ndarray, rate: float) -> None:
+        """One Adagrad step on the summed cross-entropy of a batch."""
+        if self.squares is None:
+            self.squares = [np.full(w.shape if k else len(w), 1e-2, np.float32) for k, w in enumerate(self.weights)]
+        e, m, b, u, c, w, v = self.weights
+
+        def move(k: int, part, g: np.ndarray) -> None:
+            self.squares[k][part] += g * g
+            self.weights[k][part] -= rate * g / np.sqrt(self.squares[k][part])
 
-    def log_classes(self, near: np.ndarray) -> np.ndarray:
-        x = self.hidden(near) @ self.weights[3] + self.weights[4]
-        x -= x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-    def step(self, near: np.ndarray, classes: np.ndarray, rate: float) -> None:
-        """One gradient step on the mean cross-entropy of a batch."""
-        e, m, b, u, c = self.weights
         n = len(near)
         flat = m.reshape(-1, m.shape[2])
         x = e[near].reshape(n, -1)
         h = np.tanh(x @ flat + b)
-        p = h @ u + c
-        p = np.exp(p - p.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
+        classes, place = ids // self.width, ids % self.width
+        p = _softmax(h @ u + c)
         p[np.arange(n), classes] -= 1
-        p /= n
-        dh = (p @ u.T) * (1 - h * h)
-        u -= rate * (h.T @ p)
-        c -= rate * p.sum(axis=0)
+        dh = p @ u.T
+        for k, rows in by_class(classes):
+            own = h[rows]
+            q = _softmax(own @ w[k] + v[k])
+            q[np.arange(len(rows)), place[rows]] -= 1
+            dh[rows] += q @ w[k].T
+            move(5, k, own.T @ q)
+            move(6, k, q.sum(axis=0))
+        move(3, ..., h.T @ p)
+        move(4, ..., p.sum(axis=0))
+        dh *= 1 - h * h
         dx = (dh @ flat.T).reshape(n * 2 * WINDOW, -1)
-        flat -= rate * (x.T @ dh)
-        b -= rate * dh.sum(axis=0)
-        # embeddings: sums of rows of equal tokens
+        move(1, ..., (x.T @ dh).reshape(m.shape))
+        move(2, ..., dh.sum(axis=0))
+        # embeddings: sums of rows of equal tokens, with one step size a row
         tokens = near.ravel()
         order = np.argsort(tokens, kind="stable")
-        cut = np.flatnonzero(np.concatenate([[True], np.diff(tokens[order]) > 0]))
-        e[tokens[order][cut]] -= rate * n**0.5 * np.add.reduceat(dx[order], cut, axis=0)
+        cut = np.flatnonzero(np.diff(tokens[order], prepend=-1))
+        own, g = tokens[order][cut], np.add.reduceat(dx[order], cut, axis=0)
+        self.squares[0][own] += (g * g).mean(axis=1)
+        e[own] -= rate * g / np.sqrt(self.squares[0][own])[:, None]
 
     def pack(self) -> bytes:
         return np.concatenate([w.ravel() for w in self.weights]).astype("<f4").tobytes()
@@ -141,9 +184,9 @@ class Network:
             at += w.size
 
 
-def _tokens(column: pa.Array):
-    """Words of chunks of a column's texts."""
-    data, bounds = W.texts(column)
+def _tokens(texts: pa.Array):
+    """Words of chunks of some texts."""
+    data, bounds = W.texts(texts)
     for i, j in W.chunks(bounds):
         yield i, j, W.words(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], W.ALNUM)
 
@@ -157,176 +200,235 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 h, n = np.unique(w.hash, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(column(text).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _bucket(rare: int):
+def _shared_id(rare: int):
     """The remainder of the unsigned hash, as the lookup takes it."""
     return F.expr(f"cast(pmod(pmod(word, {rare}) + case when word < 0 then {pow(2, 64, rare)} else 0 end, {rare}) as int)")
 
 
-def vocabulary(docs: DataFrame, s: Settings, text: str = "text", counts: DataFrame | None = None) -> Vocabulary:
-    counts = word_counts(docs, text) if counts is None else counts
+def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
     top = counts.orderBy(F.desc("n"), "word").limit(s.vocabulary).collect()
-    known = docs.sparkSession.createDataFrame([(r["word"],) for r in top], "word long")
-    rest = counts.join(F.broadcast(known), "word", "left_anti").groupBy(_bucket(s.rare).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+    known = counts.sparkSession.createDataFrame([(r["word"],) for r in top], "word long")
+    rest = counts.join(F.broadcast(known), "word", "left_anti").groupBy(_shared_id(s.rare).alias("id")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     n, kinds = np.zeros(s.rare), np.zeros(s.rare)
-    for r in rest:
-        n[r["bucket"]], kinds[r["bucket"]] = r["n"], r["kinds"]
+    for r in rest:  # a row for each shared id
+        n[r["id"]], kinds[r["id"]] = r["n"], r["kinds"]
     return Vocabulary(np.array([r["word"] for r in top], np.int64).view(U), np.array([r["n"] for r in top], np.float64), n, kinds, s)
 
 
+def _trained(start: tuple[Vocabulary, Network], s: Settings, turn: int):
+    """For rows sorted by shard, (shard, seen, weights) after training on the positions of this turn."""
+
+    def one(v: Vocabulary, net: Network, rows) -> tuple[int, bytes] | None:
+        near, goal, held, seen = [], [], 0, 0
+        random = np.random.default_rng(s.seed + turn)
+
+        def flush(last: bool) -> None:
+            nonlocal near, goal, held, seen
+            x, y = np.concatenate(near), np.concatenate(goal)
+            whole = len(y) if last else len(y) - len(y) % s.batch
+            order = random.permutation(whole)
+            for k in range(0, whole, s.batch):
+                net.step(x[order[k : k + s.batch]], y[order[k : k + s.batch]], s.rate / (1 + turn))
+            near, goal, held, seen = [x[whole:]], [y[whole:]], len(y) - whole, seen + whole
+
+        def add(texts: list[bytes]) -> None:
+            nonlocal held
+            ids = np.frombuffer(b"".join(texts), "<u2").astype(np.int64)
+            first = np.cumsum([0, *(len(t) // 2 for t in texts)])
+            at = np.flatnonzero((np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))) % s.rounds == turn % s.rounds)
+            near.append(contexts(ids, first, v.outside)[at])
+            goal.append(ids[at])
+            held += len(at)
+
+        some, size = [], 0
+        for packed in rows:
+            some.append(packed)
+            size += len(packed) // 2
+            if size >= PIECE:
+                add(some)
+                some, size = [], 0
+                if held >= 8 * s.batch:
+                    flush(False)
+        if some:
+            add(some)
+        if held:
+            flush(True)
+        return (seen, net.pack()) if seen else None
+
+    def run(batches):
+        v, first = start.value
+        rows = ((shard, ids) for batch in batches for shard, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for shard, group in itertools.groupby(rows, key=lambda r: r[0]):
+            net = Network(v, s)
+            net.weights = [w.copy() for w in first.weights]
+            if found := one(v, net, (ids for _, ids in group)):
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([found[0]], pa.int64()), pa.array([found[1]], pa.binary())], ["shard", "seen", "weights"])
+
+    return run
+
+
+def _mean(rows) -> tuple[int, bytes]:
+    total, n = 0.0, 0
+    for seen, packed in rows:
+        total, n = total + np.frombuffer(packed, "<f4").astype(np.float64) * seen, n + seen
+    return n, (total / n).astype("<f4").tobytes()
+
+
+def _means(batches):
+    rows = ((*r,) for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+    for group, own in itertools.groupby(rows, key=lambda r: r[0]):
+        n, packed = _mean((seen, weights) for _, _, seen, weights in own)
+        yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([n], pa.int64()), pa.array([packed], pa.binary())], ["shard", "seen", "weights"])
+
+
 def train(docs: DataFrame, s: Settings = Settings(), text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
     """Vocabulary and network of the documents' words. Null and empty texts give nothing; without any words the network
-    stays as it began. ``counts``: the documents' ``word_counts``, where they are at hand."""
-    if s.stride > s.rounds:
-        raise ValueError(f"{s.rounds} rounds leave positions out at a stride of {s.stride}")
-    v = vocabulary(docs, s, text, counts)
+    stays the unigram model that it begins as. Rows that are equal in all columns are in one shard. ``counts``: the
+    documents' ``word_counts``, where they are at hand."""
+    if s.vocabulary + s.rare + 2 * s.width > 1 << 16:
+        raise ValueError("ids have 16 bits")
+    own = None if counts is not None else written(word_counts(docs, text), "word-counts")
+    counts = own if counts is None else counts
+    v = vocabulary(counts, s)
     net = Network(v, s)
-    context = docs.sparkSession.sparkContext
-    for turn in range(s.rounds):
-        sent = context.broadcast((v, net))
-        offset = turn % s.stride
-
-        def fit(batches, sent=sent, offset=offset, turn=turn):
-            v, start = sent.value
-            own = Network(v, s)
-            own.weights = [w.copy() for w in start.weights]
-            near, goal, seen = [], [], 0
-
-            def flush(least: int) -> None:
-                nonlocal near, goal, seen
-                if near and sum(map(len, goal)) >= least:
-                    x, y = np.concatenate(near), np.concatenate(goal)
-                    whole = len(y) - len(y) % s.batch if least > 1 else len(y)
-                    order = np.random.default_rng(s.seed + turn).permutation(whole)
-                    for k in range(0, whole, s.batch):
-                        own.step(x[order[k : k + s.batch]], y[order[k : k + s.batch]], s.rate / (1 + turn))
-                    seen += whole
-                    near, goal = [x[whole:]], [y[whole:]]
-
-            for batch in batches:
-                for _, _, w in _tokens(batch.column(0)):
-                    ids = v.lookup(w.hash)
-                    at = np.arange(len(ids))
-                    at = at[(at - np.repeat(w.first[:-1], np.diff(w.first))) % s.stride == offset]
-                    near.append(contexts(ids, w.first, v.tokens - 1)[at])
-                    goal.append(v.of_class[ids[at]])
-                    flush(16 * s.batch)
-            flush(1)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([own.pack()], pa.binary())], ["seen", "weights"])
-
-        def add(batches):
-            total, n = None, 0
-            for batch in batches:
-                for seen, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    part = np.frombuffer(packed, "<f4").astype(np.float64) * seen
-                    total, n = part if total is None else total + part, n + seen
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(total / n).astype("<f4").tobytes()], pa.binary())], ["seen", "weights"])
-
-        parts = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(fit, "seen long, weights binary")
-        # weighted means in groups of tasks, then of the groups: one set of weights in memory at a time
-        group = F.pmod(F.xxhash64("weights"), F.lit(32))
-        for level in (group, F.lit(0)):
-            parts = parts.repartition(32, level) if level is group else parts.coalesce(1)
-            parts = parts.mapInArrow(add, "seen long, weights binary")
-        mean = parts.first()
-        if mean is not None:
-            net.unpack(np.frombuffer(mean["weights"], "<f4"))
+    spark = docs.sparkSession
+    tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = max(1, min(s.most_shards, -(-tokens // s.shard)))
+    sent = spark.sparkContext.broadcast(v)
+
+    def encode(batches):
+        v = sent.value
+        for batch in (part for batch in batches for part in slices(batch, 1)):
+            key, place, ids = [], [], []
+            for i, j, w in _tokens(batch.column(1)):
+                found = v.lookup(w.hash).astype("<u2")
+                for k in range(i, j):
+                    said = found[w.first[k - i] : w.first[k - i + 1]]
+                    for a in range(0, len(said), PIECE):
+                        key.append(k)
+                        place.append(a)
+                        ids.append(said[a : a + PIECE].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(key, pa.int64())), pa.array(place, pa.int64()), pa.array(ids, pa.binary())], ["key", "place", "ids"])
+
+    if tokens:
+        keyed = docs.select(F.xxhash64(*[column(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]).alias("key"), column(text).alias("text"))
+        encoded = written(keyed.mapInArrow(encode, "key long, place long, ids binary"), "encoded")
+        dealt = encoded.select(F.pmod(F.xxhash64("key", "place"), F.lit(shards)).cast("int").alias("shard"), "ids", "key", "place")
+        for turn in range(s.rounds):
+            start = spark.sparkContext.broadcast((v, net))
+            parts = dealt.repartition("shard").sortWithinPartitions("shard", "key", "place", "ids").select("shard", "ids").mapInArrow(_trained(start, s, turn), "shard int, seen long, weights binary")
+            left = shards
+            while left > MEAN:
+                left = -(-left // MEAN)
+                grouped = parts.select(F.floor(F.col("shard") / MEAN).cast("int").alias("group"), "shard", "seen", "weights")
+                parts = grouped.repartition("group").sortWithinPartitions("group", "shard").mapInArrow(_means, "shard int, seen long, weights binary")
+            found = sorted(parts.collect())
+            if found:
+                net.unpack(np.frombuffer(_mean((r["seen"], r["weights"]) for r in found)[1], "<f4"))
+        removed(encoded)
+    if own is not None:
+        removed(own)
     return v, net
 
 
 class Scorer:
     """Scores texts; the first layer is applied to each token's embedding once, for each of the four places."""
 
-    def __init__(self, v: Vocabulary, net: Network):
-        self.v, self.net = v, net
+    def __init__(self, v: Vocabulary, net: Network, even: bool):
+        self.v, self.net, self.share = v, net, v.even if even else v.one
         self.placed = np.einsum("te,peh->pth", net.weights[0], net.weights[1]).astype(np.float32)
 
-    def tokens(self, w: W.Words) -> np.ndarray:
+    def tokens(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log p of every token given its neighbours."""
-        ids = self.v.lookup(w.hash)
-        near = contexts(ids, w.first, self.v.tokens - 1)
-        out = np.empty(len(ids), np.float32)
-        for k in range(0, len(ids), 8192):
-            part = slice(k, k + 8192)
+        near = contexts(ids, first, self.v.outside)
+        out = self.share[ids]
+        _, _, b, u, c, w, v = self.net.weights
+        for k in range(0, len(ids), STEP):
+            part = slice(k, k + STEP)
             h = self.placed[0][near[part, 0]]
             for p in range(1, 2 * WINDOW):
                 h += self.placed[p][near[part, p]]
-            h += self.net.weights[2]
-            x = np.tanh(h, out=h) @ self.net.weights[3] + self.net.weights[4]
-            x -= x.max(axis=1, keepdims=True)
-            own = x[np.arange(len(x)), self.v.of_class[ids[part]]]
-            out[part] = own - np.log(np.exp(x, out=x).sum(axis=1)) + self.v.log_share[ids[part]]
+            h += b
+            np.tanh(h, out=h)
+            classes, place = ids[part] // self.v.width, ids[part] % self.v.width
+            x = h @ u + c
+            own = np.minimum(x[np.arange(len(x)), classes], 80)
+            own -= np.log(_exp(x)[1])
+            for n, rows in by_class(classes):
+                x = h[rows] @ w[n] + v[n]
+                said = np.minimum(x[np.arange(len(rows)), place[rows]], 80)
+                own[rows] += said - np.log(_exp(x)[1])
+            out[part] += own
         return out
 
 
-def rare_shares(texts: DataFrame, v: Vocabulary, counts: DataFrame) -> DataFrame:
-    """(key, lift double) of ``texts`` (text, key: a hash of it): the sum over a text's rare words of their log shares of
-    their buckets by ``counts``, less what equal shares of the bucket's kinds give. Texts without rare words have no row."""
-    known = texts.sparkSession.createDataFrame([(int(h),) for h in v.sorted.view(np.int64)], "word long")
-    lift = F.array(*[F.lit(float(x)) for x in v.rare_lift])[_bucket(v.rare)]
-    shares = counts.join(F.broadcast(known), "word", "left_anti").select("word", (F.log("n") + lift).alias("lift"))
-    sent = texts.sparkSession.sparkContext.broadcast(v)
-
-    def occurrences(batches):
-        v = sent.value
-        for batch in batches:
-            for i, j, w in _tokens(batch.column(0)):
-                at = np.flatnonzero(v.lookup(w.hash) >= v.size)
-                if not len(at):
-                    continue
-                text, word = np.repeat(np.arange(i, j), np.diff(w.first))[at], w.hash[at]
-                order = np.lexsort((word, text))
-                text, word = text[order], word[order]
-                new = np.concatenate([[True], text[1:] != text[:-1]])
-                cut = np.flatnonzero(new | np.concatenate([[True], word[1:] != word[:-1]]))
-                n = np.diff(np.append(cut, len(text)))
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(text[cut])), pa.array(word[cut].view(np.int64)), pa.array(n), pa.array(new[cut].astype(np.int64))], ["key", "word", "n", "rows"])
-
-    found = texts.select("text", "key").mapInArrow(occurrences, "key binary, word long, n long, rows long")
-    # equal texts add up to the same multiple of the lift and of the rows
-    return found.join(shares, "word").groupBy("key").agg((F.sum(F.col("n") * F.col("lift")) / F.sum("rows")).alias("lift"))
-
+SCORES = {"n_tokens": T.LongType(), "log_prob": T.DoubleType(), "per_token": T.DoubleType()}
 
-SCORES = ("n_tokens", "log_prob", "per_token")
 
-
-def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text", counts: DataFrame | None = None) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text", counts: DataFrame | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens``, ``log_prob`` (sum over all tokens, nats) and ``per_token`` (their mean) after its
-    columns. A null or wordless text has no tokens, 0.0 and null. Columns of the three names are replaced.
+    columns. A null or wordless text has no tokens, 0.0 and null. Columns of the three names are replaced, others pass
+    through (without ``keep_text`` the text doesn't); null and repeated ids and rows are rows like others.
 
-    With ``counts``, the ``word_counts`` that the model comes from, each rare word has its own share of its bucket;
-    without them the bucket's kinds have equal ones."""
-    keep = [c for c in docs.columns if c not in SCORES]
-    key = F.lit(None).cast("binary") if counts is None else F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
-    packed = docs.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep if c != text]).alias("row"), F.col(f"`{text}`").alias("text"), key.alias("key"))
+    With ``counts``, the ``word_counts`` that the model comes from, each rare word has its own share of its shared id
+    (a word that they lack counts as once seen); without them the words of a shared id have equal ones."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    packed = Packed(docs, text, SCORES, keep_text)
+    even = counts is None
 
-    def run(batches):
-        scorer = Scorer(*sent.value)
-        for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for i, j, w in _tokens(batch.column(1)):
+    def start():
+        scorer = Scorer(*sent.value, even)
+        v = scorer.v
+
+        def run(texts: pa.Array) -> list:
+            n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+            word, often, sizes = [], [], np.zeros(len(texts), np.int64)
+            for i, j, w in _tokens(texts):
                 n[i:j] = np.diff(w.first)
                 some = np.flatnonzero(n[i:j])
-                if len(some):
-                    total[i + some] = np.add.reduceat(scorer.tokens(w), w.first[:-1][some], dtype=np.float64)
+                if not len(some):
+                    continue
+                ids = v.lookup(w.hash)
+                total[i + some] = np.add.reduceat(scorer.tokens(ids, w.first), w.first[:-1][some], dtype=np.float64)
+                at = np.flatnonzero(ids >= v.first_rare)
+                if even or not len(at):
+                    continue
+                own, h = np.repeat(np.arange(i, j), n[i:j])[at], w.hash[at]  # different rare words of each text
+                order = np.lexsort((h, own))
+                own, h = own[order], h[order]
+                cut = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (h[1:] != h[:-1])]))
+                word.append(h[cut].view(np.int64))
+                often.append(np.diff(np.append(cut, len(h))))
+                sizes += np.bincount(own[cut], minlength=len(texts))
             mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(total), mean], ["row", "text", "key", *SCORES])
-
-    kinds = (T.LongType(), T.DoubleType(), T.DoubleType())
-    out = packed.mapInArrow(run, T.StructType([*packed.schema, *[T.StructField(c, k) for c, k in zip(SCORES, kinds)]]))
-    if counts is not None:
-        out = out.join(rare_shares(packed.select("text", "key"), model[0], counts), "key", "left")
-        total = F.col("log_prob") + F.coalesce("lift", F.lit(0.0))
-        out = out.select("row", "text", "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("per_token"))
-    return out.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], *SCORES)
+            found = [pa.array(n), pa.array(total), mean]
+            if not even:
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                found += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))) for x in (word, often)]
+            return found
+
+        return run
+
+    if even:
+        return packed.mapped(start)
+    lists = T.ArrayType(T.LongType())
+    inner = Packed(packed.rows, "text", SCORES | {"words": lists, "often": lists}, packed.keeps_text).mapped(start)
+    rows = inner.withColumn("rid", F.monotonically_increasing_id())
+    head = F.struct(*[c for c in ("row", "text", "n_tokens", "log_prob") if c in rows.columns])
+    cut = rows.select("rid", head.alias("head"), "often", F.posexplode_outer("words").alias("pos", "word"))
+    first = F.coalesce("pos", F.lit(0)) == 0  # a text stays with its first rare word; one without any is spread
+    cut = cut.select("rid", F.when(first, F.col("head")).alias("head"), F.element_at("often", F.col("pos") + 1).alias("times"), F.coalesce("word", F.xxhash64("rid")).alias("word"))
+    met = cut.join(counts.hint("shuffle_hash"), "word", "left")
+    done = met.groupBy("rid").agg(F.first("head", ignorenulls=True).alias("head"), F.coalesce(F.sum(F.col("times") * F.log("n")), F.lit(0.0)).alias("lift"))
+    total, n = F.col("head.log_prob") + F.col("lift"), F.col("head.n_tokens")
+    out = done.select(F.col("head.row").alias("row"), *([F.col("head.text").alias("text")] if packed.keeps_text else []), n.alias("n"), total.alias("total"))
+    return packed.unpacked(out, F.col("n"), F.col("total"), F.when(F.col("n") > 0, F.col("total") / F.col("n")))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = written(word_counts(docs), "word-counts")
-    return score(docs, train(docs, counts=counts), counts=counts).select("doc_id", *SCORES)
+    return score(docs, train(docs, counts=counts), counts=counts, keep_text=False)

@@ -426,61 +426,82 @@ def test_license_scan(spark):
 # op 9
 
 
+SMALL = lm_score.Settings(vocabulary=50, rare=16, width=8, embedding=8, hidden=8, shard=700, batch=64)
+
+
+def logs(v, net, near):
+    """log p of every id in one context."""
+    h = np.tanh(net.weights[0][near].reshape(1, -1) @ net.weights[1].reshape(-1, net.weights[1].shape[2]) + net.weights[2])
+    soft = lambda x: x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+    return (soft(h @ net.weights[3] + net.weights[4])[0][:, None] + soft(np.einsum("h,khw->kw", h[0], net.weights[5]) + net.weights[6])).ravel()
+
+
 def test_lm_score(spark, texts):
-    df = docs(spark, texts)
-    s = lm_score.Settings(vocabulary=50, rare=4, classes=6, embedding=8, hidden=8, stride=2, batch=32)
-    v, net = lm_score.train(df, s)
-    fresh = lm_score.Network(v, s)
-    got = {r["doc_id"]: r for r in lm_score.score(df, (v, net)).collect()}
+    df = docs(spark, texts).withColumn("n_tokens", F.lit("mine"))
+    counts = lm_score.word_counts(df)
+    v, net = lm_score.train(df, SMALL)
+    fresh = lm_score.Network(v, SMALL)
+    even, own = ({r["doc_id"]: r for r in lm_score.score(df, (v, net), counts=c).collect()} for c in (None, counts))
+    n = {np.int64(r["word"]).astype(np.uint64): r["n"] for r in counts.collect()}
+    kinds, mass = defaultdict(int), defaultdict(int)
+    id_of = dict(zip(n, v.lookup(np.array(list(n), np.uint64)).tolist()))
+    for h, i in id_of.items():
+        kinds[i], mass[i] = kinds[i] + 1, mass[i] + n[h]
+    share = {h: n[h] / mass[i] for h, i in id_of.items()}
+    assert set(even) == set(own) == set(range(len(texts))) and max(kinds.values()) > 1
     for i, t in enumerate(texts):
-        w = words(t, ALNUM)
         hashes = W.words(*W.texts(pa.array([t or ""])), W.ALNUM).hash
-        ids = [v.tokens - 1] * 2 + v.lookup(hashes).tolist() + [v.tokens - 1] * 2
-        total = 0.0
-        for k in range(len(w)):
-            near = np.array([[ids[k], ids[k + 1], ids[k + 3], ids[k + 4]]])
-            total += float(net.log_classes(near)[0, v.of_class[ids[k + 2]]]) + float(v.log_share[ids[k + 2]])
-        assert got[i]["n_tokens"] == len(w) and got[i]["log_prob"] == pytest.approx(total, rel=1e-3, abs=1e-3) and (got[i]["per_token"] is None) == (not w)
+        ids = [v.outside] * 2 + v.lookup(hashes).tolist() + [v.outside] * 2
+        total, lift = 0.0, 0.0
+        for k, h in enumerate(hashes):
+            total += float(logs(v, net, np.array([ids[k], ids[k + 1], ids[k + 3], ids[k + 4]]))[ids[k + 2]])
+            total, lift = total - np.log(kinds[id_of[h]]), lift + np.log(share[h] * kinds[id_of[h]])
+        for got, want in ((even[i], total), (own[i], total + lift)):
+            assert got["n_tokens"] == len(hashes) and got["log_prob"] == pytest.approx(want, rel=1e-3, abs=1e-3) and (got["per_token"] is None) == (not len(hashes))
+            assert (got["rid"], got["row"], got["n"], got["text"]) == ("r", 1, 2, t)
+    every = np.exp(logs(v, net, np.array([0, 3, v.first_rare, v.outside])))
+    assert sum(every[id_of[h]] * share[h] for h in n) == pytest.approx(1, abs=0.02)  # all words of the corpus
     trained, before = (lm_score.score(df, m).selectExpr("sum(log_prob)").first()[0] for m in ((v, net), (v, fresh)))
     assert trained > before
+    empty = df.limit(0)
+    assert lm_score.score(empty, lm_score.train(empty, SMALL)).count() == lm_score.score(empty, (v, net), counts=counts).count() == 0
+
+
+def test_word_counts(spark, texts):
     counts = defaultdict(int)
     for t in texts:
         for x in words(t, ALNUM):
             counts[x] += 1
-    assert sorted(r["n"] for r in lm_score.word_counts(df).collect()) == sorted(counts.values())
-    empty = df.limit(0)
-    assert lm_score.score(empty, lm_score.train(empty, s)).count() == 0
+    assert sorted(r["n"] for r in lm_score.word_counts(docs(spark, texts)).collect()) == sorted(counts.values())
 
 
-def test_every_position_trains(spark):
+def test_training_does_not_depend_on_partitions_and_every_position_trains(spark, texts, monkeypatch):
+    monkeypatch.setattr(lm_score, "MEAN", 3)  # a tree of means
+    df = docs(spark, texts)
+    one, other = (lm_score.train(x, SMALL)[1].pack() for x in (df.coalesce(1), df.repartition(7)))
+    assert one == other
     # the first words and what is near them are the same in both, and so is every count
     one, other = (lm_score.train(docs(spark, [t] * 40))[1].pack() for t in ("p q r s t u", "p q r s u t"))
     assert one != other
-    with pytest.raises(ValueError):
-        lm_score.train(docs(spark, ["a b"]), lm_score.Settings(stride=3))
 
 
-def test_rare_words_keep_their_shares(spark, texts):
-    df = docs(spark, texts)
-    s = lm_score.Settings(vocabulary=50, rare=4, classes=6, embedding=8, hidden=8, batch=32)
-    n = lm_score.word_counts(df)
-    model = lm_score.train(df, s, counts=n)
-    v = model[0]
-    count = {np.int64(r["word"]).astype(np.uint64): r["n"] for r in n.collect()}
-    bucket = lambda h: int(v.lookup(np.array([h], np.uint64))[0])
-    mass, kinds = defaultdict(int), defaultdict(int)
-    for h, k in count.items():
-        mass[bucket(h)] += k
-        kinds[bucket(h)] += 1
-    even, own = ({r["doc_id"]: r for r in x.collect()} for x in (lm_score.score(df, model), lm_score.score(df, model, counts=n)))
-    assert len(own) == len(even) == len(texts) and any(count[h] > 1 for h in count if bucket(h) >= v.size)
-    for i, t in enumerate(texts):
-        lift = 0.0
-        for h in W.words(*W.texts(pa.array([t or ""])), W.ALNUM).hash:
-            if bucket(h) >= v.size:
-                lift += np.log(count[h] / mass[bucket(h)]) + np.log(kinds[bucket(h)])
-        assert own[i]["log_prob"] == pytest.approx(even[i]["log_prob"] + lift, abs=1e-6) and own[i]["n_tokens"] == even[i]["n_tokens"] and own[i]["text"] == t
-        assert (own[i]["per_token"] is None) == (not own[i]["n_tokens"])
+def test_network_predicts_held_out_texts_better_than_word_shares(spark):
+    r = random.Random(15)
+    after = {f"w{k}": [f"w{r.randrange(60)}" for _ in range(3)] for k in range(60)}
+
+    def make():
+        said = [f"w{r.randrange(60)}"]
+        while len(said) < 120:
+            said.append(r.choice(after[said[-1]]))
+        return " ".join(said)
+
+    learnt, held = docs(spark, [make() for _ in range(250)]), docs(spark, [make() for _ in range(40)])
+    s = lm_score.Settings(vocabulary=64, rare=8, width=8, shard=100_000, batch=256)
+    v, net = lm_score.train(learnt, s)
+    plain = lm_score.Network(v, s)
+    plain.weights[3][:], plain.weights[5][:] = 0, 0
+    trained, unigram = (lm_score.score(held, (v, m)).selectExpr("sum(log_prob) / sum(n_tokens)").first()[0] for m in (net, plain))
+    assert trained > unigram + 0.8
 
 
 # op 10
