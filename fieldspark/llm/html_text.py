@@ -1,5 +1,11 @@
 """Main text of web pages: flat text blocks with the word count and link density of each and of its neighbours, and
-where the block stands, classified by a decision tree that is trained on a small labelled table."""
+what the markup around it says, classified by a decision tree that is trained on a small labelled table.
+
+A page is read once from front to back, whatever is broken in it. Tags end at their ``>``, or where the next tag begins;
+comments and the standard's raw-text elements are skipped to their end, and where that is missing only what stands before
+the next tag is lost. The labelled table has small pages in the shape of real ones, line by line with what belongs to the
+text; the tree is grown on the features of their blocks.
+"""
 
 from __future__ import annotations
 
@@ -10,19 +16,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, table
 
-# Elements of HTML by what they do to text blocks.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes", "select", "svg", "math", "object", "button", "canvas", "audio", "video"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-CONTAINERS = {"html", "body", "article", "main", "section", "div", "nav", "header", "footer", "aside", "form", "ul", "ol", "dl", "menu", "table", "thead", "tbody", "tfoot", "tr", "blockquote", "pre", "figure", "figcaption", "fieldset", "details", "dialog", "address", "center", "hgroup", "search"}
+# Elements of HTML by what they do to text blocks. Raw text is skipped to its end tag; so are controls that
+# have one before the next of their kind.
+RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
+CONTROLS = {"select", "button", "datalist"}
+CONTAINERS = {"html", "body", "article", "main", "section", "div", "nav", "header", "footer", "aside", "form", "ul", "ol", "dl", "menu", "table", "thead", "tbody", "tfoot", "tr", "blockquote", "pre", "figure", "figcaption", "fieldset", "details", "dialog", "address", "center", "hgroup", "search", "noscript", "template"}
 LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "summary", "legend"}
-BREAKS = {"br", "hr"}
+BREAKS = {"br", "hr", "option", "optgroup"}
 MAIN = {"article", "main"}
-AWAY = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "search"}
+AWAY = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "search", "noscript", "template"}
 # Words in class and id names, and roles, of elements that aren't the article.
 AWAY_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promoted promotion "
@@ -37,67 +43,112 @@ AWAY_WORDS = frozenset(
 LAYOUT_WORDS = frozenset("sidebar side aside widget widgets header masthead footer foot nav navbar menu toolbar topbar share sharing social search tags form promo promoted popular related hidden".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar tablist".split())
 
-MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/><]*)")
+STOP = re.compile(r"[<>]|=\s*[\"']")
 ATTRIBUTES = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Characters of a tag's attributes up to which what they say is remembered.
+KEPT_ATTRIBUTES = 200
+#: Open elements that an end tag looks through for its own.
+DEEPEST = 1_000
 
 FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "main", "away", "heading")
-# The labelled table. Words and share of linked words of a block, of the one before and of the one after
-# (-1: none); main 1 inside the article, 0 in a page that marks none, -1 beside a marked one; away 1 inside an element
-# whose tag, name or role says that it isn't the article; heading 1 for h1 to h6; and whether it belongs to the text.
+# The labelled table: a page a string, a line begins with + where its blocks belong to the text and with - where they
+# don't. {n} stands for n words, {an} for a link of n words.
 LABELLED = [
-    # menus, adverts and notices before an article
-    (1, 1.0, -1, 0, 1, 1.0, -1, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, -1, 1, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 1, 0, 0),
-    (1, 1.0, 1, 1.0, 9, 0.0, -1, 1, 0, 0), (9, 0.0, 1, 1.0, 7, 0.0, -1, 1, 0, 0), (25, 0.0, 2, 1.0, 8, 0.0, 0, 1, 0, 0),
-    (40, 0.1, 3, 1.0, 60, 0.0, -1, 1, 0, 0), (12, 0.0, 5, 0.0, 80, 0.0, 1, 1, 0, 0), (3, 0.0, 60, 0.0, 55, 0.0, 1, 1, 0, 0),
-    # an article that is marked, with blocks of any length
-    (7, 0.0, 9, 0.0, 120, 0.0, 1, 0, 1, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 0, 1), (1, 0.0, 60, 0.0, 45, 0.0, 1, 0, 0, 1),
-    (120, 0.0, 7, 0.0, 90, 0.02, 1, 0, 0, 1), (90, 0.02, 120, 0.0, 3, 0.0, 1, 0, 0, 1), (3, 0.0, 90, 0.02, 6, 0.1, 1, 0, 0, 1),
-    (30, 0.5, 40, 0.0, 25, 0.0, 1, 0, 0, 1), (2, 1.0, 40, 0.0, 25, 0.0, 1, 0, 0, 1), (4, 0.0, 3, 0.0, -1, 0, 1, 0, 1, 1),
-    (400, 0.01, -1, 0, -1, 0, 1, 0, 0, 1), (15, 0.2, 80, 0.0, 12, 0.3, 1, 0, 0, 1), (2, 0.0, -1, 0, 2, 0.0, 1, 0, 1, 1),
-    (20, 0.0, 30, 0.0, 2, 1.0, 1, 0, 0, 1), (2, 1.0, 20, 0.0, 3, 1.0, 1, 0, 0, 1), (10, 0.9, 2, 1.0, 8, 1.0, 1, 0, 0, 1),
-    (12, 0.0, 3, 1.0, 3, 0.0, 1, 0, 0, 1), (2, 0.0, 6, 1.0, -1, 0, 1, 0, 0, 1), (1, 1.0, 3, 1.0, 2, 1.0, 1, 0, 0, 1), (3, 0.0, 4, 1.0, 5, 1.0, 1, 0, 0, 1), (1, 0.0, -1, 0, 1, 1.0, 1, 0, 1, 1),
-    # beside a marked article
-    (8, 0.0, 30, 0.0, -1, 0, -1, 0, 0, 0), (60, 0.0, 1, 1.0, 7, 0.0, -1, 0, 0, 0), (3, 0.0, -1, 0, 9, 0.0, -1, 0, 1, 0),
-    (15, 0.6, 20, 0.0, 4, 1.0, -1, 0, 0, 0), (1, 0.0, 50, 0.0, 2, 1.0, -1, 0, 0, 0), (150, 0.0, 9, 0.0, 9, 0.0, -1, 0, 0, 0),
-    # footers and comments after an article
-    (8, 0.0, 60, 0.0, -1, 0, -1, 1, 0, 0), (35, 0.0, 20, 0.0, 28, 0.0, 0, 1, 0, 0), (70, 0.0, 8, 0.0, 30, 0.0, 1, 1, 0, 0),
-    (5, 0.4, 8, 0.0, 2, 1.0, 0, 1, 0, 0), (110, 0.0, 3, 0.0, 75, 0.0, 0, 1, 0, 0), (3, 0.0, 45, 0.0, 40, 0.0, -1, 1, 1, 0),
-    # pages that mark no article: running text
-    (60, 0.0, 45, 0.0, 80, 0.0, 0, 0, 0, 1), (25, 0.05, 60, 0.0, 70, 0.0, 0, 0, 0, 1), (120, 0.1, 6, 0.0, 90, 0.0, 0, 0, 0, 1),
-    (18, 0.0, 40, 0.0, 30, 0.0, 0, 0, 0, 1), (14, 0.0, 22, 0.0, 3, 0.0, 0, 0, 0, 1), (40, 0.2, 30, 0.0, 2, 1.0, 0, 0, 0, 1),
-    (200, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (4, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 1), (2, 0.0, 35, 0.0, 70, 0.0, 0, 0, 0, 1),
-    (1, 0.0, 80, 0.0, 40, 0.0, 0, 0, 0, 1), (6, 0.0, 3, 1.0, 90, 0.0, 0, 0, 1, 1), (5, 0.0, 40, 0.0, 55, 0.0, 0, 0, 1, 1),
-    (8, 0.0, -1, 0, 60, 0.0, 0, 0, 1, 1), (3, 0.0, 30, 0.0, 25, 0.0, 0, 0, 1, 1), (9, 0.0, 60, 0.0, 20, 0.0, 0, 0, 0, 1),
-    (12, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (5, 0.0, -1, 0, 6, 0.0, 0, 0, 0, 1), (6, 0.0, 5, 0.0, -1, 0, 0, 0, 0, 1),
-    (1, 0.0, 14, 0.0, 15, 0.0, 0, 0, 0, 1), (3, 0.0, -1, 0, 14, 0.0, 0, 0, 1, 1), (4, 0.0, 12, 0.0, 13, 0.0, 0, 0, 0, 1),
-    (1, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (4, 0.0, -1, 0, -1, 0, 0, 0, 0, 1), (3, 0.0, -1, 0, 5, 0.0, 0, 0, 0, 1),
-    (2, 0.0, 10, 0.0, -1, 0, 0, 0, 0, 1), (3, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 1), (16, 0.0, 3, 0.0, 40, 0.0, 0, 0, 0, 1),
-    # pages that mark no article: the rest
-    (4, 1.0, -1, 0, 5, 1.0, 0, 0, 0, 0), (5, 1.0, 4, 1.0, 3, 0.8, 0, 0, 0, 0), (3, 0.7, 5, 1.0, 60, 0.0, 0, 0, 0, 0),
-    (20, 0.9, 40, 0.0, 15, 1.0, 0, 0, 0, 0), (15, 1.0, 20, 0.9, 8, 1.0, 0, 0, 0, 0), (30, 0.6, 20, 0.7, 12, 0.9, 0, 0, 0, 0),
-    (2, 0.0, 3, 1.0, 4, 1.0, 0, 0, 0, 0), (3, 0.0, 6, 1.0, -1, 0, 0, 0, 0, 0), (6, 0.5, 50, 0.0, 4, 1.0, 0, 0, 0, 0),
-    (2, 0.0, 4, 1.0, 2, 1.0, 0, 0, 1, 0), (4, 1.0, 12, 1.0, -1, 0, 0, 0, 0, 0), (2, 1.0, 60, 0.0, 3, 1.0, 0, 0, 0, 0),
-]
+    # pages that mark their article
+    """-<header><a href=/>{2}</a></header><nav><ul><li>{a1}</li><li>{a1}</li><li>{a2}</li></ul></nav>
+    -<div class=ad>{12}</div>
+    +<article><h1>{7}</h1><p>{3}<br>{1}<p>{60}</p><p>{45} {a2} {20}</p><h2>{3}</h2><p>{90}</p><ul><li>{4}</li><li>{1}</li></ul></article>
+    -<footer>{6}</footer>""",
+    """-<nav>{a1} {a1} {a1}</nav><aside><p>{25}</p><ul><li>{a4}</li></ul></aside>
+    +<main><h1>{5}</h1><p>{1}</p><p>{a3}</p><p>{12}</p><blockquote>{30}</blockquote><p>{2}</p></main>
+    -<div class="related"><h3>{2}</h3><ul><li>{a6}</li><li>{a7}</li></ul></div><footer><p>{14}</p><p>{a1} {a1}</p></footer>""",
+    """-<div class="cookie-notice"><p>{22}</p></div><header><h1>{a3}</h1><p>{6}</p></header>
+    +<article class="post"><h2>{9}</h2><p>{70}</p><p>{50}</p><figure><figcaption>{6}</figcaption></figure><p>{8}</p>
+    -<section class="comments"><h3>{2}</h3><div><p>{40}</p></div><div><p>{85}</p></div><div><p>{3}</p></div></section>
+    +</article>
+    -<div id=sidebar><h4>{2}</h4><p>{30}</p></div><footer>{9}</footer>""",
+    """-<div id="top-banner">{9}</div><nav><ul><li>{a2}</li><li>{a2}</li></ul></nav>
+    +<div class="page with-sidebar"><article><h1>{2}</h1><p>{400}</p><table><tr><td>{1}</td><td>{2}</td></tr><tr><td>{3}</td><td>{1}</td></tr></table></article>
+    -<div class="widget"><p>{18}</p></div></div>
+    -<div class=comments><article><p>{35}</p></article><article><p>{52}</p></article></div><footer>{5}</footer>""",
+    """-<div role="navigation">{a1} {a1}</div><form action=/s><label>{2}</label><p>{4}</p></form>
+    +<main><article><p>{15}</p><p>{a9}</p><ol><li>{20} {a2}</li><li>{a3}</li></ol><p>{1}</p></article>
+    -<form><p>{6}</p><p>{18}</p></form>
+    -<div class="share-buttons">{a1} {a1} {a1}</div></main>
+    -<div class="newsletter"><p>{16}</p></div><footer>{20}</footer>""",
+    """-<nav><ul><li>{a1}</li><li>{a1}</li><li>{a1}</li><li>{a1}</li></ul></nav><div class="ad">{5}</div>
+    +<article><h1>{10}</h1><p>{10}<br><p>{150}</p><p>{14}<br><p>{33}</p></article>
+    -<div><p>{30}</p></div><footer>{7}</footer>""",
+    """-<header><p>{8}</p></header>
+    +<article><header><h1>{6}</h1></header><p>{1}</p><p>{1}</p></article>
+    -<aside>{50}</aside><section id="disqus_thread"><p>{28}</p><p>{75}</p></section>""",
+    # pages that mark none: blocks of running text among lists of links and single lines
+    """-<ul><li>{a1}</li><li>{a2}</li><li>{a1}</li><li>{a2}</li></ul>
+    +<div><h1>{7}</h1><p>{60}</p><p>{25} {a2} {20}</p><p>{4}</p><p>{70}</p><p>{35}</p></div>
+    -<ul><li>{a5}</li><li>{a6}</li><li>{a4}</li></ul><div>{a1} {a1} {2}</div>""",
+    """-<table><tr><td>{a1}</td><td>{a1}</td><td>{a1}</td></tr></table>
+    +<div><h2>{5}</h2><div>{80}</div><div>{2}</div><div>{55} {a3} {12}</div><div>{40}</div></div>
+    -<div>{a2} {1} {a2} {1} {a2}</div><div><b>{2}</b></div><div>{a4}</div><div>{a5}</div>""",
+    """+<p>{12}</p><p>{9}</p><p>{3}</p>""",
+    """+<p>{200}</p>""",
+    """+<div>{5}</div><div>{6}</div>""",
+    """-<div>{a2} {a2} {a2} {a2}</div>
+    +<h1>{4}</h1><p>{18}</p><p>{22}</p><h3>{3}</h3><p>{30}</p><p>{1}</p><p>{44}</p>
+    -<h4>{2}</h4><ul><li>{a3}</li><li>{a7}</li></ul><p>{a1} {1} {a1}</p>""",
+    """-<div>{a1}</div><div>{a1}</div><div>{a3}</div><div>{a8} {2}</div>
+    +<div>{120}</div><div>{a2} {30}</div><div>{15}</div><div>{60}</div>
+    -<div>{a6} {3}</div><div>{a5} {2}</div><div>{a1}</div>""",
+    """-<div class="nav">{a1} {a1} {a1}</div>
+    +<div class="text"><h1>{5}</h1><p>{45}</p><p>{3}</p><p>{65}</p></div>
+    -<div class="reply"><p>{40}</p></div><div class="reply"><p>{20}</p></div><div class="footer">{8}</div>""",
+    """-<div class="popup">{15}</div><ul><li>{a2}</li><li>{a3}</li></ul>
+    +<h2>{6}</h2><ul><li>{14}</li><li>{9}</li><li>{17} {a2}</li></ul><p>{28}</p><pre>{40}</pre>
+    -<div class="copyright">{10}</div>""",
+    """-<ul><li>{a1}</li><li>{a1}</li></ul>
+    +<div><p>{35}</p><p>{6}</p><p>{11}</p><p>{5}</p><p>{38}</p></div>
+    -<ul><li>{a2}</li><li>{a2}</li></ul>""",
+    """-<div>{a1} {a2} {a1}</div><h3>{a4}</h3><p>{9} {a2}</p><h3>{a5}</h3><p>{10} {a2}</p><h3>{a6}</h3><p>{8} {a2}</p><div>{a1} {a1}</div>""",
+]
+WORDS = re.compile(r"\{(a?)(\d+)\}")
+
+
+def labelled(pages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of labelled pages."""
+    x, y = [], []
+    for page in pages:
+        said, place, marks = "", [], []
+        for line in (s.strip() for s in page.split("\n")):
+            place.append(len(said))
+            marks.append(line[0] == "+")
+            said += WORDS.sub(lambda m: f"<a href=x>{'w ' * int(m[2])}</a>" if m[1] else "w " * int(m[2]), line[1:])
+        found = blocks(said)
+        x.append(features(found))
+        y += [marks[int(np.searchsorted(place, f[5], "right")) - 1] for f in found]
+    return np.concatenate(x), np.array(y, np.float64)
 
 
 class DecisionTree:
-    """Binary splits that lower the Gini impurity most, grown until leaves are pure."""
+    """Binary splits that lower the Gini impurity most, grown until leaves are pure or would have fewer than ``least``
+    rows."""
 
-    def __init__(self, rows: list[tuple]):
-        data = np.array(rows, np.float64)
+    def __init__(self, x: np.ndarray, y: np.ndarray, least: int = 2):
+        self.least = least
         self.nodes: list[tuple[int, float, int, int]] = []  # feature (-1: leaf), bound (leaf: class), where <=, where >
-        self._grow(data[:, :-1], data[:, -1])
+        self._grow(x, y)
 
     def _grow(self, x: np.ndarray, y: np.ndarray) -> int:
         me = len(self.nodes)
-        self.nodes.append((-1, float(round(y.mean())), -1, -1))
+        self.nodes.append((-1, float(y.mean() >= 0.5), -1, -1))
         if 0 < y.mean() < 1:
             best = None
             for f in range(x.shape[1]):
                 values = np.unique(x[:, f])
                 for bound in (values[:-1] + values[1:]) / 2:
                     left = x[:, f] <= bound
+                    if min(left.sum(), (~left).sum()) < self.least:
+                        continue
                     cost = sum(len(s) * s.mean() * (1 - s.mean()) for s in (y[left], y[~left]))
                     if best is None or cost < best[0] - 1e-12:
                         best = cost, f, float(bound)
@@ -119,7 +170,7 @@ class DecisionTree:
 
 @lru_cache(maxsize=1)
 def trained() -> DecisionTree:
-    return DecisionTree(LABELLED)
+    return DecisionTree(*labelled(LABELLED))
 
 
 @lru_cache(maxsize=4096)
@@ -147,40 +198,102 @@ def decoded(text: str) -> str:
     return "&".join(html.unescape(part) if "&" in part else part for part in text.split("&amp;"))
 
 
-def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
-    """(text, share of linked words, main, away, heading) of each text block, in page order; main: 1 inside, else 0."""
-    out: list[tuple[str, float, int, int, int]] = []
+class Places:
+    """Where something occurs next. Asked for places that don't go back, all answers together read a page once."""
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+
+    def after(self, what: str | re.Pattern, at: int) -> tuple[int, int]:
+        """Start and end of the next ``what`` from ``at`` on; (-1, -1) where there is none."""
+        found = self.known.get(what, (-2, -2))
+        if found[0] == -1 or found[0] >= at:
+            return found
+        if isinstance(what, str):
+            start = self.page.find(what, at)
+            found = (start, start + len(what) if start >= 0 else -1)
+        else:
+            m = what.search(self.page, at)
+            found = m.span() if m else (-1, -1)
+        self.known[what] = found
+        return found
+
+
+@lru_cache(maxsize=64)
+def _same(tag: str) -> re.Pattern:
+    return re.compile(rf"</?{re.escape(tag)}(?![^\s/>])", re.I)
+
+
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?![^\s/>])[^>]*>?", re.I)
+
+
+def _tag_end(page: str, at: int, places: Places) -> tuple[int, int]:
+    """Where the attributes from ``at`` on end, and where the tag does: at its ``>`` outside of quoted values, or before
+    the next ``<``. Without either it is over at once."""
+    begin = at
+    while m := STOP.search(page, at):
+        if (c := page[m.start()]) != "=":
+            return m.start(), m.end() if c == ">" else m.start()
+        close = places.after(page[m.end() - 1], m.end())[0]
+        at = m.end() if close < 0 else close + 1
+    return begin, begin
+
+
+def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
+    """(text, share of linked words, main, away, heading, where it begins) of each text block, in page order; main: 1
+    inside, else 0."""
+    out: list[tuple[str, float, int, int, int, int]] = []
     stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, in an article, away
     parts: list[str] = []
     linked: list[str] = []
-    in_link, heading, at, size = False, 0, 0, len(page)
+    places = Places(page)
+    in_link, lost, heading, at, begin, size = False, False, 0, 0, 0, len(page)
 
     def flush() -> None:
-        nonlocal heading
         if parts:
             words = decoded("".join(parts)).split()
             if words:
                 share = min(1.0, len(decoded(" ".join(linked)).split()) / len(words)) if linked else 0.0
                 _, main, away = stack[-1]
-                out.append((" ".join(words), share, int(main), int(away > 0), heading))
+                out.append((" ".join(words), share, int(main), int(away > 0), heading, begin))
             parts.clear()
             linked.clear()
 
-    while at < size:
-        m = MARKUP.search(page, at)
-        start = m.start() if m else size
-        if start > at:
-            parts.append(page[at:start])
+    def say(start: int, end: int) -> None:
+        nonlocal begin
+        if end > start and not lost:
+            if not parts:
+                begin = start
+            parts.append(page[start:end])
             if in_link:
-                linked.append(page[at:start])
-        if not m:
+                linked.append(page[start:end])
+
+    while at < size:
+        start = page.find("<", at)
+        if start < 0:
+            say(at, size)
             break
-        at = m.end()
-        close, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
+        say(at, start)
+        m = TAG.match(page, start + 1)
+        if not m:
+            after = page[start + 1 : start + 2]
+            if after not in ("!", "?", "/"):
+                say(start, start + 1)
+                at = start + 1
+                continue
+            what = "-->" if page.startswith("<!--", start) else "]]>" if page.startswith("<![CDATA[", start) else ">"
+            end = places.after(what, start + 2)[1]
+            if end < 0:
+                end = places.after(">", start + 2)[1]
+            at = end if end >= 0 else start + 2
             continue
-        tag = tag.lower()
-        if close:
+        lost = False
+        tag = m[2].lower()
+        stop, at = _tag_end(page, m.end(), places)
+        attributes = page[m.end() : stop]
+        if m[1]:
             if tag == "a":
                 in_link = False
             elif tag in CONTAINERS or tag in LEAVES:
@@ -190,17 +303,21 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
                     if stack[-1][0] == tag:
                         stack.pop()
                 else:
-                    for k in range(len(stack) - 1, 0, -1):
+                    in_link = False
+                    for k in range(len(stack) - 1, max(0, len(stack) - DEEPEST), -1):
                         if stack[k][0] == tag:
                             del stack[k:]
                             break
             continue
         if tag in RAW:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
-            continue
-        if tag == "a":
+                end = places.after(_end_of(tag), at)[1]
+                lost, at = end < 0, max(at, end)
+        elif tag in CONTROLS:
+            found = places.after(_same(tag), at)
+            if found[0] >= 0 and page[found[0] + 1] == "/":
+                at = found[0]
+        elif tag == "a":
             in_link = True
         elif tag in BREAKS:
             flush()
@@ -208,20 +325,21 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             flush()
             while stack[-1][0] in LEAVES and not (tag in CONTAINERS and stack[-1][0] in ("li", "dd", "td", "th")):
                 stack.pop()
-            if tag in ("td", "th", "li", "dt", "dd") and any(s[0] == tag for s in stack[-1:]):
+            if tag in ("td", "th", "li", "dt", "dd") and stack[-1][0] == tag:
                 stack.pop()
             _, main, away = stack[-1]
             heading = int(tag in LEAVES and tag[0] == "h" and tag != "th")
             if tag in MAIN and away == 1:
                 away = 0  # it was the layout around the article
             main = main or tag in MAIN
-            own = 0 if tag in ("html", "body", "main") or tag == "header" and main else _away(tag, attributes)
+            judge = _away if len(attributes) <= KEPT_ATTRIBUTES else _away.__wrapped__
+            own = 0 if tag in ("html", "body", "main") or tag == "header" and main else judge(tag, attributes)
             stack.append((tag, main, max(away, own)))
     flush()
     return out
 
 
-def features(found: list[tuple[str, float, int, int, int]]) -> np.ndarray:
+def features(found: list[tuple[str, float, int, int, int, int]]) -> np.ndarray:
     x = np.zeros((len(found), len(FEATURES)))
     if found:
         x[:, 0] = [f[0].count(" ") + 1 for f in found]
@@ -249,22 +367,19 @@ def main_text(pages: list[str | None], tree: DecisionTree | None = None) -> list
 def extract(pages: DataFrame, markup: str = "html") -> DataFrame:
     """``pages`` without ``markup``, with ``text`` and ``n_chars`` (code points) after its columns.
 
-    A null or empty page, and one without article text, has an empty text. Pages are read whole, at any length, in
-    batches of a few; equal rows give equal results. Columns of ``pages`` named ``text`` or ``n_chars`` are replaced,
+    A null or empty page, and one without article text, has an empty text. Pages are read whole, at any length, in time
+    that grows with it, in slices of a few; equal rows give equal results, an empty table gives an empty one. Columns of ``pages`` named ``text`` or ``n_chars`` are replaced,
     others pass through.
     """
-    keep = [c for c in pages.columns if c not in (markup, "text", "n_chars")]
-    packed = pages.select(F.struct(F.lit(True).alias("__any"), *[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{markup}`").alias("html"))
-
-    def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                said = main_text(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(said, pa.string()), pa.array([len(s) for s in said], pa.int64())], ["row", "text", "n_chars"])
-
-    out = packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "text", "n_chars")
+
+    def start():
+        def run(pages: pa.Array) -> list:
+            said = main_text(pages.to_pylist())
+            return [pa.array(said, pa.string()), pa.array([len(s) for s in said], pa.int64())]
+
+        return run
+
+    return Packed(pages, markup, {"text": T.StringType(), "n_chars": T.LongType()}, keep_text=False).mapped(start)
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
