@@ -27,7 +27,7 @@ MARGIN = 16
 FIRST_WINDOW = 4
 #: Space-separated units whose encodings a task keeps: the last ones used, from once to twice so many (some 200 bytes each),
 #: and the longest that it keeps.
-KEPT_UNITS, UNIT_CHARS = 40_000, 64
+KEPT_UNITS, UNIT_CHARS = 100_000, 64
 #: One space between characters that aren't white space: a word of the tokenizer begins there in every context.
 UNIT_BOUND = re.compile(r"(?<=\S) (?=\S)")
 
@@ -302,7 +302,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", leaf_chars: int = LEA
     coded = parts.repartition("rid", "part").mapInArrow(encode_leaves, "rid string, part int, text string, ids binary, begins binary")
     whole = coded.repartition("rid").sortWithinPartitions("rid", "part").mapInArrow(join_leaves, "rid string, token_ids binary, decoded string")
     rows = long if packed.keeps_text else long.drop("text")
-    return packed.mapped(short).unionByName(packed.unpacked(rows.join(whole, "rid"), F.col("token_ids"), F.col("decoded")))
+    return packed.mapped(short, 2 << 20).unionByName(packed.unpacked(rows.join(whole, "rid"), F.col("token_ids"), F.col("decoded")))
 
 
 def default_path() -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import Packed, column, removed, table, within, written
+from fieldspark.llm.shared import Packed, bit_table, column, in_bit_table, removed, table, within, written
 
 U = np.uint64
 WINDOW = 13
@@ -138,21 +138,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     return packed.mapped(start)
 
 
-def _screen(windows: DataFrame) -> np.ndarray:
-    """A bit for each of the benchmark's hashes, by their lowest bits: of a fixed size, put together by Spark."""
-    cell = F.col("h").bitwiseAND((1 << SCREEN_BITS) - 1)
-    parts = windows.select(F.shiftright(cell, 6).alias("k"), F.expr(f"shiftleft(1L, cast(h & 63 as int))").alias("b")).groupBy("k").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(1 << (SCREEN_BITS - 6), np.int64)
-    rows = parts.toPandas()
-    out[rows["k"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
-    return out.view(U)
-
-
 def _scan_by_join(packed: Packed, windows: DataFrame) -> DataFrame:
     """``scan`` for a benchmark of any size."""
     spark = windows.sparkSession
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most the window's size of them
-    sent = spark.sparkContext.broadcast((_screen(windows), sizes))
+    sent = spark.sparkContext.broadcast((bit_table(windows, "h", SCREEN_BITS), sizes))
     maybe = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("h", pa.int64()), ("said", pa.string())]))
 
     def start():
@@ -166,8 +156,7 @@ def _scan_by_join(packed: Packed, windows: DataFrame) -> DataFrame:
                 rows: list[list[dict]] = [[] for _ in range(j - i)]
                 for size in sizes:
                     h, at, text = w.windows(size, False)
-                    cell = h & U((1 << SCREEN_BITS) - 1)
-                    for x in np.flatnonzero((screen[cell >> U(6)] >> (h & U(63))) & U(1)).tolist():
+                    for x in np.flatnonzero(in_bit_table(screen, h)).tolist():
                         a, k = int(at[x]), int(text[x])
                         base, first = int(bounds[i + k] - bounds[i]), int(w.first[k])
                         rows[k].append({"start": a - first, "end": a - first + size, "first": int(w.start[a]) - base, "last": int(w.end[a + size - 1]) - base, "h": int(h[x].view(np.int64)), "said": W.folded(w, a, a + size).decode("utf-8", "replace")})

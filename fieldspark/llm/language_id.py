@@ -300,7 +300,7 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
                     ["lang", "a", "b", "c", "d", "n"],
                 )
 
-    grams = chosen.where("fitted").select("text", "lang").mapInArrow(count, "lang string, a long, b long, c long, d long, n long").groupBy("lang", "a", "b", "c", "d").agg(F.sum("n").alias("n")).toPandas()
+    grams = chosen.where("fitted").select("text", "lang").mapInArrow(count, "lang string, a long, b long, c long, d long, n long").groupBy("lang", "a", "b", "c", "d").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     if not len(grams):
         return None
     points = grams[["a", "b", "c", "d"]].to_numpy()
@@ -331,7 +331,7 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
             ok = (n > 0) & (truth >= 0)
             yield pa.RecordBatch.from_arrays([pa.array(list(h[ok]), pa.list_(pa.float64())), pa.array(n[ok].astype(np.int64)), pa.array(truth[ok].astype(np.int64))], ["h", "n", "truth"])
 
-    seen = chosen.where("measured").select("text", "lang").mapInArrow(measure, "h array<double>, n long, truth long").toPandas()
+    seen = chosen.where("measured").select("text", "lang").mapInArrow(measure, "h array<double>, n long, truth long").toArrow().to_pandas()
     h = np.stack(seen["h"].to_numpy()) if len(seen) else np.zeros((0, len(langs)))
     models.calibrate(h, seen["n"].to_numpy(), seen["truth"].to_numpy())
     removed(chosen)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm import words as W
 from fieldspark.llm.components import components
-from fieldspark.llm.shared import column, removed, slices, table, within, written
+from fieldspark.llm.shared import bit_table, column, in_bit_table, removed, slices, table, within, written
 from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
@@ -42,6 +42,8 @@ BLOCK_SETS, BLOCK_TOKENS = 1024, 2_000_000
 BROADCAST_IDS = 500_000
 #: Cells of more than one block that are broadcast; more are joined by a shuffle.
 BROADCAST_CELLS = 200_000
+#: Bits of the table that tells segments of several classes (4 MB).
+SCREEN_BITS = 25
 #: Names that a task remembers, so that copies within it are routed once.
 REMEMBERED = 200_000
 #: Ratio of the bounds of a size range at least, and deals tried for a set that fills too few buckets.
@@ -131,6 +133,20 @@ def _summary(k: int, percent: int):
     return run
 
 
+def _screened(sent):
+    """The segments that may be shared, as rows."""
+
+    def run(batches):
+        table = sent.value
+        for batch in batches:
+            lists = batch.column(0)
+            digest, name = lists.flatten().to_numpy(), np.repeat(batch.column(1).to_numpy(), lists.value_lengths().to_numpy())
+            keep = in_bit_table(table, digest.view(U))
+            yield pa.RecordBatch.from_arrays([pa.array(digest[keep]), pa.array(name[keep])], ["digest", "name"])
+
+    return run
+
+
 def _payload(k: int):
     def run(batches):
         for batch in (part for batch in batches for part in slices(batch, 0)):
@@ -197,9 +213,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     base = written(rows.mapInArrow(_summary(words, percent), f"id {id_type}, n long, node string, name long, digests array<long>"), "sets")
     valid = rows.where("id is not null")
 
-    routes = base.where("id is not null and digests is not null").select(F.explode("digests").alias("digest"), "name")
-    least = routes.groupBy("digest").agg(F.min("name").alias("cell"), F.max("name").alias("top")).where("cell < top").select("digest", "cell")
-    cells = written(routes.join(least, "digest").select("cell", "name").distinct(), "cells")
+    sent = base.where("id is not null and digests is not null").select("digests", "name")
+    routes = sent.select(F.explode("digests").alias("digest"), "name")
+    least = written(routes.groupBy("digest").agg(F.min("name").alias("cell"), F.max("name").alias("top")).where("cell < top").select("digest", "cell"), "shared-segments")
+    # most segments are one class's alone: a bit table of a fixed size keeps nearly all of those out of the second shuffle
+    near = sent.mapInArrow(_screened(docs.sparkSession.sparkContext.broadcast(bit_table(least, "digest", SCREEN_BITS))), "digest long, name long")
+    cells = written(near.join(least, "digest").select("cell", "name").distinct(), "cells")
+    whole, base = base, written(base.drop("digests"), "sets")
+    removed(whole, least)
 
     classes = base.where("n > 0 and id is not null").groupBy("node", "name").agg(F.min("id").alias("low"), F.max("n").alias("n"))
     inside = classes.join(cells.select("name").distinct(), "name")

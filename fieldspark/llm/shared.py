@@ -79,6 +79,21 @@ def slices(batch: pa.RecordBatch, place: int, most: int = SLICE_BYTES) -> Iterat
         i = j
 
 
+def bit_table(df: DataFrame, hashes: str, bits: int) -> np.ndarray:
+    """A bit set for the lowest ``bits`` bits of each of the 64-bit ``hashes``: of a fixed size whatever the table's, put
+    together by Spark. What it leaves out isn't in the table; of the rest some isn't either."""
+    cell = F.col(hashes).bitwiseAND((1 << bits) - 1)
+    rows = df.select(F.shiftright(cell, 6).alias("k"), F.expr(f"shiftleft(1L, cast(`{hashes}` & 63 as int))").alias("b")).groupBy("k").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[rows["k"].to_numpy()] = rows["b"].to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bit_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    cell = hashes & np.uint64(64 * len(table) - 1)
+    return (table[cell >> np.uint64(6)] >> (hashes & np.uint64(63))) & np.uint64(1) > 0
+
+
 class Packed:
     """Rows as (row, text): all columns but the text in a struct under names of its own, so that columns of any names pass.
 
