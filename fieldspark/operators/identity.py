@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from fieldspark.functions.text import normalize_name
 from fieldspark.operators.merge import missing, upsert
 from fieldspark.operators.ranking import first_by
+from fieldspark.sources.sinks import written
 
 # What becomes of a new external player.
 MINT, LINK, AMBIGUOUS, OVERRIDE = "MINT", "LINK", "AMBIGUOUS", "OVERRIDE"
@@ -42,15 +43,15 @@ def classified(externals: DataFrame, canonical: DataFrame, overrides: DataFrame)
     )
 
 
-def minted(rows: DataFrame, last_id: DataFrame, order: str, name: str = "canonical_id", ranges: int = 64) -> DataFrame:
-    """``rows`` with ids after the largest in ``last_id`` (one column), without gaps, in ascending ``order`` (unique).
+def minted(rows: DataFrame, last_id: DataFrame, order: str, name: str = "canonical_id") -> DataFrame:
+    """``rows`` with ids after the largest in ``last_id`` (one column), without gaps, in ascending ``order`` (unique, of any
+    type that can be sorted).
 
-    Rows are numbered within ranges of ``order`` and moved by the sizes of the ranges before, so no task has all rows.
+    Rows are written in ranges of the order, numbered within them and moved by the sizes of the ranges before, so no task
+    has all rows; the ranges become more with the rows.
     """
-    cuts = rows.approxQuantile(order, [k / ranges for k in range(1, ranges)], 0.5 / ranges) if dict(rows.dtypes)[order] in ("bigint", "int", "double") else []
-    cuts = sorted(set(cuts))
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0)
-    dealt = rows.withColumn("__part", part)
+    ranged = rows.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id())
+    dealt = written(ranged, "ranges")
     before = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row a range
     before = before.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     last = last_id.agg(F.coalesce(F.max(last_id.columns[0]), F.lit(0)).alias("__last"))
@@ -58,6 +59,40 @@ def minted(rows: DataFrame, last_id: DataFrame, order: str, name: str = "canonic
     return placed.join(F.broadcast(before), "__part").join(F.broadcast(last)).select(*rows.columns, (F.col("__last") + F.col("__before") + F.col("__place")).cast("long").alias(name))
 
 
+def _unlinked(matches: DataFrame, identities: DataFrame, system: str) -> DataFrame:
+    known = identities.where(F.col("source_system") == system).select(F.col("source_id").alias("__linked")).distinct()
+    return matches.join(known, F.col("id").cast("string") == F.col("__linked"), "left_anti")
+
+
+def mintable_fixtures(matches: DataFrame, squads: DataFrame, identities: DataFrame, system: str, gender: str | None = "MALE") -> DataFrame:
+    """(id, home_squad_id, away_squad_id, scheduled_at) of matches (id, home_squad_id, away_squad_id, scheduled text) that no
+    identity has yet, with both squads known, both of ``gender`` unless that is None, and a readable date."""
+    side = lambda s: squads.select(F.col("squad_id").alias(f"{s}_squad_id"), F.col("gender").alias(f"__{s}"))
+    rows = _unlinked(matches, identities, system).join(side("home"), "home_squad_id").join(side("away"), "away_squad_id")
+    if gender is not None:
+        rows = rows.where((F.col("__home") == gender) & (F.col("__away") == gender))
+    return rows.select("id", "home_squad_id", "away_squad_id", F.expr("try_cast(scheduled as timestamp_ntz)").alias("scheduled_at")).where("scheduled_at is not null")
+
+
+def skipped_fixtures(matches: DataFrame, identities: DataFrame, system: str) -> DataFrame:
+    """How many matches without identity lack a squad, and how many a readable date."""
+    return _unlinked(matches, identities, system).agg(
+        F.count_if(F.col("home_squad_id").isNull() | F.col("away_squad_id").isNull()).alias("missing_squad"), F.count_if(F.expr("try_cast(scheduled as timestamp_ntz)").isNull()).alias("bad_date")
+    )
+
+
+def stale_ids(identities: DataFrame, canonical: str, order: list[Column]) -> DataFrame:
+    """(stale, current): each source id of a canonical one that isn't first in ``order``, and the one that is."""
+    first = F.first_value("source_id").over(Window.partitionBy(canonical).orderBy(*order))
+    return identities.select(F.col("source_id").alias("stale"), first.alias("current")).where("stale <> current").distinct()
+
+
+def remapped(rows: DataFrame, stale: DataFrame, column: str) -> DataFrame:
+    """``rows`` with stale ids replaced by the current ones."""
+    new = stale.select(F.col("stale").alias(column), F.col("current").alias("__current"))
+    return rows.join(new, column, "left").withColumn(column, F.coalesce("__current", column)).select(*rows.columns)
+
+
 def queued_candidates(ambiguous: DataFrame, queue: DataFrame, system: str) -> DataFrame:
     """The queue with a PENDING row for each candidate that has none yet."""
     rows = ambiguous.select(F.lit(system).alias("source_system"), "source_id", F.explode("candidates").alias("candidate_id"), F.lit("PENDING").alias("status"))

@@ -68,3 +68,24 @@ def changed(current: DataFrame, stored: DataFrame, keys: list[str], compare: lis
     other = stored.select(*keys, F.struct(*compare).alias("__stored"), F.lit(True).alias("__known"))
     joined = current.join(other, keys, "left")
     return joined.where(F.col("__known").isNull() | ~F.struct(*compare).eqNullSafe(F.col("__stored"))).select(*current.columns)
+
+
+def update_guarded(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], guard: DataFrame, guard_keys: list[str]) -> DataFrame:
+    """``update_only`` for rows whose ``guard_keys`` the guard doesn't have (an update with NOT EXISTS)."""
+    held = target.join(guard.select(*guard_keys).distinct(), guard_keys, "left_semi")
+    return update_only(target.join(guard.select(*guard_keys).distinct(), guard_keys, "left_anti"), changes, keys, columns).unionByName(held).select(*target.columns)
+
+
+def update_if(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], condition: Column) -> DataFrame:
+    """``columns`` from the changes for matched rows where ``condition``, over ``old.c`` and ``new.c``, is true."""
+    new = changes.select(*keys, *columns).withColumn(MATCHED, F.lit(True)).alias("new")
+    joined = target.alias("old").join(new, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys], "left")
+    use = F.coalesce(F.col(f"new.{MATCHED}") & condition, F.lit(False))
+    return joined.select(*[F.when(use, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) if c in columns else F.col(f"old.{c}").alias(c) for c in target.columns])
+
+
+def not_done(rows: DataFrame, done: DataFrame, keys: list[str], except_for: Column | None = None) -> DataFrame:
+    """Rows whose key isn't done yet, and those that ``except_for`` has done again."""
+    flagged = rows.join(done.select(*keys).distinct().withColumn("__done", F.lit(True)), keys, "left")
+    again = F.lit(False) if except_for is None else F.coalesce(except_for, F.lit(False))
+    return flagged.where(F.col("__done").isNull() | again).select(*rows.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions import scalars, text
 from fieldspark.operators import bridge, discovery, flatten, identity, incremental, merge, quality, queue, ranking, spells
+from fieldspark.sources.sinks import shared_dir, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -166,8 +167,10 @@ def participation_spells(t):
 
 
 def _positions(t):
-    p = spells.participation(*_season(t)).withColumnsRenamed({"match_id": "fixture_id", "iteration_id": "season_id"})
-    return spells.by_position(p.where("play_duration > 0"))
+    events, matches = _season(t)
+    # as a plan of models would: participation is a table, computed once for all that is made of it
+    p = written(spells.participation(events, written(matches, "matches")), "participation").withColumnsRenamed({"match_id": "fixture_id", "iteration_id": "season_id"})
+    return written(spells.by_position(p.where("play_duration > 0")), "positions")
 
 
 _POSITIONS = _PARTICIPATION + """, pos as (select match_id as fixture_id, iteration_id as season_id, squad_id::bigint as squad_id, player_id, position, bool_or(started) as started, min(first_second)::double as first_second, max(last_second)::double as last_second, sum(play_duration)::double as play_duration, max(match_duration)::double as match_duration from part group by all)
@@ -227,7 +230,8 @@ def conditional_counts(t):
 select p_brand, round(median(delta), 4) as median, round(quantile_cont(delta, 0.95), 4) as p95, max(delta) as largest from d group by all""")
 def delta_quantiles(t):
     d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", F.abs(F.col("l_extendedprice") - F.col("l_quantity") * F.col("p_retailprice")).cast("decimal(18,2)").cast("double").alias("delta"))
-    return d.groupBy("p_brand").agg(F.round(F.median("delta"), 4).alias("median"), F.round(F.percentile("delta", 0.95), 4).alias("p95"), F.max("delta").alias("largest"))
+    found = ranking.exact_quantiles(d, ["p_brand"], "delta", {"median": 0.5, "p95": 0.95, "largest": 1.0})
+    return found.select("p_brand", F.round("median", 4).alias("median"), F.round("p95", 4).alias("p95"), "largest")
 
 
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by all having count(*) > 1")
@@ -319,10 +323,10 @@ def union_long_sides(t):
     return flatten.both_sides(o, {"HOME": {"match_id": "o_orderkey", "squad_id": "o_custkey"}, "AWAY": {"match_id": "o_orderkey", "squad_id": "other"}})
 
 
-@query("select c_custkey as id, c_name as name, c_acctbal as balance, 'base' as origin from customer where c_custkey < 1000 union all select o_custkey, null, null, 'tail' from (select distinct o_custkey from orders) where o_custkey not in (select c_custkey from customer where c_custkey < 1000)")
+@query("select s_suppkey as id, s_name as name, s_acctbal as balance, 'base' as origin from supplier union all select c_custkey, null, null, 'tail' from customer where c_custkey not in (select s_suppkey from supplier)")
 def snapshot_plus_tail(t):
-    base = t.customer.where("c_custkey < 1000").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.lit("base").alias("origin"))
-    tail = t.orders.select(F.col("o_custkey").alias("id")).distinct().join(base, "id", "left_anti")
+    base = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"), F.lit("base").alias("origin"))
+    tail = merge.missing(t.customer.select(F.col("c_custkey").alias("id")), base, ["id"])
     return base.unionByName(tail.select("id", F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("balance"), F.lit("tail").alias("origin")))
 
 
@@ -569,17 +573,16 @@ def source_freshness(t):
     return quality.freshness(t.events, "ts", F.expr("timestamp_ntz '2024-01-31 12:00:00'"), 24, 72)
 
 
-@query("select coalesce(a.k, b.k) as k, a.n as left_n, b.n as right_n from (select o_custkey as k, count(*) as n from orders group by 1) a full join (select o_custkey as k, count(*) as n from orders where o_totalprice > 1000 group by 1) b on a.k = b.k where a.n is distinct from b.n")
+@query("select coalesce(a.k, b.k) as k, a.n as left_n, b.n as right_n from (select o_custkey as k, count(*) as n from orders group by 1) a full join (select o_custkey as k, count(*) as n from orders where o_totalprice > 100000 group by 1) b on a.k = b.k where a.n is distinct from b.n")
 def reconciliation(t):
     a = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    b = t.orders.where("o_totalprice > 1000").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    b = t.orders.where("o_totalprice > 100000").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     return quality.reconciled(a, b, ["k"], ["n"])
 
 
 @query("select date_trunc('day', ts)::date::varchar as day, event_type, count(*) as n, sum(value::decimal(18,2))::double as total from events group by all")
 def stream_daily_counts(t):
     """The events as a file stream, counted by day in batches that are upserted into a table; the table is returned."""
-    import tempfile
     import uuid
 
     from fieldspark.operators.ranking import first_by
@@ -587,8 +590,7 @@ def stream_daily_counts(t):
     from fieldspark.streaming.upserts import file_stream, start
 
     spark = t.spark
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldspark-")
-    where = f"{base.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    where = f"{shared_dir(spark)}/stream-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
     def add(batch: DataFrame, n: int) -> None:
         days = batch.groupBy(F.to_date("ts").cast("string").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(exact("value")).cast("double").alias("total")).withColumn("batch", F.lit(n))

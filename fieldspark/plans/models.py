@@ -115,18 +115,19 @@ def fixture_details(fixtures: DataFrame, identities: DataFrame, matches: DataFra
 KPI_GRAIN = ("player_id", "fixture_id", "kpi_id", "squad_id", "position_code")
 
 
-def fixture_kpis(kpis: DataFrame, players: DataFrame, fixtures: DataFrame) -> DataFrame:
+def fixture_kpis(kpis: DataFrame, players: DataFrame, fixtures: DataFrame, season: DataFrame) -> DataFrame:
     rows = resolved(resolved(kpis, players, "source_player_id", "player_id"), fixtures, "source_fixture_id", "fixture_id")
-    return rows.withColumnRenamed("iteration_id", "season_id").withColumn("source_system", F.lit(PROVIDER))
+    rows = rows.withColumnRenamed("iteration_id", "season_id").join(season.select("season_id", "competition_id"), "season_id", "left")
+    return rows.withColumn("source_system", F.lit(PROVIDER))
 
 
-def fixture_kpis_updated(target: DataFrame, kpis: DataFrame, players: DataFrame, fixtures: DataFrame, days: int = 7) -> DataFrame:
+def fixture_kpis_updated(target: DataFrame, kpis: DataFrame, players: DataFrame, fixtures: DataFrame, season: DataFrame, days: int = 7) -> DataFrame:
     """The fact after the last days have been read again and upserted on its grain."""
-    return incremental.reprocess(kpis, target, "scheduled_at", list(KPI_GRAIN), days, lambda rows: fixture_kpis(rows, players, fixtures))
+    return incremental.reprocess(kpis, target, "scheduled_at", list(KPI_GRAIN), days, lambda rows: fixture_kpis(rows, players, fixtures, season))
 
 
 def season_kpis(kpis: DataFrame) -> DataFrame:
-    return kpis.groupBy("player_id", "season_id", "kpi_id").agg(F.sum("kpi_value").alias("season_total"), F.avg("kpi_value").alias("season_average"), F.count_distinct("fixture_id").alias("matches_played"), F.sum("play_duration_seconds").alias("total_play_duration_seconds"))
+    return kpis.groupBy("player_id", "season_id", "competition_id", "kpi_id").agg(F.sum("kpi_value").alias("season_total"), F.avg("kpi_value").alias("season_average"), F.count_distinct("fixture_id").alias("matches_played"), F.sum("play_duration_seconds").alias("total_play_duration_seconds"))
 
 
 def iteration_player_fact(rows: DataFrame, ids: DataFrame, season: DataFrame) -> DataFrame:
@@ -193,8 +194,8 @@ def football(sources: Sources, target: str, include_all: bool = False) -> Plan:
     plan.model("player_recent_position", "stg_events", "player_ids", kept=TABLE, grain=("player_id",), tags=dim)(recent_position)
     plan.model("fixture_details", "canonical_fixtures", "fixture_identities", "stg_matches", "app_fixtures", "seasons", "dim_squads", kept=TABLE, grain=("fixture_id",), tags=dim)(fixture_details)
 
-    plan.model("player_fixture_kpis", "stg_player_kpis", "player_ids", "fixture_ids", kept=TABLE, grain=KPI_GRAIN, tags=fact)(fixture_kpis)
-    plan.model("player_season_kpis", "player_fixture_kpis", kept=TABLE, grain=("player_id", "season_id", "kpi_id"), tags=fact)(season_kpis)
+    plan.model("player_fixture_kpis", "stg_player_kpis", "player_ids", "fixture_ids", "seasons", kept=TABLE, grain=KPI_GRAIN, tags=fact)(fixture_kpis)
+    plan.model("player_season_kpis", "player_fixture_kpis", kept=TABLE, grain=("player_id", "season_id", "competition_id", "kpi_id"), tags=fact)(season_kpis)
     for what in ("kpis", "scores"):
         plan.model(f"player_iteration_{what}", f"stg_iteration_player_{what}", "player_ids", "seasons", kept=TABLE, tags=fact)(iteration_player_fact)
         plan.model(f"squad_iteration_{what}", f"stg_iteration_squad_{what}", "seasons", kept=TABLE, tags=fact)(iteration_squad_fact)

@@ -29,6 +29,14 @@ class Model:
     tags: frozenset[str] = frozenset()
 
 
+def schema_name(own: str | None, target: str, default: str) -> str:
+    """Where a model's table goes: the target's default without a schema of its own; its own in ``prod``; else its own with
+    the default behind it, so that targets don't meet."""
+    if own is None:
+        return default
+    return own.strip() if target == "prod" else f"{own.strip()}_{default}"
+
+
 class FailedTest(Exception):
     pass
 

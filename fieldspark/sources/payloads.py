@@ -5,24 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.operators.ranking import first_by
 from fieldspark.operators.spells import CHANGES, STARTS
 
-# What is read of an event as columns (name: path and type), and the optional objects kept as JSON text.
-EVENT_SCALARS = {
-    "event_id": ("$.id", "bigint"), "event_index": ("$.index", "bigint"), "period_id": ("$.periodId", "bigint"), "game_time": ("$.gameTime.gameTime", "string"), "clock": ("$.gameTime.gameTimeInSec", "double"),
-    "squad_id": ("$.squadId", "bigint"), "player_id": ("$.player.id", "bigint"), "player_position": ("$.player.position", "string"), "player_position_side": ("$.player.positionSide", "string"),
-    "action_type": ("$.actionType", "string"), "action": ("$.action", "string"), "result": ("$.result", "string"), "phase": ("$.phase", "string"), "body_part": ("$.bodyPart", "string"), "pressure": ("$.pressure", "double"),
-    "start_x": ("$.start.coordinates.x", "double"), "start_y": ("$.start.coordinates.y", "double"), "end_x": ("$.end.coordinates.x", "double"), "end_y": ("$.end.coordinates.y", "double"), "duration": ("$.duration", "double"),
+# The fields of an event that become columns (column: field), and the objects that are kept as variants.
+EVENT = (
+    "id bigint, index bigint, sequenceIndex bigint, periodId bigint, gameTime struct<gameTime:string,gameTimeInSec:double>, squadId bigint, currentAttackingSquadId bigint, "
+    "player struct<id:bigint,position:string,positionSide:string>, actionType string, action string, phase string, bodyPart string, bodyPartExtended string, previousPassHeight string, duration double, "
+    "opponents bigint, pressure double, distanceToGoal double, distanceToOpponent double, result string, pressingPlayerId bigint, fouledPlayerId bigint, inferredSetPiece string"
+)
+EVENT_COLUMNS = {
+    "event_id": "id", "event_index": "index", "sequence_index": "sequenceIndex", "period_id": "periodId", "game_time": "gameTime.gameTime", "clock": "gameTime.gameTimeInSec", "squad_id": "squadId",
+    "current_attacking_squad_id": "currentAttackingSquadId", "player_id": "player.id", "player_position": "player.position", "player_position_side": "player.positionSide", "action_type": "actionType", "action": "action",
+    "phase": "phase", "body_part": "bodyPart", "body_part_extended": "bodyPartExtended", "previous_pass_height": "previousPassHeight", "duration": "duration", "opponents": "opponents", "pressure": "pressure",
+    "distance_to_goal": "distanceToGoal", "distance_to_opponent": "distanceToOpponent", "result": "result", "pressing_player_id": "pressingPlayerId", "fouled_player_id": "fouledPlayerId", "inferred_set_piece": "inferredSetPiece",
 }
-EVENT_DETAILS = ("pass", "shot", "duel", "dribble", "formation", "inferredSetPiece", "opponents", "pxT", "start", "end")
+EVENT_DETAILS = {"start": "start", "end": "end", "duel": "duel", "shot": "shot", "pass": "pass", "dribble": "dribble", "set_piece": "setPiece", "pxt": "pxT", "formation": "formation", "opponent": "opponent"}
 
 
-def event_rows(raw: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ("match_id",)) -> DataFrame:
-    """One row per event: scalar columns, each optional object as JSON text (null where missing), and the whole event."""
-    event = F.col(payload)
-    columns = [F.get_json_object(event, path).try_cast(kind).alias(name) for name, (path, kind) in EVENT_SCALARS.items()]
-    details = [F.get_json_object(event, f"$.{name}").alias(f"{name}_detail") for name in EVENT_DETAILS]
-    return raw.select(*keep, *columns, *details, event.alias("raw_event"))
+def event_rows(raw: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ("match_id",), run_id: int | None = None) -> DataFrame:
+    """One row per event: its scalar columns, each optional object as a variant (null where missing), the whole event as
+    a variant and the run that loaded it. The payload is parsed once for the columns and once for the whole event."""
+    shape = EVENT + "".join(f", `{name}` variant" for name in EVENT_DETAILS.values())
+    one = raw.select(*keep, F.from_json(payload, shape).alias("e"), F.try_parse_json(payload).alias("raw_event"))
+    columns = [F.col(f"e.{field}").alias(name) for name, field in EVENT_COLUMNS.items()]
+    details = [F.col(f"e.`{field}`").alias(f"{name}_detail") for name, field in EVENT_DETAILS.items()]
+    return one.select(*keep, *columns, *details, "raw_event", F.lit(run_id).cast("long").alias("ingestion_run_id"))
 
 
 SIDE = f"struct<id:bigint,players:array<struct<id:bigint,shirtNumber:int>>,startingPositions:{STARTS},substitutions:{CHANGES},formations:array<struct<formation:string>>>"
@@ -85,6 +93,44 @@ def squad_kpi_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
     return one.select("match_id", "side", "squad_id", F.col("k.kpiId").alias("kpi_id"), F.col("k.value").alias("value"))
 
 
+def _score_rows(raw: DataFrame, payload: str, array: str, score: str, who: str, more: str) -> DataFrame:
+    kept = [c for c in raw.columns if c != payload]
+    records = F.from_json(payload, f"array<struct<{who}:bigint,{more}{array}:array<struct<{score}:bigint,value:double>>>>")
+    one = raw.select(*kept, F.explode(records).alias("r"))
+    return one.select(*kept, "r", F.explode(f"r.{array}").alias("s"))
+
+
+def player_score_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per player and score beside the other columns of ``raw``; records without scores give none."""
+    rows = _score_rows(raw, payload, "playerScores", "playerScoreId", "playerId", "position:string,playDuration:double,matchShare:double,")
+    kept = [c for c in raw.columns if c != payload]
+    return rows.select(*kept, F.col("r.playerId").alias("player_id"), F.col("r.position").alias("position"), F.col("r.playDuration").alias("play_duration"), F.col("r.matchShare").alias("match_share"), F.col("s.playerScoreId").alias("player_score_id"), F.col("s.value").alias("value"))
+
+
+def squad_score_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per squad and score beside the other columns of ``raw``; records without scores give none."""
+    rows = _score_rows(raw, payload, "squadScores", "squadScoreId", "squadId", "")
+    kept = [c for c in raw.columns if c != payload]
+    return rows.select(*kept, F.col("r.squadId").alias("squad_id"), F.col("s.squadScoreId").alias("squad_score_id"), F.col("s.value").alias("value"))
+
+
+def match_index_rows(raw: DataFrame, order: str, most: int | None = None, payload: str = "payload") -> DataFrame:
+    """One row per match of the index: of several with one id the first in ``order`` stays; at most the first ``most``."""
+    matches = F.from_json(payload, "array<struct<id:bigint,scheduledDate:string,homeSquadId:bigint,awaySquadId:bigint>>")
+    rows = raw.select(F.col(order).alias("__order"), F.posexplode(matches).alias("__place", "m"))
+    first = first_by(rows, ["m.id"], [F.col("__order"), F.col("__place")])
+    if most is not None:
+        first = first.orderBy("__order", "__place").limit(most)
+    return first.select(F.col("m.id").alias("match_id"), F.expr("try_cast(m.scheduledDate as timestamp_ntz)").alias("scheduled_at"), F.col("m.homeSquadId").alias("home_squad_id"), F.col("m.awaySquadId").alias("away_squad_id"))
+
+
+def own_values(events: DataFrame, name: str, kpis: str = "event_kpis", player: str = "player_id", keep: tuple[str, ...] = ("match_id", "event_id", "player_id")) -> DataFrame:
+    """Of each event the value ``name`` that its KPI array (a variant: an object for each player) has for its own player."""
+    each = events.select(*keep, F.col(player).alias("__own"), F.from_json(F.to_json(kpis) if dict(events.dtypes)[kpis] == "variant" else F.col(kpis), f"array<struct<playerId:bigint,`{name}`:double>>").alias("__all"))
+    rows = each.select(*keep, "__own", F.explode("__all").alias("k")).where("k.playerId = __own")
+    return rows.select(*keep, F.col(f"k.`{name}`").alias("value"))
+
+
 def rating_rows(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per (date, squad) of squad ratings; what else a rating says stays as a map of text."""
     groups = F.from_json(payload, "array<struct<date:string,squadRatings:array<map<string,string>>>>")

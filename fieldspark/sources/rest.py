@@ -24,6 +24,40 @@ class TooManyRequests(Exception):
         self.retry_after = retry_after
 
 
+class Unauthorized(Exception):
+    pass
+
+
+def with_login(login, call):
+    """A fetch function that logs in before the first call, and once more when a call is refused as unauthorized.
+
+    ``login() -> token``, ``call(token, key, page) -> (objects, has_more)``. A second refusal is raised.
+    """
+    held = []
+
+    def fetch(key: str, page: int):
+        if not held:
+            held.append(login())
+        try:
+            return call(held[0], key, page)
+        except Unauthorized:
+            held[0] = login()
+            return call(held[0], key, page)
+
+    return fetch
+
+
+def by_offset(get, limit: int):
+    """A fetch function for services with offset and limit: ``get(key, offset, limit) -> (objects, total)``, read until the
+    total is reached or a page is empty."""
+
+    def fetch(key: str, page: int):
+        objects, total = get(key, page * limit, limit)
+        return objects, bool(objects) and page * limit + len(objects) < total
+
+    return fetch
+
+
 def seconds_of(retry_after: str | None, now: float | None = None) -> float | None:
     """The wait that a Retry-After header asks for: seconds or an HTTP date; null where it says neither."""
     if not retry_after:

@@ -1,0 +1,29 @@
+"""A page-wise service without a network: numbers by key, refused once in a while, for queries and tests of the source."""
+
+from __future__ import annotations
+
+from fieldspark.sources import rest
+
+TOTAL, LIMIT = 23, 5
+_tries: dict[str, int] = {}
+
+
+def _refused(kind: str, key: str, page: int) -> bool:
+    """Whether a request is refused: the first one for each third page of a key in each worker."""
+    n = _tries[f"{kind}{key}/{page}"] = _tries.get(f"{kind}{key}/{page}", 0) + 1
+    return n == 1 and page % 3 == 1
+
+
+def _get(key: str, offset: int, limit: int):
+    return [{"key": key, "n": n, "double": 2 * n} for n in range(offset, min(TOTAL, offset + limit))], TOTAL
+
+
+def _call(token: str, key: str, page: int):
+    if _refused("login", key, page):
+        raise rest.Unauthorized
+    if _refused("wait", key, page):
+        raise rest.TooManyRequests("0")
+    return rest.by_offset(_get, LIMIT)(key, page)
+
+
+numbered = rest.with_login(lambda: "token", _call)

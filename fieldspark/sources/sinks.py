@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all machines share, ``spark.checkpoint.dir``; a local session (tests) may use one of its own."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        where = tempfile.mkdtemp(prefix="fieldspark-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read again: computed once, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, path_of = _fs(spark, path)
     return fs.exists(path_of(path))
@@ -38,7 +57,8 @@ def write_parts(frames, path: str, resume: bool = False) -> int:
 def swap(df: DataFrame, path: str) -> None:
     """Write a new state of the table at ``path``, which ``df`` may read, and put it in the old one's place.
 
-    Until the rename the old state stands; a job that fails leaves it untouched.
+    A job that fails while it writes leaves the old state untouched. Between the two renames at the end the table is
+    absent; after a crash there its old state is found beside it, under ``.old-`` and a name of its own.
     """
     spark = df.sparkSession
     fs, path_of = _fs(spark, path)
@@ -66,6 +86,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of CSV files, each with a header; ``read_csv`` reads them as one table."""
     df.write.mode("append").option("header", True).csv(path)
 
 

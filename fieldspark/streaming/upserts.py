@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldspark.operators.merge import delete_keys, replace_keys, upsert
+from fieldspark.operators.merge import delete_keys, insert_only, replace_keys, upsert
 from fieldspark.operators.ranking import first_by
 from fieldspark.sources.sinks import exists, swap
 
@@ -73,5 +73,12 @@ def advanced(cursor: DataFrame, feed: str, started_at: Column, failed: int) -> D
     return upsert(cursor, row, ["feed"])
 
 
+def seeded(cursor: DataFrame, feeds: list[str], at: Column) -> DataFrame:
+    """The cursor table with a row at ``at`` for each feed that has none."""
+    kind = cursor.schema["at"].dataType
+    new = cursor.sparkSession.createDataFrame([(f,) for f in feeds], "feed string").select("feed", at.cast(kind).alias("at"))
+    return insert_only(cursor, new, ["feed"])
+
+
 def file_stream(spark: SparkSession, path: str, name: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(path)

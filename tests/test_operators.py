@@ -92,8 +92,10 @@ def test_identity(spark):
     queue_ = spark.createDataFrame([("A", "4", 12, "PENDING")], "source_system string, source_id string, candidate_id long, status string")
     assert rows(identity.queued_candidates(got.where("outcome = 'AMBIGUOUS'"), queue_, "A").select("candidate_id")) == [(12,), (13,)]
     many = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
-    ids = identity.minted(many, spark.createDataFrame([(50,)], "id long"), "k", ranges=8)
+    ids = identity.minted(many, spark.createDataFrame([(50,)], "id long"), "k")
     assert rows(ids) == [(k, 51 + k) for k in range(1000)]
+    said = many.select(F.lpad(F.col("k").cast("string"), 4, "0").alias("k"))  # ids are text in the identity tables
+    assert rows(identity.minted(said, spark.createDataFrame([], "id long"), "k")) == [(f"{k:04}", k + 1) for k in range(1000)]
     new = identity.new_externals(spark.createDataFrame([(1, 5), (1, 6), (2, None)], "id long, it long"), spark.createDataFrame([("2",)], "source_id string"), "id", [F.col("it").desc_nulls_last()])
     assert rows(new) == [(1, 6)]
 
@@ -151,3 +153,62 @@ def test_text_and_scalars(spark):
     got = df.select(scalars.timestamp_or_null("ts"), scalars.utc_or_null("ts"), scalars.integer_or_null("i"), scalars.season_year(F.col("s"))).collect()
     assert tuple(got[0]) == (T(2024, 1, 2, 19), T(2024, 1, 2, 17), None, 2023) and tuple(got[1]) == (None, None, 7, 2021) and tuple(got[2]) == (None,) * 4
     assert scalars.cleaned_columns(df.select(F.col("n").alias(" a.b (c) "))).columns == ["A_B_C"]
+
+
+def test_stages(spark, tmp_path):
+    from fieldspark.operators import stages
+
+    data = [(1, "95/96", 1, 5, 2), (2, "95/96", None, 1, 1), (3, "1990", 1, 7, 7), (4, "95/96", 1, 5, 0), (5, "1994", 9, 2, 2), (1, "95/96", 1, 1, 1)]
+    its = spark.createDataFrame(data, "iteration_id long, season string, country_id long, matches long, todo long")
+    got = stages.cells(its, {"new": ["95/96"], "old": ["1994"]}, {"g": [1], "h": [9, 1]}).orderBy("block_place", "group_place").collect()
+    assert [tuple(r) for r in got] == [(0, "new", 0, "g", [1, 4], 11, 3), (0, "new", 2, stages.OTHER, [2], 1, 1), (1, "old", 1, "h", [5], 2, 2)]
+    assert stages.cells(its.limit(0), {"new": ["95/96"]}, {"g": [1]}).count() == 0
+    (tmp_path / "no.json").write_text('{"name": "x"}')
+    with pytest.raises(ValueError):
+        stages.read_plan(spark, str(tmp_path / "no.json"))
+    with pytest.raises(ValueError):
+        stages.selected(its.withColumn("block", F.lit("a")), ["a", "b"])
+
+
+def test_exact_quantiles(spark):
+    values = [(k % 3, float(v)) for k, v in enumerate([5, 1, 9, 9, 2, 7, 7, 7, 3, 4, 8, 1, 6])] + [(None, 3.0), (0, None)]
+    got = ranking.exact_quantiles(spark.createDataFrame(values, "k int, v double"), ["k"], "v", {"median": 0.5, "p90": 0.9, "most": 1.0}).collect()
+    import numpy as np
+
+    for r in got:
+        own = [v for k, v in values if k == r["k"] and v is not None]
+        assert (r["median"], r["most"]) == (np.median(own), max(own)) and abs(r["p90"] - np.quantile(own, 0.9)) < 1e-9
+    assert len(got) == 3
+
+
+def test_guarded_updates(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, 3)], "k long, g string, v long")
+    new = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "k long, v long")
+    guard = spark.createDataFrame([("a",), (None,)], "g string")
+    assert rows(merge.update_guarded(old, new, ["k"], ["v"], guard, ["g"])) == [(1, "a", 1), (2, "b", 20), (3, None, 30)]
+    assert rows(merge.update_if(old, new, ["k"], ["v"], F.col("old.v") >= 2)) == [(1, "a", 1), (2, "b", 20), (3, None, 30)]
+    assert rows(merge.not_done(old, new.where("k < 3"), ["k"], F.col("g") == "b")) == [(2, "b", 2), (3, None, 3)]
+
+
+def test_paging_and_logins():
+    from fieldspark.sources import rest
+
+    seen = []
+
+    def call(token, key, page):
+        seen.append(token)
+        if token == 1:
+            raise rest.Unauthorized
+        return [key], page < 1
+
+    tokens = iter((1, 2, 3))
+    fetch = rest.with_login(lambda: next(tokens), call)
+    assert fetch("a", 0) == (["a"], True) and fetch("a", 1) == (["a"], False) and seen == [1, 2, 2]
+    get = rest.by_offset(lambda key, offset, limit: (list(range(offset, min(7, offset + limit))), 7), 3)
+    assert [get("k", p) for p in range(4)] == [([0, 1, 2], True), ([3, 4, 5], True), ([6], False), ([], False)]
+
+
+def test_schema_names():
+    from fieldspark.plans.registry import schema_name
+
+    assert [schema_name(*x) for x in ((None, "dev", "D"), (" CORE ", "prod", "D"), ("CORE", "dev", "D"))] == ["D", "CORE", "CORE_D"]

@@ -12,10 +12,27 @@ def put(spark, *objects, **more):
 
 
 def test_event(spark):
-    event = {"id": 3, "index": 1, "gameTime": {"gameTime": "1:00", "gameTimeInSec": 60.0}, "player": {"id": 5}, "pass": {"distance": 3}, "pxT": {"team": 0.1}}
-    r = P.event_rows(put(spark, event)).first()
-    assert (r["event_id"], r["clock"], r["player_id"], r["player_position"], r["action"]) == (3, 60.0, 5, None, None)
-    assert json.loads(r["pass_detail"]) == {"distance": 3} and json.loads(r["pxT_detail"]) == {"team": 0.1} and r["shot_detail"] is None and json.loads(r["raw_event"]) == event
+    event = {
+        "id": 3, "index": 1, "sequenceIndex": 4, "currentAttackingSquadId": 10, "gameTime": {"gameTime": "1:00", "gameTimeInSec": 60.0}, "player": {"id": 5}, "pass": {"distance": 3}, "pxT": {"team": 0.1}, "setPiece": {"id": 8}, "opponent": {"x": 1},
+        "opponents": 7, "inferredSetPiece": "CORNER", "bodyPartExtended": "FOOT_LEFT", "distanceToGoal": 20.5, "pressingPlayerId": 6,
+    }
+    r = P.event_rows(put(spark, event), run_id=12).first()
+    assert (r["event_id"], r["clock"], r["player_id"], r["player_position"], r["action"], r["sequence_index"], r["current_attacking_squad_id"]) == (3, 60.0, 5, None, None, 4, 10)
+    assert (r["opponents"], r["inferred_set_piece"], r["body_part_extended"], r["distance_to_goal"], r["pressing_player_id"], r["fouled_player_id"], r["ingestion_run_id"]) == (7, "CORNER", "FOOT_LEFT", 20.5, 6, None, 12)
+    found = {k: json.loads(v.toJson()) for k, v in r.asDict().items() if k.endswith("_detail") and v is not None}
+    assert found == {"pass_detail": {"distance": 3}, "pxt_detail": {"team": 0.1}, "set_piece_detail": {"id": 8}, "opponent_detail": {"x": 1}} and json.loads(r["raw_event"].toJson()) == event
+
+
+def test_scores_and_index(spark):
+    raw = put(spark, [{"playerId": 1, "position": "CB", "playDuration": 9.0, "matchShare": 0.5, "playerScores": [{"playerScoreId": 2, "value": 1.5}, {"playerScoreId": 3, "value": None}]}, {"playerId": 4, "playerScores": []}, {"playerId": 5}])
+    assert [tuple(r) for r in P.player_score_rows(raw).orderBy("player_score_id").collect()] == [(1, 100, 1, "CB", 9.0, 0.5, 2, 1.5), (1, 100, 1, "CB", 9.0, 0.5, 3, None)]
+    raw = put(spark, [{"squadId": 7, "squadScores": [{"squadScoreId": 2, "value": 0.5}]}, {"squadId": 8}])
+    assert [tuple(r) for r in P.squad_score_rows(raw).collect()] == [(1, 100, 7, 2, 0.5)]
+    raw = spark.createDataFrame([(2, json.dumps([{"id": 9, "homeSquadId": 3}])), (1, json.dumps([{"id": 9, "homeSquadId": 1}, {"id": 8}, {"id": 9, "homeSquadId": 2}]))], "n int, payload string")
+    assert [r["home_squad_id"] for r in P.match_index_rows(raw, "n").where("match_id = 9").collect()] == [1]
+    assert [r["match_id"] for r in P.match_index_rows(raw, "n", most=1).collect()] == [9]
+    events = spark.createDataFrame([(1, 2, 5, json.dumps([{"playerId": 5, "SHOT_XG": 0.25}, {"playerId": 6, "SHOT_XG": 0.5}])), (1, 3, 5, None)], "match_id long, event_id long, player_id long, event_kpis string")
+    assert [tuple(r) for r in P.own_values(events, "SHOT_XG").collect()] == [(1, 2, 5, 0.25)]
 
 
 def test_match_info(spark):
