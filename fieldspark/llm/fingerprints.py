@@ -11,6 +11,7 @@ fingerprints is the larger of what they share as bags of such spans and of what
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import zlib
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fieldspark.llm.shared import table
+from fieldspark.llm.shared import Packed, column, slices, table
 
 U = np.uint64
 #: Two primes below 2**31 with a base each: together about 62 bits.
@@ -31,8 +32,11 @@ PLACES = 16
 #: Anchors: the least hash of the windows (their length second) among each so many neighbours (a power of two), so spans
 #: have half as many code points on average. The first pair is for texts of up to SHORT code points only.
 ANCHORS, SHORT = ((8, 3), (32, 8)), 512
-#: Documents of one range of ids in their order, about, and the most ranges (more documents make them larger).
-RANGE_ROWS, MOST_RANGES = 2_000, 1_000
+#: Documents of one range of ids in their order, about; the most ranges (more documents make them larger); and the ids of a
+#: range that are looked at to find where it ends.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 2_000, 20_000, 20
+#: Entries of a table of powers that a worker keeps; longer ones are made for the text that needs them.
+KEPT_POWERS = 1 << 17
 
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 _inverses: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
@@ -42,8 +46,7 @@ def _table(kept: list[np.ndarray], which: int, base: int, n: int) -> np.ndarray:
     have, p = kept[which], PRIMES[which]
     while len(have) < n:  # doubled: b**(k+i) = b**k * b**i
         have = np.concatenate([have, have * U(pow(base, len(have), p)) % U(p)])
-    if len(have) <= 1 << 22:
-        kept[which] = have
+    kept[which] = have[:KEPT_POWERS]
     return have[:n]
 
 
@@ -213,10 +216,26 @@ def likeness(one: str | Marks, other: str | Marks) -> float:
     return min(total / long, 1 - 1 / (2 * long))
 
 
-def _packed(batches):
-    for batch in batches:
-        said = [zlib.compress(t.encode(), 1) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(said, pa.binary())], ["range", "id", "packed"])
+def _range_of(cuts: list, ids: list) -> list[int]:
+    """The range of each id: 0 has the largest, the last one (behind all cuts) the smallest and the null ones."""
+    return [len(cuts) - (bisect.bisect_right(cuts, i) if i is not None else 0) for i in ids]
+
+
+def _ranged(sent):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_range_of(sent.value, batch.column(0).to_pylist()), pa.int32()), batch.column(0)], ["range", "id"])
+
+    return run
+
+
+def _packed(sent):
+    def run(batches):
+        for batch in (part for batch in batches for part in slices(batch, 1)):
+            said = [zlib.compress(t.encode(), 1) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(_range_of(sent.value, batch.column(0).to_pylist()), pa.int32()), batch.column(0), pa.array(said, pa.binary())], ["range", "id", "packed"])
+
+    return run
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,34 +243,43 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     the last; packed is the zlib form of the text in UTF-8, since whole texts are shuffled; null texts are empty. Equal
     ids follow each other in an order that only their texts decide; null ids come last.
 
-    Ids (numbers) are cut into ranges at quantiles of their distribution and each range is ordered by itself. The first
-    text of each range also goes to the end of the range before it, so that the texts meet in one shuffle and no text is
-    broadcast. Rows of one id are in one range.
+    Ids, of any type that can be sorted, are cut into ranges at quantiles of a bounded sample of them, and each range is
+    ordered by itself; the more documents, the more ranges. The first text of each range also goes to the end of the range
+    before it, so that the texts meet in one shuffle and no text is broadcast. Rows of one id are in one range.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    ranges = min(MOST_RANGES, rows.count() // RANGE_ROWS)
-    cuts = rows.where("id is not null").approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    if cuts:  # range 0 has the largest ids, the last one the null ids too
-        below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("id")))
-        dealt = rows.select(F.coalesce(F.lit(len(cuts)) - F.when(F.col("id").isNotNull(), below), F.lit(len(cuts))).alias("range"), "id", "text")
-    else:
-        dealt = rows.select(F.lit(0).alias("range"), "id", "text")
+    rows = docs.select(column(doc_id).alias("id"), F.coalesce(column(text), F.lit("")).alias("text"))
+    known = rows.where("id is not null").select("id")
+    total = rows.count()
+    ranges = min(MOST_RANGES, total // RANGE_ROWS)
+    cuts: list = []
+    if ranges > 1:
+        share = min(1.0, ranges * SAMPLED / total)
+        some = sorted(r["id"] for r in known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).distinct().limit(2 * SAMPLED * MOST_RANGES).collect())
+        cuts = sorted({some[k * len(some) // ranges] for k in range(1, ranges)}) if some else []
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(cuts)
     kind = T.StructType([T.StructField("range", T.IntegerType()), rows.schema["id"], T.StructField("packed", T.BinaryType())])
-    tops = dealt.groupBy("range").agg(F.max("id").alias("top")).collect()  # a row a range
+    tops = rows.select("id").mapInArrow(_ranged(sent), T.StructType(kind[:2])).groupBy("range").agg(F.max("id").alias("top")).collect()  # a row a range
     if not tops:
         return rows.select("id", F.lit(b"").alias("packed"), F.lit(b"").alias("next_packed"))
     present = sorted(r["range"] for r in tops)
     before = {present[(k + 1) % len(present)]: b for k, b in enumerate(present)}
-    top = docs.sparkSession.createDataFrame([(r["range"], r["top"], before[r["range"]]) for r in tops], T.StructType([T.StructField("range", T.IntegerType()), T.StructField("top", rows.schema["id"].dataType), T.StructField("before", T.IntegerType())]))
-    first = dealt.join(F.broadcast(top), (dealt["range"] == top["range"]) & dealt["id"].eqNullSafe(top["top"])).select(F.col("before").alias("range"), "id", "text")
-    first = first.mapInArrow(_packed, kind).groupBy("range").agg(F.min("packed").alias("packed"))
+    top = spark.createDataFrame([(r["range"], r["top"], before[r["range"]]) for r in tops], T.StructType([T.StructField("of", T.IntegerType()), T.StructField("top", rows.schema["id"].dataType), T.StructField("before", T.IntegerType())]))
+    # null is the top of the last range alone, where all its ids are null
+    first = rows.join(F.broadcast(top), F.col("id").eqNullSafe(F.col("top"))).select("before", "id", "text")
+    first = first.select(F.struct("before", "id").alias("id"), "text").mapInArrow(_firsts, "range int, packed binary").groupBy("range").agg(F.min("packed").alias("packed"))
     ends = first.select("range", F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "packed", F.lit(True).alias("end"))
     order = Window.partitionBy("range").orderBy("end", F.col("id").desc_nulls_last(), "packed")
-    both = dealt.mapInArrow(_packed, kind).withColumn("end", F.lit(False)).unionByName(ends)
+    both = rows.mapInArrow(_packed(sent), kind).withColumn("end", F.lit(False)).unionByName(ends)
     return both.withColumn("next_packed", F.lead("packed").over(order)).where("not end").select("id", "packed", "next_packed")
 
 
+def _firsts(batches):
+    for batch in batches:
+        said = [zlib.compress(t.encode(), 1) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0).field("before"), pa.array(said, pa.binary())], ["range", "packed"])
+
+
 COLUMNS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_start")
 
 
@@ -274,7 +302,7 @@ def _compare(batches):
             known[packed] = of(zlib.decompress(packed).decode())
         return known[packed]
 
-    for batch in batches:
+    for batch in (part for batch in batches for part in slices(batch, 1, 1 << 18)):
         out = []
         for own, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             text, a, marks_a, whole_a = unpacked(own)
@@ -301,16 +329,8 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def add_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``fingerprint`` after its columns (one of that name is replaced); null counts as empty."""
-    keep = [c for c in docs.columns if c != "fingerprint"]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-
-    def run(batches):
-        for batch in batches:
-            said = [fingerprint(PrefixHashes(_codes(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], ["row", "fingerprint"])
-
-    out = packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("fingerprint", T.StringType())]))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "fingerprint")
+    start = lambda: lambda texts: [pa.array([fingerprint(PrefixHashes(_codes(t or ""))) for t in texts.to_pylist()], pa.string())]
+    return Packed(docs, text, {"fingerprint": T.StringType()}).mapped(start)
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -458,6 +459,13 @@ def test_fingerprints(spark, texts, monkeypatch):
         assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
         assert (got[i]["near_next"] == 1) == (t == nxt) and (got[i]["near_edited"] == 1) == (t == edited)
     assert len({r["fingerprint"] for r in got.values()}) == len({t or "" for t in texts})
+    named = docs(spark, texts).select(F.format_string("d%04d", "doc_id").alias("doc_id"), "text")  # ids of another type
+    said = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.compare_with_edits(named).collect()}
+    assert said == {f"d{i:04}": r["edited_sha256"] for i, r in got.items()}
+    some = spark.createDataFrame([(None, "ab"), (1, "cd"), (1, "cd"), (2, None), (None, "ef")], "doc_id int, text string")
+    pairs = [(r["id"], zlib.decompress(r["packed"]), zlib.decompress(r["next_packed"])) for r in fingerprints.with_next(some).collect()]
+    assert sorted(pairs, key=str) == sorted([(2, b"", b"cd"), (1, b"cd", b"cd"), (1, b"cd", b"ab"), (None, b"ab", b"ef"), (None, b"ef", b"")], key=str)
+    assert [r["fingerprint"] for r in fingerprints.add_fingerprints(docs(spark, [None, ""]).withColumn("fingerprint", F.lit("mine"))).collect()] == [got[1]["fingerprint"]] * 2
     one = fingerprints.compare_with_edits(spark.createDataFrame([(None, "abcd")], "doc_id long, text string")).first()
     assert one["near_next"] == 1.0 and fingerprints.compare_with_edits(docs(spark, texts).limit(0)).count() == 0
 
