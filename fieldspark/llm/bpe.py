@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import Packed, table
+from fieldspark.llm.shared import Packed, spread, table
 
 LEAF_CHARS = 32_768
 #: Code points before the end of a text in which what follows may still move a word bound: the longest added token, a
@@ -312,7 +312,7 @@ def default_path() -> str:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = encode(docs, default_path(), keep_text=False)
     return out.select(
         "doc_id",

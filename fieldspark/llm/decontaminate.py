@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import Packed, bit_table, column, in_bit_table, removed, table, within, written
+from fieldspark.llm.shared import Packed, bit_table, column, in_bit_table, removed, spread, table, within, written
 
 U = np.uint64
 WINDOW = 13
@@ -217,7 +217,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = scan(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated().alias("contaminated")

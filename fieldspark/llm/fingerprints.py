@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fieldspark.llm.shared import Packed, column, slices, table
+from fieldspark.llm.shared import Packed, column, slices, spread, table
 
 U = np.uint64
 #: Two primes below 2**31 with a base each: together about 62 bits.
@@ -334,4 +334,4 @@ def add_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return compare_with_edits(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import Packed, table
+from fieldspark.llm.shared import Packed, spread, table
 
 # Elements of HTML by what they do to text blocks. Raw text is skipped to its end tag; so are controls that
 # have one before the next of their kind.
@@ -383,4 +383,4 @@ def extract(pages: DataFrame, markup: str = "html") -> DataFrame:
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extract(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")))

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import Packed, removed, table, written
+from fieldspark.llm.shared import Packed, removed, spread, table, written
 
 U = np.uint64
 ORDER = 4
@@ -275,8 +275,8 @@ def fit(rows: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIB
     """Models of the languages in ``rows`` (text, lang); None where no row has both. Rows with a null in either count for
     nothing, and so do texts without letters. More than ``MOST_LANGS`` languages are an error."""
     rows = rows.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    spread = rows.sparkSession.sparkContext.defaultParallelism
-    chosen = written(sample(rows, fit_docs, calibration_docs).repartition(spread), "language-sample")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    chosen = written(sample(rows, fit_docs, calibration_docs).repartition(cores), "language-sample")
     if len(chosen.select("lang").distinct().limit(MOST_LANGS + 1).collect()) > MOST_LANGS:
         raise ValueError(f"more than {MOST_LANGS} languages")
 
@@ -376,7 +376,7 @@ def learning_rows(docs: DataFrame) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     models = fit(learning_rows(docs))
     out = predict(docs.select("doc_id", "text"), models, keep_text=False)
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected", "entropy")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm import words as W
 from fieldspark.llm.components import components
-from fieldspark.llm.shared import bit_table, column, in_bit_table, removed, slices, table, within, written
+from fieldspark.llm.shared import bit_table, column, in_bit_table, removed, slices, spread, table, within, written
 from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
@@ -269,6 +269,6 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return jaccard_components(spread(table(spark, sf_dir, "documents")), words=3, percent=90)
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text that a task works on at a time (a longer text is a slice of its own).
 SLICE_BYTES = 1 << 19
+#: Rows that aren't worth being spread over more tasks.
+FEW_ROWS = 4_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, where its few files give fewer (one row group is read by one task
+    alone, however many cores wait); a table of many files, or of few rows, stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or within(df.select(F.lit(1)), FEW_ROWS):  # a look at the plan; no row is read as an RDD
+        return df
+    return df.repartition(cores)
+
+
 def column(name: str) -> Column:
     """The column of exactly this name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import Packed, table
+from fieldspark.llm.shared import Packed, spread, table
 
 UNKNOWN_PENALTY = 10.0
 #: Words whose counts a task keeps: the last ones used, from once to twice so many, and the longest that it keeps.
@@ -137,4 +137,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep_text: bool
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), default_path(), keep_text=False).select("doc_id", "n_tokens")
+    return count_tokens(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), default_path(), keep_text=False).select("doc_id", "n_tokens")

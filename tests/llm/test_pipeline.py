@@ -41,6 +41,24 @@ def test_run(spark):
     assert got == want
 
 
+def test_language_stage_drops_what_it_rejects(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = [(-1, "1234 5678 !!", "en"), (-2, None, "en"), (-3, "", None), (-4, "жил был пёс и ещё один кот который любил спать на печи весь день " * 3, None), (-5, "qxzjkwv zzxq wqkj vvxzq jjqk " * 12, None)]
+    more = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.unionByName(more.select(*[more[c].cast(t) for c, t in docs.dtypes]))
+    kept = corpus_pipeline.STAGES[0][1](spark, both, DATA)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_near_duplicates_are_judged_by_id_and_text(spark):
+    said = "a b c d e f g"
+    rows = [(1, said), (2, said), (2, "x y z q r t u"), (2, "x y z q r t u"), (None, said), (3, None), (3, None), (0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.STAGES[2][1](spark, docs, DATA).collect()]
+    assert sorted(kept, key=str) == sorted([(1, said), (2, "x y z q r t u"), (None, said), (3, None), (3, None), (0, "")], key=str)
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

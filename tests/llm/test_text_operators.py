@@ -616,6 +616,31 @@ def test_token_counts_table(spark, texts):
         assert r["n_tokens"] == len(lib.encode(r["text"] or "").ids)
 
 
+# what all operators have in common
+
+ODD = "doc_id long, text string, `__any` string, row int, here string, `a.b` string, `N_TOKENS` int, c0 string"
+ADDED = {
+    "op2": lambda df: bpe.encode(df, bpe.default_path()), "op3": lambda df: language_id.predict(df, None), "op6": fingerprints.add_fingerprints, "op7": line_dedup.drop_common_lines,
+    "op8": licenses.scan, "op9": lambda df: lm_score.score(df, lm_score.train(df, SMALL), counts=lm_score.word_counts(df)), "op10": lambda df: token_counts.count_tokens(df, token_counts.default_path()),
+    "op4": lambda df: decontaminate.scan(df, df.select(F.lit(1).alias("item_id"), "text")), "op4 kept": lambda df: decontaminate.decontaminate(df, df.limit(0).withColumn("item_id", F.lit(1))),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ADDED))
+def test_odd_tables(spark, name):
+    """Null and repeated ids and rows, odd column names, a long text, and no rows at all."""
+    long = "word and Wörter " * 20_000 + "x" * 50_000
+    rows = [(i, t, "any", 1, None, "ab", 7, "c") for i, t in [(None, "a b"), (None, None), (1, "a b"), (1, "a b"), (1, "c"), (2, long), (3, "")]]
+    df = spark.createDataFrame(rows, ODD)
+    got = ADDED[name](df).collect()
+    key = lambda r: (str(r["doc_id"]), str(r["text"])[:9])
+    assert sorted(map(key, got)) == sorted((str(r[0]), str(r[1])[:9]) for r in rows)
+    for r in got:
+        assert (r["__any"], r["row"], r["here"], r["a.b"], r["c0"]) == ("any", 1, None, "ab", "c")
+    assert max(len(r["text"] or "") for r in got) == len(long)
+    assert ADDED[name](df.limit(0)).count() == 0
+
+
 # the registry
 
 
