@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from fieldspark.plans import catalogue, feeds  # noqa: F401
+from fieldspark.plans import catalogue, feeds, model_queries  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
