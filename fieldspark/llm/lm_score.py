@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.llm import words as W
-from fieldspark.llm.shared import Packed, column, removed, slices, table, written
+from fieldspark.llm.shared import Packed, column, removed, slices, spread, table, written
 
 U = np.uint64
 WINDOW = 2
@@ -42,9 +42,9 @@ class Settings:
     layer; rounds, of which each trains on the positions of one remainder, so that all train once; positions of a shard
     and the most shards (more positions make them larger); positions of a batch; step size (Adagrad) and seed."""
 
-    vocabulary: int = 4096
-    rare: int = 1024
-    width: int = 64
+    vocabulary: int = 2304
+    rare: int = 384
+    width: int = 48
     embedding: int = 12
     hidden: int = 16
     rounds: int = 2
@@ -115,7 +115,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def by_class(classes: np.ndarray):
     """(class, places) of each class that occurs."""
-    order = np.argsort(classes, kind="stable")
+    order = np.argsort(classes.astype(np.uint16), kind="stable")  # of 16 bits: sorted by radix
     cut = np.flatnonzero(np.diff(classes[order], prepend=-1))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
         yield int(classes[order[a]]), order[a:b]
@@ -168,7 +168,7 @@ class Network:
         move(2, ..., dh.sum(axis=0))
         # embeddings: sums of rows of equal tokens, with one step size a row
         tokens = near.ravel()
-        order = np.argsort(tokens, kind="stable")
+        order = np.argsort(tokens.astype(np.uint16), kind="stable")
         cut = np.flatnonzero(np.diff(tokens[order], prepend=-1))
         own, g = tokens[order][cut], np.add.reduceat(dx[order], cut, axis=0)
         self.squares[0][own] += (g * g).mean(axis=1)
@@ -429,6 +429,6 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network], text: str = "text"
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = written(word_counts(docs), "word-counts")
     return score(docs, train(docs, counts=counts), counts=counts, keep_text=False)
