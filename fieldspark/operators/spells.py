@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldspark.operators.flatten import both_sides
 from fieldspark.operators.ranking import first_by, next_or, sum_before
 
 #: Fixed value: a clock reads (period - 1) * PERIOD + seconds within the period.
@@ -42,32 +41,35 @@ def participation(events: DataFrame, matches: DataFrame) -> DataFrame:
     without events; a spell in OFF, without a position or without length is dropped; each row of a player in the
     starting line-up is marked as started. Later array entries win at one time, and changes win over the line-up.
     """
-    periods = period_offsets(events)
-    match = ["match_id"]
+    periods = period_offsets(events).groupBy("match_id").agg(F.map_from_entries(F.collect_list(F.struct("period_id", "period_start"))).alias("begins"), F.max("match_duration").alias("match_duration"))
+    # from here on all is done match by match: one shuffle on the match serves the join, the windows and the sums
+    known = matches.join(periods, "match_id")
     player = ["match_id", "squad_id", "player_id"]
-    columns = ("squad_id", "starting", "changes")
-    sides = both_sides(matches, {s.upper(): {"match_id": "match_id", "iteration_id": "iteration_id"} | {c: f"{s}_{c}" for c in columns} for s in ("home", "away")})
     who = ["match_id", "iteration_id", "side", "squad_id"]
-
-    starters = sides.select(*who, F.explode("starting").alias("s")).where("s.playerId is not null")
-    starters = starters.select(*who, F.col("s.playerId").alias("player_id"), F.lit(0.0).alias("at"), F.lit(0).alias("priority"), F.lit(-1).alias("place"), F.col("s.position").alias("position"), F.col("s.positionSide").alias("position_side"))
-    moves = sides.select(*who, F.posexplode("changes").alias("place", "c")).where("c.playerId is not null and c.gameTime.gameTimeInSec is not null")
-    moves = moves.select(*who, F.col("c.playerId").alias("player_id"), F.col("c.gameTime.gameTimeInSec").alias("clock"), "place", F.col("c.toPosition").alias("position"), F.col("c.positionSide").alias("position_side"))
-    moves = moves.withColumn("period_id", clock_period(F.col("clock"))).join(periods.select("match_id", "period_id", "period_start"), ["match_id", "period_id"])
-    moves = moves.select(*who, "player_id", (F.col("period_start") + clock_within(F.col("clock"))).alias("at"), F.lit(1).alias("priority"), "place", "position", "position_side")
-
-    states = first_by(starters.unionByName(moves), [*player, "at"], [F.desc("priority"), F.desc("place"), F.col("position").asc_nulls_last()])
-    states = states.join(periods.select("match_id", "match_duration").distinct(), match)
+    side = lambda s: F.struct(F.lit(s.upper()).alias("side"), F.col(f"{s}_squad_id").alias("squad_id"), _states(F.col(f"{s}_starting"), F.col(f"{s}_changes")).alias("states"))
+    sides = known.select("match_id", "iteration_id", "match_duration", F.explode(F.array(side("home"), side("away"))).alias("s")).select("match_id", "iteration_id", "match_duration", "s.*")
+    states = sides.select(*who, "match_duration", F.explode("states").alias("s")).select(*who, "match_duration", "s.*").where("player_id is not null and at is not null")
+    states = states.withColumn("started", F.max(F.col("priority") == 0).over(Window.partitionBy(*player)))
+    states = first_by(states, [*player, "at"], [F.desc("priority"), F.desc("place"), F.col("position").asc_nulls_last()])
     spells = next_or(states, player, [F.col("at"), F.col("priority"), F.col("place")], "at", F.col("match_duration"), "until")
     spells = spells.where((F.upper(F.coalesce("position", F.lit(OFF))) != OFF) & (F.col("until") > F.col("at")))
     total = spells.groupBy(*who, "player_id", "position", "position_side").agg(
-        F.min("at").alias("first_second"), F.max("until").alias("last_second"), F.max("match_duration").alias("match_duration"), F.sum(F.col("until") - F.col("at")).alias("play_duration")
+        F.max("started").alias("started"), F.min("at").alias("first_second"), F.max("until").alias("last_second"), F.sum(F.col("until") - F.col("at")).alias("play_duration"), F.max("match_duration").alias("match_duration")
     )
-    began = starters.select(*player).distinct().withColumn("__began", F.lit(True))
-    return total.join(began, player, "left").select(
-        *who, "player_id", "position", "position_side", F.col("__began").isNotNull().alias("started"),
-        "first_second", "last_second", "play_duration", "match_duration", (F.col("play_duration") / F.nullif("match_duration", F.lit(0.0))).alias("match_share"),
-    )
+    return total.withColumn("match_share", F.col("play_duration") / F.nullif("match_duration", F.lit(0.0)))
+
+
+def _states(starting, changes):
+    """The positions that a side's players take, as an array: of the line-up at 0, then of the changes at their seconds into
+    the match (null for a change without a clock, or in a period that has no events)."""
+    state = lambda who, at, priority, place, position, side: F.struct(who.alias("player_id"), at.alias("at"), F.lit(priority).alias("priority"), place.alias("place"), position.alias("position"), side.alias("position_side"))
+    first = F.transform(F.coalesce(starting, F.array().cast(STARTS)), lambda s: state(s["playerId"], F.lit(0.0), 0, F.lit(-1), s["position"], s["positionSide"]))
+
+    def moved(c, k):
+        clock = c["gameTime"]["gameTimeInSec"]
+        return state(c["playerId"], F.try_element_at(F.col("begins"), clock_period(clock)) + clock_within(clock), 1, k, c["toPosition"], c["positionSide"])
+
+    return F.concat(first, F.transform(F.coalesce(changes, F.array().cast(CHANGES)), moved))
 
 
 def by_position(spells: DataFrame) -> DataFrame:
