@@ -37,7 +37,7 @@ from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
 #: Sets, and tokens, of one block of a cell.
-BLOCK_SETS, BLOCK_TOKENS = 1024, 2_000_000
+BLOCK_SETS, BLOCK_TOKENS = 512, 400_000
 #: Ids of documents in cells that are broadcast to fetch those documents' sets; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Cells of more than one block that are broadcast; more are joined by a shuffle.
@@ -172,7 +172,7 @@ def _joined(percent: int):
 
     def run(batches):
         held, rows = None, []
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 5)):
             out = []
             c = [batch.column(i) for i in range(6)]
             for *at, node, label, tokens in zip(*(x.to_pylist() for x in c)):

@@ -9,7 +9,7 @@ import numpy as np
 #: Bits of a bitmap: a power of two of at least four times the largest set, within these bounds.
 MIN_BITS, MAX_BITS = 256, 1 << 17
 #: Node pairs whose bitmaps are compared in one vector operation, times words of a bitmap.
-STEP_WORDS = 1 << 20
+STEP_WORDS = 1 << 18
 
 
 class SignatureTree:
@@ -81,9 +81,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(ids, kind="stable")
     rows, ids = rows[order], ids[order]
     out = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(shared.sum()), 4096):
-        a, b = np.searchsorted(ids, (low, low + 4096))
-        has = np.zeros((len(sets), 4096), np.float32)
+    for low in range(0, int(shared.sum()), 2048):
+        a, b = np.searchsorted(ids, (low, low + 2048))
+        has = np.zeros((len(sets), 2048), np.float32)
         has[rows[a:b], ids[a:b] - low] = 1
         out += has @ has.T
     return out.astype(np.int64)
