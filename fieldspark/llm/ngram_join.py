@@ -37,7 +37,7 @@ from fieldspark.llm.signature_tree import forest
 
 U = np.uint64
 #: Sets, and tokens, of one block of a cell.
-BLOCK_SETS, BLOCK_TOKENS = 512, 400_000
+BLOCK_SETS, BLOCK_TOKENS = 1024, 1_000_000
 #: Ids of documents in cells that are broadcast to fetch those documents' sets; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Cells of more than one block that are broadcast; more are joined by a shuffle.
