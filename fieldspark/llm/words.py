@@ -142,8 +142,9 @@ def chunks(bounds: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> Words:
-    """The words of the texts data[bounds[i]:bounds[i+1]]; ``kind`` is SPACED or ALNUM."""
+def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray, fold: bool = True) -> Words:
+    """The words of the texts data[bounds[i]:bounds[i+1]]; ``kind`` is SPACED or ALNUM. With ``fold``, hashes are those of
+    words whose A-Z are lower-cased."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
@@ -156,7 +157,25 @@ def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> Words:
     begins[cut] |= inside[cut]
     ends[cut - 1] |= inside[cut - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(data, start, end, spans_hash(FOLD[data], start, end), np.searchsorted(start, bounds))
+    return Words(data, start, end, spans_hash(FOLD[data] if fold else data, start, end), np.searchsorted(start, bounds))
+
+
+def spelled(w: Words, pick: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One text for each run pick[bounds[i]:bounds[i+1]] of word numbers: those words, unchanged, with a space between two."""
+    size = (w.end - w.start)[pick]
+    room = size + 1
+    last = bounds[1:][np.diff(bounds) > 0] - 1
+    room[last] -= 1  # no space after a text's last word
+    ends = np.cumsum(room)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
+    step = CHUNK // 8
+    for i in range(0, len(pick), step):
+        n = size[i : i + step]
+        own = np.repeat(np.arange(len(n)), n)
+        inside = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        out[(ends - room)[i : i + step][own] + inside] = w.data[w.start[pick[i : i + step]][own] + inside]
+    offsets = np.concatenate([[0], ends])[bounds].astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
 
 
 def folded(w: Words, i: int, j: int) -> bytes:
