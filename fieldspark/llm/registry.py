@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, substring_dedup, token_counts
+from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, periodic_runs, substring_dedup, token_counts
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_substring_dedup": substring_dedup.op12_substring_dedup,
 }
 SQL = {
     "op8_license_scan": licenses.OP8_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_substring_dedup": substring_dedup.OP12_SQL,
 }
