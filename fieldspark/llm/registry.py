@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, periodic_runs, substring_dedup, token_counts
+from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, periodic_runs, spelling, substring_dedup, token_counts
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 SQL = {
     "op8_license_scan": licenses.OP8_SQL,

@@ -145,11 +145,15 @@ def chunks(bounds: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
 def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray, fold: bool = True) -> Words:
     """The words of the texts data[bounds[i]:bounds[i+1]]; ``kind`` is SPACED or ALNUM. With ``fold``, hashes are those of
     words whose A-Z are lower-cased."""
+    return runs_of(data, bounds, kind[data], fold)
+
+
+def runs_of(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, fold: bool = True) -> Words:
+    """As ``words``, of the bytes that are ``inside``."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(data, none, none, np.zeros(0, U), np.zeros(len(bounds), np.int64))
-    inside = kind[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
