@@ -6,21 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
-from fieldspark.llm.shared import removed, table, within, written
+from fieldspark.llm.shared import column, removed, table, within, written
 
 #: Ids of dropped near-duplicates that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
 
+def _held(docs: DataFrame) -> tuple[DataFrame, list]:
+    """(row, text) of each document, with all columns but the text in one struct, so that no column of ``docs`` meets one that
+    an operator adds; and the columns that bring the documents back."""
+    others = [c for c in docs.columns if c != "text"]
+    row = F.struct(*[column(c).alias(f"c{k}") for k, c in enumerate(others)]).alias("row")
+    return docs.select(row, "text"), [F.col("text") if c == "text" else F.col(f"row.c{others.index(c)}").alias(c) for c in docs.columns]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: those that language ID rejects (no letters, or like none of the languages) go."""
     models = language_id.fit(language_id.learning_rows(docs))
-    return language_id.predict(docs, models).where("not rejected").select(*docs.columns)
+    held, back = _held(docs)
+    return language_id.predict(held, models).where("not rejected").select(*back)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them share; none goes, also where no line stays."""
-    return line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1).select(*docs.columns)
+    held, back = _held(docs)
+    return line_dedup.drop_common_lines(held, min_docs=10, min_chars=1).select(*back)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +42,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.unhex(F.md5("text")).alias("md5")))
     groups = written(ngram_join.jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key", words=5, percent=80).where("n_shingles > 0 and key is not null"), "groups")
     dropped = written(groups.where("component_id < key").select("key").distinct(), "near-duplicates")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    keyed = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), key.alias("key"))
     kept = keyed.join(F.broadcast(dropped) if within(dropped, BROADCAST_IDS) else dropped, "key", "left_anti")
     repeated = written(groups.where("component_id = key").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated")
     if not repeated.isEmpty():
