@@ -110,6 +110,7 @@ def repeats(rows: DataFrame, k: int) -> DataFrame:
     whole = held.where("windows is null").select("id", "h", "start", "n", "from")
     edges = held.where("windows is not null").select("anchor", "id", "h", F.posexplode("windows").alias("k", "window"), "start").withColumn("start", F.col("start") + F.col("k"))
     first = edges.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("from")).where("c > 1").drop("c")
+    first = written(first, "first-places")  # read back, so that Spark may split a common window's places in the join
     single = edges.join(first, ["anchor", "window"]).select("id", "h", "start", F.lit(1).alias("n"), "from")
     return whole.unionByName(single).where(~F.col("from").eqNullSafe(place))
 
