@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.scalars import at_path, date_or_null, id_of_float, json_or_null, timestamp_or_null, versus
-from fieldspark.operators import bridge, incremental, ranking, spells
-from fieldspark.plans.registry import TABLE, Plan
+from fieldspark.operators import bridge, quality, ranking, spells
+from fieldspark.plans.registry import INCREMENTAL, TABLE, Plan
 from fieldspark.sources.tables import Sources
 
 #: Where canonical rows come from.
@@ -121,9 +121,10 @@ def fixture_kpis(kpis: DataFrame, players: DataFrame, fixtures: DataFrame, seaso
     return rows.withColumn("source_system", F.lit(PROVIDER))
 
 
-def fixture_kpis_updated(target: DataFrame, kpis: DataFrame, players: DataFrame, fixtures: DataFrame, season: DataFrame, days: int = 7) -> DataFrame:
-    """The fact after the last days have been read again and upserted on its grain."""
-    return incremental.reprocess(kpis, target, "scheduled_at", list(KPI_GRAIN), days, lambda rows: fixture_kpis(rows, players, fixtures, season))
+def unknown_players(kpis: DataFrame, ids: DataFrame) -> DataFrame:
+    """Provider players with KPI rows but without a canonical id, whose rows every fact would lack."""
+    known = ids.where(F.col("source_system") == PROVIDER)
+    return quality.orphans(kpis.select(F.col("source_player_id").cast("string").alias("source_player_id")).distinct(), "source_player_id", known, "source_id")
 
 
 def season_kpis(kpis: DataFrame) -> DataFrame:
@@ -194,14 +195,14 @@ def football(sources: Sources, target: str, include_all: bool = False) -> Plan:
     plan.model("player_recent_position", "stg_events", "player_ids", kept=TABLE, grain=("player_id",), tags=dim)(recent_position)
     plan.model("fixture_details", "canonical_fixtures", "fixture_identities", "stg_matches", "app_fixtures", "seasons", "dim_squads", kept=TABLE, grain=("fixture_id",), tags=dim)(fixture_details)
 
-    plan.model("player_fixture_kpis", "stg_player_kpis", "player_ids", "fixture_ids", "seasons", kept=TABLE, grain=KPI_GRAIN, tags=fact)(fixture_kpis)
+    plan.model("player_fixture_kpis", "stg_player_kpis", "player_ids", "fixture_ids", "seasons", kept=INCREMENTAL, grain=KPI_GRAIN, cursor=("scheduled_at", 7), slices=lambda: F.date_format("scheduled_at", "yyyy-MM"), tags=fact)(fixture_kpis)
     plan.model("player_season_kpis", "player_fixture_kpis", kept=TABLE, grain=("player_id", "season_id", "competition_id", "kpi_id"), tags=fact)(season_kpis)
     for what in ("kpis", "scores"):
         plan.model(f"player_iteration_{what}", f"stg_iteration_player_{what}", "player_ids", "seasons", kept=TABLE, tags=fact)(iteration_player_fact)
         plan.model(f"squad_iteration_{what}", f"stg_iteration_squad_{what}", "seasons", kept=TABLE, tags=fact)(iteration_squad_fact)
     plan.model("source_participation", "stg_participation", "seasons", kept=TABLE, tags=fact)(lambda p, s: p.where("play_duration > 0").join(s.select(F.col("season_id").alias("iteration_id")), "iteration_id"))
-    plan.model("player_position_participation", "stg_participation", "player_ids", "fixture_ids", "seasons", kept=TABLE, grain=("fixture_id", "squad_id", "player_id", "position"), tags=fact)(participation_positions)
-    plan.model("player_fixture_participation", "player_position_participation", kept=TABLE, grain=("player_id", "fixture_id", "squad_id"), tags=fact)(spells.by_fixture)
+    plan.model("player_position_participation", "stg_participation", "player_ids", "fixture_ids", "seasons", kept=TABLE, grain=("fixture_id", "squad_id", "player_id", "position"), rules=(("some time played", "play_duration > 0"), ("no more than the match", "play_duration <= match_duration")), tags=fact)(participation_positions)
+    plan.model("player_fixture_participation", "player_position_participation", kept=TABLE, grain=("player_id", "fixture_id", "squad_id"), rules=(("some time played", "play_duration > 0"), ("no more than the match", "play_duration <= match_duration"), ("share", "match_share > 0 and match_share <= 1")), tags=fact)(spells.by_fixture)
     plan.model("player_season_participation", "player_position_participation", kept=TABLE, grain=("player_id", "season_id"), tags=fact)(spells.by_season)
 
     plan.model("players_base", "canonical_players", "player_identities", "player_context", "player_recent_position", "app_players", tags=compat)(players_view)
@@ -211,4 +212,8 @@ def football(sources: Sources, target: str, include_all: bool = False) -> Plan:
         plan.model(f"app_{name}", name, "player_ids", tags=compat)(with_canonical_player)
     for name in PASSED_THROUGH:
         plan.model(f"app_{name}", name, tags=compat)(lambda df: df)
+
+    plan.check("one season value a player and KPI", "player_season_kpis")(lambda k: quality.not_unique(k, ["player_id", "season_id", "kpi_id"]))
+    plan.check("events have match info", "stg_events", "stg_match_info")(lambda e, m: quality.orphans(e.select("match_id"), "match_id", m, "match_id").distinct())
+    plan.check("KPI players are known", "stg_player_kpis", "player_ids")(unknown_players)
     return plan

@@ -54,20 +54,36 @@ def write_parts(frames, path: str, resume: bool = False) -> int:
     return n
 
 
+class SwapFailed(RuntimeError):
+    """A table couldn't be moved; what stood at its path before stands there still, or beside it as the message says."""
+
+
 def swap(df: DataFrame, path: str) -> None:
     """Write a new state of the table at ``path``, which ``df`` may read, and put it in the old one's place.
 
-    A job that fails while it writes leaves the old state untouched. Between the two renames at the end the table is
-    absent; after a crash there its old state is found beside it, under ``.old-`` and a name of its own.
+    A job that fails while it writes leaves the old state untouched, and so does a rename that fails (Hadoop says so by
+    its result alone): the old state is moved back, and it is deleted last. Between the two renames the table is absent;
+    ``sources.versions`` has tables that readers always find.
     """
     spark = df.sparkSession
     fs, path_of = _fs(spark, path)
     new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     df.write.parquet(new)
-    if fs.exists(path_of(path)):
-        fs.rename(path_of(path), path_of(old))
-    fs.rename(path_of(new), path_of(path))
-    fs.delete(path_of(old), True)
+
+    def move(a: str, b: str) -> bool:
+        return fs.rename(path_of(a), path_of(b))
+
+    there = fs.exists(path_of(path))
+    if there and not move(path, old):
+        fs.delete(path_of(new), True)
+        raise SwapFailed(f"{path} could not be moved aside")
+    if not move(new, path):
+        if there and not move(old, path):
+            raise SwapFailed(f"{path} is at {old}, its new state at {new}")
+        fs.delete(path_of(new), True)
+        raise SwapFailed(f"{path} keeps its old state: the new one could not be moved in")
+    if there:
+        fs.delete(path_of(old), True)
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
