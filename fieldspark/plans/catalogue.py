@@ -550,11 +550,11 @@ def stage_plan(t):
 
 
 @query("""with recursive e as (select distinct c_nationkey as a, 1000 + o_orderkey % 50 as b from customer join orders on o_custkey = c_custkey where o_totalprice > 480000), u as (select a, b from e union select b, a from e),
-r(node, level) as (select 1, 0 union select u.b, r.level + 1 from r join u on u.a = r.node where r.level < 3)
+r(node, level) as (select 1, 0 union select u.b, r.level + 1 from r join u on u.a = r.node where r.level < 8)
 select node::bigint as node, min(level)::int as level from r group by node""")
 def bfs_discovery(t):
     edges = t.customer.join(t.orders.where("o_totalprice > 480000"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").cast("long").alias("a"), (1000 + F.col("o_orderkey") % 50).cast("long").alias("b")).distinct()
-    return discovery.reachable(edges, t.spark.createDataFrame([(1,)], "node long"), 3)
+    return discovery.reachable(edges, t.spark.createDataFrame([(1,)], "node long"))
 
 
 @query("select p_partkey, try_cast(p_name as timestamp) as ts, try_cast(p_size::varchar as bigint) as n, case when p_size > 40 then null else p_size / 1.0 end::bigint as id, try_cast(substr(p_name, 1, 3) as date) as born, p_type = 'ECONOMY' as flag from part")
