@@ -12,6 +12,8 @@ from fieldspark.plans.model_queries import _SEASONS, _raw
 from fieldspark.plans.models import KPI_GRAIN, football
 from fieldspark.sources import sinks, tables
 from fieldspark.sources.versions import VersionedTable
+from fieldspark.streaming import feeds as feeds_of
+from fieldspark.streaming import upserts
 
 
 @query(_MERGE + """, changed as (select * from old where o_orderkey not in (select o_orderkey from new) union all select * from new)
@@ -71,3 +73,55 @@ def model_checks(t):
     plan = football(tables.Sources(f"{base}/raw"), f"{base}/models")
     built = plan.build(t.spark, ["player_season_kpis", "stg_events", "stg_match_info", "player_ids", "stg_player_kpis"], test=False)
     return plan.failures(built)
+
+
+@query("""with newest as (select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
+select user_id as id, case when event_type = 'error' then 'DELETED' else 'SUCCESS' end as status, case when event_type <> 'error' then value end as value, case when event_type <> 'error' then (event_id % 4) else 0 end::bigint as n_events from newest""")
+def feed_applied(t):
+    """Events as a feed of changes to matches, asked for in three runs of a stream with a time cursor, each of which takes its
+    batch over into three tables: match info, the matches' events (replaced together), and the status of each match."""
+    base = f"{sinks.shared_dir(t.spark)}/feed-{uuid.uuid4().hex}"
+    payload = F.to_json(F.struct(F.col("value").alias("v"), (F.col("event_id") % 4).alias("n"), F.lpad(F.col("event_id").cast("string"), 20, "0").alias("place")))
+    op = F.when(F.col("event_type") == "error", feeds_of.DELETE).otherwise("update")
+    changes = t.events.select(F.col("user_id").alias("id"), op.alias("op"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"), payload.alias("payload"), F.to_date("ts").alias("day"))
+    changes.repartition("day").write.partitionBy("day").json(f"{base}/source")
+    info, events, status = (VersionedTable(t.spark, f"{base}/{n}", F.pmod("id", F.lit(8))) for n in ("info", "events", "status"))
+    said = F.from_json("payload", "v double, n long")
+    rows = {
+        info: lambda c: c.select("id", "at", said["v"].alias("value")),
+        events: lambda c: c.select("id", F.explode(F.when(said["n"] > 0, F.sequence(F.lit(1).cast("long"), said["n"]))).alias("index")),
+        status: lambda c: c.select("id", F.when(F.col("op") == feeds_of.DELETE, "DELETED").otherwise("SUCCESS").alias("status")),
+    }
+    empty = t.spark.createDataFrame([], feeds_of.FEED)
+    for table, f in rows.items():
+        table.replace(f(empty))
+    t.spark.dataSource.register(feeds_of.ChangeFeed)
+    run = feeds_of.applied_to([feeds_of.Dependent(info, rows[info], ["id"]), feeds_of.Dependent(events, rows[events], ["id", "index"]), feeds_of.Dependent(status, rows[status], ["id"], marks=True)], "matches")
+    folder = base if "://" in base else f"file://{base}"
+    for now in ("2024-01-10T12:00:00", "2024-01-20T12:00:00", "2024-03-01T00:00:00"):
+        options = {"fetch": "fieldspark.streaming.feeds:from_folder", "folder": f"{folder}/source", "now": now, "bootstrapDays": "4000", "partHours": "2400"}
+        upserts.start(t.spark.readStream.format("change_feed").options(**options).load(), run, f"{base}/cursor").awaitTermination()
+    counted = events.read().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return status.read().join(info.read().select("id", "value"), "id", "left").join(counted, "id", "left").select("id", "status", "value", F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
+@query("select user_id as fixture_id, ts as loaded_at, event_id as run_id, value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
+def versions_kept(t):
+    """The newest version of each fixture by a stream that keeps the newest as state, upserted into a table."""
+    spark, base = t.spark, f"{sinks.shared_dir(t.spark)}/versions-{uuid.uuid4().hex}"
+    rows = t.events.select(F.col("user_id").alias("fixture_id"), F.col("ts").cast("timestamp").alias("loaded_at"), F.col("event_id").alias("run_id"), "value")
+    schema = rows.schema
+    table = VersionedTable(spark, f"{base}/table")
+    table.replace(rows.limit(0))
+    before = {k: spark.conf.get(k, None) for k in feeds_of.ROCKS}
+    for k, v in feeds_of.ROCKS.items():
+        spark.conf.set(k, v)
+    try:
+        for part in ("event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1"):
+            rows.withColumn("event_id", F.col("run_id")).where(part).drop("event_id").write.mode("append").parquet(f"{base}/source")
+            newest = feeds_of.newest_versions(spark.readStream.schema(schema).parquet(f"{base}/source"))
+            upserts.start(newest, lambda batch, n: table.upsert(batch, ["fixture_id"]), f"{base}/state").awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    return table.read().select("fixture_id", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"), "run_id", "value")
