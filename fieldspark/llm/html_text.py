@@ -28,7 +28,8 @@ CONTAINERS = {"html", "body", "article", "main", "section", "div", "nav", "heade
 LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "summary", "legend"}
 BREAKS = {"br", "hr", "option", "optgroup"}
 MAIN = {"article", "main"}
-AWAY = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "search", "noscript", "template"}
+AWAY = {"footer", "aside", "dialog", "noscript", "template"}
+AROUND = {"nav", "header", "form", "menu", "fieldset", "search"}  # may stand open around an article, by mistake or by design
 # Words in class and id names, and roles, of elements that aren't the article.
 AWAY_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promoted promotion "
@@ -49,10 +50,8 @@ ATTRIBUTES = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Characters of a tag's attributes up to which what they say is remembered.
 KEPT_ATTRIBUTES = 200
-#: Open elements that an end tag looks through for its own.
-DEEPEST = 1_000
 
-FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "main", "away", "heading")
+FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "main", "away", "heading", "rest")
 # The labelled table: a page a string, a line begins with + where its blocks belong to the text and with - where they
 # don't. {n} stands for n words, {an} for a link of n words.
 LABELLED = [
@@ -109,6 +108,36 @@ LABELLED = [
     """-<ul><li>{a1}</li><li>{a1}</li></ul>
     +<div><p>{35}</p><p>{6}</p><p>{11}</p><p>{5}</p><p>{38}</p></div>
     -<ul><li>{a2}</li><li>{a2}</li></ul>""",
+    # pages whose marks mislead: forms around everything, names that say something else, menus left open
+    """+<form id=aspnetForm action=/x>
+    -<div class=top><a href=/>{1}</a> {a1} {a1} {a2}</div>
+    +<div><h1>{6}</h1><p>{50}</p><p>{3}</p><p>{40}</p><p>{8}</p></div>
+    -<div class="footer">{7}</div></form>""",
+    """+<form><table><tr><td>
+    -<ul><li>{a1}</li><li>{a2}</li></ul>
+    +</td><td><h2>{5}</h2><p>{90}</p><p>{14}</p></td></tr></table></form>""",
+    """-<div>{a1} {a1} {a2}</div>
+    +<div class="legal-advice"><h1>{5}</h1><p>{70}</p><p>{9}</p><p>{35}</p></div>
+    -<div class=foot>{a2} {4}</div>""",
+    """-<nav>{a1} {a2}</nav>
+    +<main><h1>{8}</h1><section id=discussion><p>{60}</p><p>{5}</p><p>{55}</p></section></main>
+    -<footer>{9}</footer>""",
+    """-<ul class=menu><li>{a1}</li><li>{a1}</li></ul>
+    +<div class="register-of-ships"><p>{44}</p><p>{61}</p><h3>{2}</h3><p>{12}</p></div>
+    -<div class="ad">{11}</div>""",
+    """-<nav><a href=/>{1}</a> {a2}
+    +<article><h1>{4}</h1><p>{66}</p><p>{31}</p></article>
+    -<footer>{6}</footer>""",
+    # short articles with more in their comments than in them, marked and unmarked
+    """-<header>{a2}</header>
+    +<article><h1>{5}</h1><p>{30}</p><p>{25}</p></article>
+    -<div class=comments><p>{60}</p><p>{85}</p><p>{40}</p></div><footer>{4}</footer>""",
+    """-<div>{a1} {a2}</div>
+    +<div class=story><h1>{5}</h1><p>{40}</p><p>{28}</p></div>
+    -<div class="comment-list"><div class=comment><p>{50}</p></div><div class=comment><p>{70}</p></div></div><div class=footer>{a1} {3}</div>""",
+    """-<nav>{a1} {a1}</nav>
+    +<article><h1>{6}</h1><p>{80}</p><p>{22}</p></article>
+    -<div class=msg><p>{31}</p></div><div class=msg><p>{12}</p></div><div class=msg><p>{44}</p></div>""",
     """-<div>{a1} {a2} {a1}</div><h3>{a4}</h3><p>{9} {a2}</p><h3>{a5}</h3><p>{10} {a2}</p><h3>{a6}</h3><p>{8} {a2}</p><div>{a1} {a1}</div>""",
 ]
 WORDS = re.compile(r"\{(a?)(\d+)\}")
@@ -175,10 +204,11 @@ def trained() -> DecisionTree:
 
 @lru_cache(maxsize=4096)
 def _away(tag: str, attributes: str) -> int:
-    """2 where the tag, its role or a word of its class and id says that what is inside isn't the article, 1 where only
-    words say so that may name a layout around it, else 0."""
+    """2 where the tag, its role or a word of its class and id says that what is inside isn't the article, 1 where that may
+    stand around one, else 0."""
     if tag in AWAY:
         return 2
+    around = int(tag in AROUND)
     words: set[str] = set()
     for name, value in ATTRIBUTES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
@@ -188,7 +218,7 @@ def _away(tag: str, attributes: str) -> int:
             return 2
         if name in ("class", "id"):
             words |= AWAY_WORDS & {w.lower() for w in NAME_WORDS.findall(value)}
-    return 0 if not words else 1 if words <= LAYOUT_WORDS else 2
+    return around if not words else 1 if words <= LAYOUT_WORDS else 2
 
 
 def decoded(text: str) -> str:
@@ -241,11 +271,33 @@ def _tag_end(page: str, at: int, places: Places) -> tuple[int, int]:
     return begin, begin
 
 
-def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
+def blocks(page: str) -> list[tuple[str, float, int, float, int, int]]:
     """(text, share of linked words, main, away, heading, where it begins) of each text block, in page order; main: 1
-    inside, else 0."""
+    inside, else 0; away: 0 where nothing around it says that it isn't the article, else how few unlinked words the innermost
+    element that says so holds, from near 0 (none that says so holds more, nor all that nothing is said of) to 1."""
+    found, parents = _blocks(page)
+    # unlinked words of each marked element, with those of the ones inside it, which come later
+    held, rest = [0.0] * len(parents), 0.0
+    for f in found:
+        n = (f[0].count(" ") + 1) * (1 - f[1])
+        if f[3] >= 0:
+            held[f[3]] += n
+        else:
+            rest += n
+    for k in range(len(parents) - 1, -1, -1):
+        if parents[k] >= 0:
+            held[parents[k]] += held[k]
+    most = max(rest, *held, 1.0) if held else 1.0
+    return [(*f[:3], max(1e-3, 1 - held[f[3]] / most) if f[3] >= 0 else 0.0, *f[4:]) for f in found]
+
+
+def _blocks(page: str) -> tuple[list[tuple[str, float, int, int, int, int]], list[int]]:
+    """The blocks, with the number of the innermost marked element (-1: none) in place of ``away``; and of each marked element
+    the one around it."""
     out: list[tuple[str, float, int, int, int, int]] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, in an article, away
+    stack: list[tuple[str, bool, int, int]] = [("", False, 0, -1)]  # tag, in an article, away, innermost marked element
+    opened: dict[str, list[int]] = {}  # places in the stack, by tag
+    parents: list[int] = []
     parts: list[str] = []
     linked: list[str] = []
     places = Places(page)
@@ -256,11 +308,15 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
             words = decoded("".join(parts)).split()
             if words:
                 share = min(1.0, len(decoded(" ".join(linked)).split()) / len(words)) if linked else 0.0
-                _, main, away = stack[-1]
-                out.append((" ".join(words), share, int(main), int(away > 0), heading, begin))
+                _, main, _, mark = stack[-1]
+                out.append((" ".join(words), share, int(main), mark, heading, begin))
             parts.clear()
             linked.clear()
 
+    def close(k: int) -> None:
+        while len(stack) > k:
+            opened[stack.pop()[0]].pop()
+
     def say(start: int, end: int) -> None:
         nonlocal begin
         if end > start and not lost:
@@ -301,13 +357,11 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
                 heading = 0
                 if tag in LEAVES:
                     if stack[-1][0] == tag:
-                        stack.pop()
+                        close(len(stack) - 1)
                 else:
                     in_link = False
-                    for k in range(len(stack) - 1, max(0, len(stack) - DEEPEST), -1):
-                        if stack[k][0] == tag:
-                            del stack[k:]
-                            break
+                    if opened.get(tag):
+                        close(opened[tag][-1])
             continue
         if tag in RAW:
             if not attributes.endswith("/"):
@@ -324,22 +378,27 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
         elif tag in CONTAINERS or tag in LEAVES:
             flush()
             while stack[-1][0] in LEAVES and not (tag in CONTAINERS and stack[-1][0] in ("li", "dd", "td", "th")):
-                stack.pop()
+                close(len(stack) - 1)
             if tag in ("td", "th", "li", "dt", "dd") and stack[-1][0] == tag:
-                stack.pop()
-            _, main, away = stack[-1]
+                close(len(stack) - 1)
+            _, main, away, mark = stack[-1]
             heading = int(tag in LEAVES and tag[0] == "h" and tag != "th")
             if tag in MAIN and away == 1:
-                away = 0  # it was the layout around the article
+                away, mark = 0, -1  # it was the layout around the article
             main = main or tag in MAIN
             judge = _away if len(attributes) <= KEPT_ATTRIBUTES else _away.__wrapped__
             own = 0 if tag in ("html", "body", "main") or tag == "header" and main else judge(tag, attributes)
-            stack.append((tag, main, max(away, own)))
+            if own:
+                parents.append(mark)
+                mark = len(parents) - 1
+            opened.setdefault(tag, []).append(len(stack))
+            stack.append((tag, main, max(away, own), mark))
     flush()
-    return out
+    return out, parents
 
 
-def features(found: list[tuple[str, float, int, int, int, int]]) -> np.ndarray:
+def features(found: list[tuple[str, float, int, float, int, int]]) -> np.ndarray:
+    """``FEATURES`` of each block of a page; ``rest`` is the page's share of running text that nothing marks."""
     x = np.zeros((len(found), len(FEATURES)))
     if found:
         x[:, 0] = [f[0].count(" ") + 1 for f in found]
@@ -349,6 +408,8 @@ def features(found: list[tuple[str, float, int, int, int, int]]) -> np.ndarray:
         main = np.array([f[2] for f in found])
         x[:, 6] = np.where(main > 0, 1, -1) if (main * [f[3] == 0 for f in found]).any() else 0
         x[:, 7], x[:, 8] = [f[3] for f in found], [f[4] for f in found]
+        running = x[:, 0] * (1 - x[:, 1])
+        x[:, 9] = running[x[:, 7] == 0].sum() / max(1.0, running.sum())
     return x
 
 
