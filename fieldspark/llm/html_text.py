@@ -274,7 +274,7 @@ def _tag_end(page: str, at: int, places: Places) -> tuple[int, int]:
 def blocks(page: str) -> list[tuple[str, float, int, float, int, int]]:
     """(text, share of linked words, main, away, heading, where it begins) of each text block, in page order; main: 1
     inside, else 0; away: 0 where nothing around it says that it isn't the article, else how few unlinked words the innermost
-    element that says so holds, from near 0 (none that says so holds more, nor all that nothing is said of) to 1."""
+    element that says so holds, beside the largest of them and beside all words that nothing is said of: near 0 to 1."""
     found, parents = _blocks(page)
     # unlinked words of each marked element, with those of the ones inside it, which come later
     held, rest = [0.0] * len(parents), 0.0
@@ -287,8 +287,8 @@ def blocks(page: str) -> list[tuple[str, float, int, float, int, int]]:
     for k in range(len(parents) - 1, -1, -1):
         if parents[k] >= 0:
             held[parents[k]] += held[k]
-    most = max(rest, *held, 1.0) if held else 1.0
-    return [(*f[:3], max(1e-3, 1 - held[f[3]] / most) if f[3] >= 0 else 0.0, *f[4:]) for f in found]
+    most = max(held, default=0.0)
+    return [(*f[:3], max(1e-3, 1 - held[f[3]] / max(rest + held[f[3]], most, 1e-9)) if f[3] >= 0 else 0.0, *f[4:]) for f in found]
 
 
 def _blocks(page: str) -> tuple[list[tuple[str, float, int, int, int, int]], list[int]]:
