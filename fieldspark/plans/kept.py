@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from fieldspark.operators import spells
+from fieldspark.operators import shapes, spells
+from fieldspark.plans import models
 from fieldspark.plans.catalogue import _MERGE, _changes, _target, query
 from fieldspark.plans.model_queries import _SEASONS, _raw
 from fieldspark.plans.models import KPI_GRAIN, football
-from fieldspark.sources import sinks, tables
+from fieldspark.sources import ranges, sinks, tables
 from fieldspark.sources.versions import VersionedTable
 from fieldspark.streaming import feeds as feeds_of
 from fieldspark.streaming import upserts
@@ -125,3 +126,67 @@ def versions_kept(t):
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     return table.read().select("fixture_id", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"), "run_id", "value")
+
+
+@query("""select path, type, n from (values ('k', 'BIGINT', (select count(*) from events)), ('who', 'MIXED', (select count(*) from events)), ('about.type', 'STRING', (select count(*) from events where event_id % 2 = 0)), ('about.`a.b`', 'BOOLEAN', (select count(*) from events where event_id % 2 = 0)), ('few', 'DOUBLE', (select count(*) from events where event_id % 5 = 0)), ('list', 'ARRAY', (select count(*) from events))) v(path, type, n)""")
+def payload_shapes(t):
+    """Which paths of which types payloads have that are made of the events: a value that is a number or a text, objects in
+    half of them, a number with decimals in a fifth."""
+    return shapes.shape(_payloads(t), "payload").select("path", "type", "n")
+
+
+def _payloads(t):
+    props = F.from_json("props", "k long")
+    about = F.struct(F.col("event_type").alias("type"), (F.col("value") > 5).alias("a.b"))
+    who = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('"'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    text = F.to_json(F.struct(props["k"].alias("k"), F.when(F.col("event_id") % 2 == 0, about).alias("about"), F.when(F.col("event_id") % 5 == 0, F.col("event_id") + 0.5).alias("few"), F.array("user_id").alias("list")))
+    return t.events.withColumn("said", text).select("event_id", F.concat(F.lit('{"who": '), who, F.lit(", "), F.expr("substring(said, 2)")).alias("payload"))
+
+
+@query("""select * from (values ('few', 'added', 'DOUBLE', null), ('gone', 'lost', null, 'BIGINT'), ('k', 'retyped', 'BIGINT', 'STRING'), ('about.`a.b`', 'added', 'BOOLEAN', null), ('list', 'added', 'ARRAY', null)) v(path, change, type, was)""")
+def payload_drift(t):
+    known = t.spark.createDataFrame([("k", "STRING"), ("who", "MIXED"), ("about.type", "STRING"), ("gone", "BIGINT")], "path string, type string")
+    return shapes.drift(shapes.shape(_payloads(t), "payload"), known)
+
+
+@query("select event_id, (props->>'$.k')::bigint as k, case when event_id % 2 = 0 then event_type end as \"about.type\", case when event_id % 5 = 0 then event_id + 0.5::double end as few from events")
+def payload_columns(t):
+    """A table of payloads that gets the columns which a later batch has first: half of the rows are there before."""
+    table = VersionedTable(t.spark, f"{sinks.shared_dir(t.spark)}/payloads-{uuid.uuid4().hex}")
+    wide = lambda df: shapes.columns(df, "payload", [tuple(r) for r in shapes.shape(df, "payload").where("type not in ('ARRAY', 'MIXED')").select("path", "type").collect()]).drop("payload")
+    p = _payloads(t)
+    table.replace(wide(p.where("event_id % 2 = 1 and event_id % 5 <> 0")))
+    table.upsert(wide(p.where("event_id % 2 = 0 or event_id % 5 = 0")), ["event_id"])
+    return table.read().select("event_id", "k", "`about.type`", "few")
+
+
+@query("""with k as (select l_suppkey as player_id, l_orderkey % 5 as season_id, l_orderkey % 3 as competition_id, l_linenumber::bigint as kpi_id, l_orderkey as fixture_id, case when l_orderkey % 20 = 1 then 2 * l_quantity else l_quantity end::decimal(18,2) as v from lineitem)
+select player_id, season_id, competition_id, kpi_id, sum(v)::double as season_total, count(distinct fixture_id) as matches_played, count(*) * 60.0::double as total_play_duration_seconds from k group by all""")
+def season_states(t):
+    """Season values kept as mergeable parts: three loads of new fixtures, the last with some calculated again."""
+    kpis = t.lineitem.select(F.col("l_suppkey").alias("player_id"), (F.col("l_orderkey") % 5).alias("season_id"), (F.col("l_orderkey") % 3).alias("competition_id"), F.col("l_linenumber").cast("long").alias("kpi_id"), F.col("l_orderkey").alias("fixture_id"), F.col("l_quantity").cast("double").alias("kpi_value"), F.lit(60.0).alias("play_duration_seconds"))
+    table = VersionedTable(t.spark, f"{sinks.shared_dir(t.spark)}/seasons-{uuid.uuid4().hex}", F.col("season_id"))
+    table.replace(models.season_state(kpis.where("fixture_id % 4 = 0")))
+    again = kpis.where("fixture_id % 20 = 1").withColumn("kpi_value", F.col("kpi_value") * 2)
+    for part in (kpis.where("fixture_id % 4 in (1, 2)"), kpis.where("fixture_id % 4 = 3").unionByName(again)):
+        table.upsert(models.season_state_changes(table.read(), part), list(models.SEASON_GRAIN))
+    out = models.season_kpis_of(table.read())
+    return out.select(*models.SEASON_GRAIN, F.round("season_total", 2).alias("season_total"), "matches_played", "total_play_duration_seconds")
+
+
+@query("select l_orderkey as match_id, l_linenumber as event_index, l_quantity::double as q from lineitem")
+def clustered_write(t):
+    """Files in ranges of (match, event)."""
+    path = f"{sinks.shared_dir(t.spark)}/clustered-{uuid.uuid4().hex}"
+    sinks.write_clustered(t.lineitem.select(F.col("l_orderkey").alias("match_id"), F.col("l_linenumber").alias("event_index"), F.col("l_quantity").cast("double").alias("q")), path, ["match_id", "event_index"], 20_000)
+    return t.spark.read.parquet(path)
+
+
+@query("select event_id as frame, value from events")
+def tracking_frames(t):
+    """Frames of one large file of JSON lines, read in byte ranges."""
+    base = f"{sinks.shared_dir(t.spark)}/tracking-{uuid.uuid4().hex}"
+    t.events.select(F.col("event_id").alias("frame"), "value").coalesce(1).write.json(base)
+    t.spark.dataSource.register(ranges.ByteRanges)
+    lines = t.spark.read.format("byte_ranges").options(paths=base if "://" in base else f"file://{base}", rangeBytes="65536", lines="true").load()
+    return lines.select(F.from_json(F.decode("content", "utf-8"), "frame long, value double").alias("x")).select("x.*")

@@ -6,6 +6,8 @@ sources and text in the identity tables; canonical ids are this library's own.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,6 +133,34 @@ def season_kpis(kpis: DataFrame) -> DataFrame:
     return kpis.groupBy("player_id", "season_id", "competition_id", "kpi_id").agg(F.sum("kpi_value").alias("season_total"), F.avg("kpi_value").alias("season_average"), F.count_distinct("fixture_id").alias("matches_played"), F.sum("play_duration_seconds").alias("total_play_duration_seconds"))
 
 
+SEASON_GRAIN = ("player_id", "season_id", "competition_id", "kpi_id")
+
+
+def season_state(kpis: DataFrame) -> DataFrame:
+    """What a season's values are made of, by ``SEASON_GRAIN``: sum, rows and seconds of each fixture, in a map that is as long
+    as a player's season."""
+    of_fixture = kpis.groupBy(*SEASON_GRAIN, "fixture_id").agg(F.struct(F.sum("kpi_value").alias("total"), F.count("kpi_value").alias("n"), F.sum("play_duration_seconds").alias("seconds")).alias("part"))
+    return of_fixture.groupBy(*SEASON_GRAIN).agg(F.map_from_entries(F.collect_list(F.struct("fixture_id", "part"))).alias("fixtures"))
+
+
+def season_state_changes(state: DataFrame, kpis: DataFrame) -> DataFrame:
+    """The rows of ``state`` that change with ``kpis``, all rows of some fixtures: parts of those fixtures replace the ones there
+    are, so a fixture that is calculated again counts once. To be upserted on ``SEASON_GRAIN``."""
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"n.{c}")) for c in SEASON_GRAIN]
+    met = season_state(kpis).alias("n").join(state.alias("s"), reduce(lambda a, b: a & b, same), "left")
+    new = F.col("n.fixtures")
+    kept = F.map_filter("s.fixtures", lambda k, _: ~F.array_contains(F.map_keys(new), k))
+    return met.select(*[f"n.{c}" for c in SEASON_GRAIN], F.when(F.col("s.fixtures").isNull(), new).otherwise(F.map_concat(kept, new)).alias("fixtures"))
+
+
+def season_kpis_of(state: DataFrame) -> DataFrame:
+    """``season_kpis`` from the parts that ``state`` holds."""
+    parts = F.map_values("fixtures")
+    add = lambda c: F.aggregate(F.transform(parts, lambda x: x[c]), F.lit(None).cast(dict(total="double", n="long", seconds="double")[c]), lambda a, x: F.coalesce(a + x, a, x))
+    total, n = add("total"), add("n")
+    return state.select(*SEASON_GRAIN, total.alias("season_total"), (total / F.nullif(n, F.lit(0))).alias("season_average"), F.size("fixtures").cast("long").alias("matches_played"), add("seconds").alias("total_play_duration_seconds"))
+
+
 def iteration_player_fact(rows: DataFrame, ids: DataFrame, season: DataFrame) -> DataFrame:
     known = season.select(F.col("season_id").alias("iteration_id"), "competition_id", "season_name")
     return resolved(rows, ids, "source_player_id", "player_id").join(known, "iteration_id").withColumnRenamed("iteration_id", "season_id").withColumn("source_system", F.lit(PROVIDER))

@@ -97,6 +97,15 @@ def staged_json(df: DataFrame, path: str, json_columns: list[str], order: list[s
     typed.sortWithinPartitions(*order).write.mode("append").parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: list[str], rows_a_file: int = 2_000_000, mode: str = "append") -> int:
+    """Write files of about ``rows_a_file`` rows that each hold a range of the order of ``by``, sorted: a filter on its first
+    columns reads the files that have such rows, by their footers. Rows of one value are in as many files as they fill,
+    since the range goes on over the columns behind. Gives the number of files asked for."""
+    files = max(1, -(-df.count() // rows_a_file))
+    df.repartitionByRange(files, *by).sortWithinPartitions(*by).write.mode(mode).parquet(path)
+    return files
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 

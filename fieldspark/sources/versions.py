@@ -44,6 +44,22 @@ class State:
         return State(T.StructType.fromJson(d["schema"]), d["folders"], d["applied"])
 
 
+def _loose(schema: T.StructType) -> T.StructType:
+    """The schema with nulls allowed everywhere, as in files."""
+
+    def of(x):
+        if isinstance(x, list):
+            return [of(y) for y in x]
+        return {k: True if k in ("nullable", "containsNull", "valueContainsNull") else of(v) for k, v in x.items()} if isinstance(x, dict) else x
+
+    return T.StructType.fromJson(of(schema.jsonValue()))
+
+
+def _named(column: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def sliced(by: Column | None) -> Column:
     """A slice's name; what can't stand in a folder's name is replaced, which can only join slices."""
     return F.lit(NONE) if by is None else F.coalesce(F.regexp_replace(by.cast("string"), "[^A-Za-z0-9_.-]", "_"), F.lit(NONE))
@@ -128,7 +144,7 @@ class VersionedTable:
     def staged(self, df: DataFrame) -> State:
         """A state of the rows of ``df``, written but not yet the table's; ``of`` reads it and ``publish`` makes it the newest."""
         applied = self.state().applied if self.exists() else {}
-        return State(df.schema, self.written(df), applied)
+        return State(_loose(df.schema), self.written(df), applied)
 
     def staged_upsert(self, changes: DataFrame, keys: list[str], gone: DataFrame | None = None, by_keys: list[str] | None = None) -> State:
         """The newest state after rows of ``gone`` (their ``keys``, or ``by_keys``) have left and ``changes`` have replaced rows of
@@ -140,9 +156,9 @@ class VersionedTable:
         state = self.state()
         old = self.of(state)
         known = {f.name: f.dataType for f in state.schema}
-        changes = changes.select(*[F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in changes.columns])
+        changes = changes.select(*[_named(c).cast(known[c]).alias(c) if c in known else _named(c) for c in changes.columns])
         own = VersionedTable(self.spark, f"{self.path}/changes")  # read three times
-        changes = own.of(State(changes.schema, own.written(changes)))
+        changes = own.of(State(_loose(changes.schema), own.written(changes)))
         leaving = old.join(changes.select(*keys).distinct(), keys, "left_semi").select(sliced(self.by).alias(SLICE))
         if gone is not None:
             leaving = leaving.union(old.join(gone.select(*(by_keys or keys)).distinct(), by_keys or keys, "left_semi").select(sliced(self.by).alias(SLICE)))
@@ -153,7 +169,7 @@ class VersionedTable:
             part = merge.delete_keys(part, gone, by_keys or keys)
         new = merge.upsert(part, changes, keys)
         folders = {s: f for s, f in state.folders.items() if s not in touched}
-        out = State(new.schema, folders | (self.written(new) if touched else {}), dict(state.applied))
+        out = State(_loose(new.schema), folders | (self.written(new) if touched else {}), dict(state.applied))
         self._fs.delete(self._path_of(own.path), True)
         return out
 
