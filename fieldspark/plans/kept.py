@@ -6,12 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from fieldspark.operators import shapes, spells
-from fieldspark.plans import models
+from fieldspark.operators import merge, shapes, spells
+from fieldspark.plans import models, registry
 from fieldspark.plans.catalogue import _MERGE, _changes, _target, query
 from fieldspark.plans.model_queries import _SEASONS, _raw
 from fieldspark.plans.models import KPI_GRAIN, football
-from fieldspark.sources import ranges, sinks, tables
+from fieldspark.sources import payloads, ranges, rest, sinks, tables
 from fieldspark.sources.versions import VersionedTable
 from fieldspark.streaming import feeds as feeds_of
 from fieldspark.streaming import upserts
@@ -190,3 +190,67 @@ def tracking_frames(t):
     t.spark.dataSource.register(ranges.ByteRanges)
     lines = t.spark.read.format("byte_ranges").options(paths=base if "://" in base else f"file://{base}", rangeBytes="65536", lines="true").load()
     return lines.select(F.from_json(F.decode("content", "utf-8"), "frame long, value double").alias("x")).select("x.*")
+
+
+@query("select n_nationkey + 100 as id from nation where n_regionkey in (0, 2) and n_nationkey % 5 <> 0")
+def iterations_in_scope(t):
+    nested = _raw(t)["iterations"].select("id", "season", F.struct(F.col("`competition.id`").alias("id"), F.col("`competition.gender`").alias("gender")).alias("competition"))
+    return payloads.in_scope(nested, ["23/24", "24/25"], [0, 2]).select("id")
+
+
+@query("select o_orderkey as id from orders where o_orderkey % 4 <> 0 and o_orderkey % 9 <> 0 and o_orderdate <= timestamp '2000-01-01'")
+def matches_loadable(t):
+    """Available matches of the past; those without a readable date, or without a word on being available, are left out."""
+    matches = _raw(t)["matches"].withColumn("available", F.when(F.col("id") % 8 != 0, F.col("id") % 4 != 0))
+    return payloads.loadable(matches, F.lit("2000-01-01").cast("timestamp")).select("id")
+
+
+@query("""select 'country' as what, n_nationkey as id, n_name as name, left(n_name, 3) as more from nation union all select 'coach', c_custkey, c_name, (c_nationkey + 100)::varchar from customer
+union all select 'stadium', s_suppkey, s_name, (100 + s_suppkey % 10)::varchar from supplier""")
+def model_small_catalogues(t):
+    """Staging of countries, coaches and stadiums."""
+    base = f"{sinks.shared_dir(t.spark)}/football-{uuid.uuid4().hex}"
+    raw = {
+        "countries": t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.substring("n_name", 1, 3).alias("fifaCode")),
+        "coaches": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_nationkey") + 100).alias("iterationId")),
+        "stadiums": t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), (100 + F.col("s_suppkey") % 10).alias("length"), F.lit(60).alias("width")),
+    }
+    for name, df in raw.items():
+        df.write.parquet(f"{base}/raw/{name}.parquet")
+    built = football(tables.Sources(f"{base}/raw"), f"{base}/models").build(t.spark, ["stg_countries", "stg_coaches", "stg_stadiums"])
+    row = lambda what, model, key, name, more: built[model].select(F.lit(what).alias("what"), F.col(key).alias("id"), F.col(name).alias("name"), F.col(more).cast("string").alias("more"))
+    return row("country", "stg_countries", "country_id", "country_name", "fifa_code").unionByName(row("coach", "stg_coaches", "coach_id", "coach_name", "iteration_id")).unionByName(row("stadium", "stg_stadiums", "stadium_id", "stadium_name", "length"))
+
+
+@query("""select event_type as feed, case event_type when 'click' then timestamp '2024-03-01' when 'error' then max(ts) filter (where event_id % 2 = 0) else timestamp '2024-01-01' end as at from events group by event_type""")
+def cursor_table(t):
+    """Cursors of two feeds, at their newest event; one advances to its run's start, the other's run has failures and it stays;
+    all other feeds are seeded."""
+    old = t.events.where("event_type = 'error' and event_id % 2 = 0 or event_type = 'click'").groupBy(F.col("event_type").alias("feed")).agg(F.max("ts").alias("at"))
+    moved = upserts.advanced(upserts.advanced(old, "click", F.expr("timestamp_ntz '2024-03-01 00:00:00'"), failed=0), "error", F.expr("timestamp_ntz '2024-03-01 00:00:00'"), failed=3)
+    feeds = t.events.select(F.col("event_type").alias("feed"), F.expr("timestamp_ntz '2024-01-01 00:00:00'").alias("at")).distinct()
+    return merge.insert_only(moved, feeds, ["feed"])
+
+
+@query("select c_nationkey as season, count(*) as customers from customer group by all")
+def model_in_its_schema(t):
+    """A model's table in the schema of its own name, which only production has without the default behind it."""
+    base = f"{sinks.shared_dir(t.spark)}/schemas-{uuid.uuid4().hex}"
+    target = f"{base}/{registry.schema_name('core', 'dev', 'base')}"
+    plan = registry.Plan(tables.Sources(t.root), target)
+    plan.model("seasons", "customer", kept=registry.TABLE, grain=("season",))(lambda c: c.groupBy(F.col("c_nationkey").alias("season")).agg(F.count(F.lit(1)).alias("customers")))
+    plan.build(t.spark)
+    return VersionedTable(t.spark, f"{base}/core_base/seasons").read()
+
+
+@query("select doc_id, lang, length(text) as n from documents")
+def paged_documents(t):
+    """The documents as pages of a service for each language, whose first requests are refused, read page after page."""
+    base = f"{sinks.shared_dir(t.spark)}/pages-{uuid.uuid4().hex}"
+    rows = t.documents.select("doc_id", "lang", F.length("text").alias("n"), F.coalesce("lang", F.lit("none")).alias("key"))
+    rows.repartition(5, "doc_id").write.partitionBy("key").json(base)
+    t.spark.dataSource.register(rest.PagedSource)
+    where = base if "://" in base else f"file://{base}"
+    keys = [f"{where}/key={r[0]}" for r in rows.select("key").distinct().collect()]
+    pages = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.samples:page_of_folder").option("keys", ",".join(keys)).load()
+    return pages.select(F.from_json("payload", "doc_id long, lang string, n int").alias("x")).select("x.*")

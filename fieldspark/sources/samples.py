@@ -1,7 +1,12 @@
-"""A page-wise service without a network: numbers by key, refused once in a while, for queries and tests of the source."""
+"""Page-wise services without a network: numbers by key, and the files of a folder, refused once in a while, for queries and
+tests of the source."""
 
 from __future__ import annotations
 
+import json
+
+from pyarrow.fs import FileSelector, FileSystem
+
 from fieldspark.sources import rest
 
 TOTAL, LIMIT = 23, 5
@@ -27,3 +32,13 @@ def _call(token: str, key: str, page: int):
 
 
 numbered = rest.with_login(lambda: "token", _call)
+
+
+def page_of_folder(key: str, page: int):
+    """The objects of a folder's JSON files, a file a page; some requests are refused once."""
+    if _refused("folder", key, page):
+        raise rest.TooManyRequests("0")
+    fs, path = FileSystem.from_uri(key)
+    files = sorted(f.path for f in fs.get_file_info(FileSelector(path)) if f.path.endswith(".json"))
+    with fs.open_input_stream(files[page]) as f:
+        return [json.loads(line) for line in f.read().splitlines()], page + 1 < len(files)
