@@ -86,3 +86,15 @@ def test_language_left_out_is_rejected(spark):
         found = language_id.predict(docs.selectExpr("lang", f"substring(text, 1, {chars}) as text"), models)
         share = {r[0]: r[1] for r in found.selectExpr("lang", "int(rejected) as r").groupBy("lang").avg("r").collect()}
         assert share.pop("de") > 0.95 and max(share.values()) < 0.02
+
+
+def test_columns_that_operators_add_themselves_pass(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    own = docs.selectExpr("*", "-7.0d as score", "'mine' as n_lines", "doc_id as `row`", "'x' as lang_pred", "1 as `a.b`")
+    said = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for stage in corpus_pipeline.STAGES[:2]:
+        out = stage[1](spark, own, DATA)
+        assert out.columns == own.columns
+        rows = out.collect()
+        assert len(rows) > 50 and {(r["score"], r["n_lines"], r["lang_pred"], r["a.b"]) for r in rows} == {(-7.0, "mine", "x", 1)}
+        assert all(r["row"] == r["doc_id"] and len(r["text"]) <= len(said[r["doc_id"]]) for r in rows)
