@@ -98,9 +98,8 @@ def feed_applied(t):
         table.replace(f(empty))
     t.spark.dataSource.register(feeds_of.ChangeFeed)
     run = feeds_of.applied_to([feeds_of.Dependent(info, rows[info], ["id"]), feeds_of.Dependent(events, rows[events], ["id", "index"]), feeds_of.Dependent(status, rows[status], ["id"], marks=True)], "matches")
-    folder = base if "://" in base else f"file://{base}"
     for now in ("2024-01-10T12:00:00", "2024-01-20T12:00:00", "2024-03-01T00:00:00"):
-        options = {"fetch": "fieldspark.streaming.feeds:from_folder", "folder": f"{folder}/source", "now": now, "bootstrapDays": "4000", "partHours": "2400"}
+        options = {"fetch": "fieldspark.streaming.feeds:from_folder", "folder": f"{sinks.uri(base)}/source", "now": now, "bootstrapDays": "4000", "partHours": "2400"}
         upserts.start(t.spark.readStream.format("change_feed").options(**options).load(), run, f"{base}/cursor").awaitTermination()
     counted = events.read().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     return status.read().join(info.read().select("id", "value"), "id", "left").join(counted, "id", "left").select("id", "status", "value", F.coalesce("n", F.lit(0)).alias("n_events"))
@@ -188,7 +187,7 @@ def tracking_frames(t):
     base = f"{sinks.shared_dir(t.spark)}/tracking-{uuid.uuid4().hex}"
     t.events.select(F.col("event_id").alias("frame"), "value").coalesce(1).write.json(base)
     t.spark.dataSource.register(ranges.ByteRanges)
-    lines = t.spark.read.format("byte_ranges").options(paths=base if "://" in base else f"file://{base}", rangeBytes="65536", lines="true").load()
+    lines = t.spark.read.format("byte_ranges").options(paths=sinks.uri(base), rangeBytes="65536", lines="true").load()
     return lines.select(F.from_json(F.decode("content", "utf-8"), "frame long, value double").alias("x")).select("x.*")
 
 
@@ -250,7 +249,6 @@ def paged_documents(t):
     rows = t.documents.select("doc_id", "lang", F.length("text").alias("n"), F.coalesce("lang", F.lit("none")).alias("key"))
     rows.repartition(5, "doc_id").write.partitionBy("key").json(base)
     t.spark.dataSource.register(rest.PagedSource)
-    where = base if "://" in base else f"file://{base}"
-    keys = [f"{where}/key={r[0]}" for r in rows.select("key").distinct().collect()]
+    keys = [f"{sinks.uri(base)}/key={r[0]}" for r in rows.select("key").distinct().collect()]
     pages = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.samples:page_of_folder").option("keys", ",".join(keys)).load()
     return pages.select(F.from_json("payload", "doc_id long, lang string, n int").alias("x")).select("x.*")

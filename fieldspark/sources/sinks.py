@@ -26,6 +26,14 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def uri(path: str) -> str:
+    """The path with a scheme, as readers outside of Spark want it; one without is on this machine."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return f"file://{path}"
+    return path if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read again: computed once, and safe from lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
