@@ -223,14 +223,17 @@ def worker_share(t):
     return t.orders.groupBy("o_orderstatus").agg(stages.share_of(F.count(F.lit(1)), 7).alias("share"))
 
 
-@query("select 'new' as block, 0 as stage_place, 'x' as \"group\", '1,2' as ids, 5::bigint as matches, 3::bigint as todo union all select 'new', 1, 'y', '7', 1, 0")
+@query("""select o_orderstatus as block, (row_number() over (partition by o_orderstatus order by o_orderpriority) - 1)::int as stage_place, o_orderpriority as "group",
+array_to_string(list_sort(list(distinct o_custkey % 25 + 100)), ',') as ids, count(*) as matches, count(*) filter (o_orderkey % 3 = 0) as todo from orders where o_orderstatus in ('F', 'O') group by o_orderstatus, o_orderpriority""")
 def plan_file(t):
-    """A plan written as a JSON file and read again, limited to one block."""
+    """A plan made of the orders, a block a status and a stage a priority, written as a JSON file, read again, and limited to two
+    blocks."""
     path = f"{sinks.shared_dir(t.spark)}/plan-{uuid.uuid4().hex}"
-    stage = lambda g, ids, m, n: F.struct(F.lit(g).alias("group"), F.array(*map(F.lit, ids)).alias("iteration_ids"), F.lit(m).alias("matches"), F.lit(n).alias("todo"))
-    block = lambda label, *s: F.struct(F.lit(label).alias("label"), F.array(F.lit("95/96")).alias("seasons"), F.array(*s).alias("stages"))
-    t.spark.range(1).select(F.lit("p").alias("name"), F.array(block("new", stage("x", [1, 2], 5, 3), stage("y", [7], 1, 0)), block("old", stage("z", [9], 2, 2))).alias("blocks")).coalesce(1).write.json(path)
-    return stages.selected(stages.read_plan(t.spark, path), ["new"]).select("block", "stage_place", "group", F.array_join("iteration_ids", ",").alias("ids"), "matches", "todo")
+    ids = F.array_sort(F.collect_set(F.col("o_custkey") % 25 + 100)).alias("iteration_ids")
+    stage = t.orders.groupBy("o_orderstatus", F.col("o_orderpriority").alias("group")).agg(ids, F.count(F.lit(1)).alias("matches"), F.count_if(F.col("o_orderkey") % 3 == 0).alias("todo"))
+    block = stage.groupBy(F.col("o_orderstatus").alias("label")).agg(F.array(F.lit("95/96")).alias("seasons"), F.array_sort(F.collect_list(F.struct("group", "iteration_ids", "matches", "todo"))).alias("stages"))
+    block.agg(F.lit("p").alias("name"), F.array_sort(F.collect_list(F.struct("label", "seasons", "stages"))).alias("blocks")).coalesce(1).write.json(path)
+    return stages.selected(stages.read_plan(t.spark, path), ["F", "O"]).select("block", "stage_place", "group", F.array_join("iteration_ids", ",").alias("ids"), "matches", "todo")
 
 
 @query("""with recursive e as (select distinct c_nationkey as a, 1000 + o_orderkey % 50 as b from customer join orders on o_custkey = c_custkey where o_totalprice > 480000), u as (select a, b from e union select b, a from e),
@@ -316,12 +319,14 @@ def since_cursor(t):
     return upserts.since_cursor(t.events, "ts", cursor).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"select 'a' as feed, {_NOW} as at union all select 'b', timestamp '1999-01-01 00:00:00' union all select 'c', timestamp '1998-01-01 00:00:00'")
+@query(f"select event_type as feed, case when event_type = (select min(event_type) from events) then {_NOW} else max(ts) end as at from events group by event_type union all select 'none of these', timestamp '1998-01-01 00:00:00'")
 def cursors(t):
-    """A cursor that has advanced, one that hasn't since its run failed, and one that was seeded."""
-    table = t.spark.createDataFrame([("a",), ("b",)], "feed string").withColumn("at", F.expr("timestamp_ntz '1999-01-01 00:00:00'"))
-    moved = upserts.advanced(upserts.advanced(table, "a", _now(), failed=0), "b", _now(), failed=2)
-    return upserts.seeded(moved, ["b", "c"], F.expr("timestamp_ntz '1998-01-01 00:00:00'"))
+    """Cursors at each feed's newest event: the first advances with a run, the last's run fails and it stays; a feed that has
+    no events is seeded."""
+    newest = t.events.groupBy(F.col("event_type").alias("feed")).agg(F.max("ts").cast("timestamp_ntz").alias("at"))
+    first, last = newest.agg(F.min("feed"), F.max("feed")).first()
+    moved = upserts.advanced(upserts.advanced(newest, first, _now(), failed=0), last, _now(), failed=2)
+    return upserts.seeded(moved, [first, "none of these"], F.expr("timestamp_ntz '1998-01-01 00:00:00'"))
 
 
 @query("select o_orderkey, o_custkey, o_totalprice from orders where o_custkey % 10 not in (1, 2) union all select o_orderkey, o_custkey, o_totalprice + 1 from orders where o_custkey % 10 = 2 and o_orderkey % 2 = 0")
@@ -570,17 +575,22 @@ def csv_and_json_files(t):
     return tables.read_csv(t.spark, f"{base}/csv", schema).unionByName(tables.read_json(t.spark, f"{base}/json", schema))
 
 
-@query("select id::bigint as id, name, (id + 100)::bigint as reserved from (values (1, 'a'), (2, 'b'), (3, null)) v(id, name)")
+@query("select c_custkey as id, name, c_custkey + 1000000 as reserved from customer left join (values (0, 'a'), (1, 'b'), (2, null)) v(id, name) on id = c_custkey % 4")
 def inline_rows(t):
-    """Rows given inline, and a block of ids reserved for them."""
-    rows = tables.inline(t.spark, [(1, "a"), (2, "b"), (3, None)], "id long, name string")
-    return rows.join(tables.id_block(t.spark, 101, 3, "reserved"), F.col("reserved") == F.col("id") + 100)
+    """Names given inline for three of four groups of customers, who get ids of a block that is reserved for them."""
+    names = tables.inline(t.spark, [(0, "a"), (1, "b"), (2, None)], "k long, name string")
+    n = t.customer.agg(F.coalesce(F.max("c_custkey") + 1, F.lit(0))).first()[0]
+    block = tables.id_block(t.spark, 1_000_000, n, "reserved")
+    return t.customer.join(names, F.col("k") == F.col("c_custkey") % 4, "left").join(block, F.col("reserved") == F.col("c_custkey") + 1_000_000).select(F.col("c_custkey").alias("id"), "name", "reserved")
 
 
-@query("select key, n::bigint as n, 2 * n as twice from (select unnest(['a', 'b', 'c']) as key), range(0, 23) r(n)")
+@query("select c_mktsegment as segment, c_custkey as id, c_name as name from customer")
 def paged_service(t):
-    """Pages of a service with offsets, some requests of which are refused at first."""
+    """Customers as answers of a service with offset and limit, asked for by segment."""
+    base = f"{sinks.shared_dir(t.spark)}/answers-{uuid.uuid4().hex}"
+    rows = t.customer.select(F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.hex("c_mktsegment").alias("key"))
+    rows.write.partitionBy("key").json(base)
     t.spark.dataSource.register(rest.PagedSource)
-    df = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.samples:numbered").option("keys", "a,b,c").load()
-    v = F.from_json("payload", "n bigint, double bigint")
-    return df.select("key", v["n"].alias("n"), v["double"].alias("twice"))
+    keys = [f"{sinks.uri(base)}/key={r[0]}" for r in rows.select("key").distinct().collect()]
+    pages = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.archive:rows_of_folder").option("keys", ",".join(keys)).load()
+    return pages.select(F.from_json("payload", "segment string, id long, name string").alias("x")).select("x.*")

@@ -11,7 +11,7 @@ from fieldspark.plans import models, registry
 from fieldspark.plans.catalogue import _MERGE, _changes, _target, query
 from fieldspark.plans.model_queries import _SEASONS, _raw
 from fieldspark.plans.models import KPI_GRAIN, football
-from fieldspark.sources import payloads, ranges, rest, sinks, tables
+from fieldspark.sources import buckets, payloads, ranges, rest, sinks, tables
 from fieldspark.sources.versions import VersionedTable
 from fieldspark.streaming import feeds as feeds_of
 from fieldspark.streaming import upserts
@@ -61,6 +61,23 @@ def model_incremental_kpis(t):
     return plan.build(t.spark, ["player_fixture_kpis"])["player_fixture_kpis"].select(*KPI_GRAIN, "season_id", "competition_id", "scheduled_at", "kpi_value", "note")
 
 
+@query(_SEASONS + """select player_id, l_orderkey + 5000000 as fixture_id, l_linenumber::bigint as kpi_id, l_suppkey as squad_id, l_orderkey % 25 + 100 as season_id, s.competition_id, max(l_quantity)::double as kpi_value
+from lineitem join ids on source_id = l_suppkey join orders on o_orderkey = l_orderkey and o_orderkey % 3 <> 0 left join seasons s on s.season_id = l_orderkey % 25 + 100 group by all""")
+def model_bucketed_kpis(t):
+    """The fact of KPIs over a source in buckets of both provider ids: pairs of ids are resolved, and no KPI row is shuffled for
+    it."""
+    raw, base = _raw(t), f"{sinks.shared_dir(t.spark)}/football-{uuid.uuid4().hex}"
+    for s in ("player_identities", "player_overrides", "fixture_identities", "iterations"):
+        raw[s].write.parquet(f"{base}/raw/{s}.parquet")
+    kpis = raw["player_kpis"]
+    one = kpis.groupBy(*[c for c in kpis.columns if c not in ("value", "scheduledDate")]).agg(F.max("scheduledDate").alias("scheduledDate"), F.max("value").alias("value"))
+    name = f"player_kpis_{uuid.uuid4().hex}"
+    buckets.write_bucketed(models.with_pair(one, "playerId", "matchId"), name, f"{base}/player_kpis", list(models.PAIR), 8)
+    plan = football(tables.Sources(f"{base}/raw").add(tables.Source("player_kpis", "", table=name)), f"{base}/models")
+    del plan.checks["KPI players are known"]  # some aren't, and their rows stay away
+    return plan.build(t.spark, ["player_fixture_kpis"])["player_fixture_kpis"].select("player_id", "fixture_id", "kpi_id", "squad_id", "season_id", "competition_id", "kpi_value")
+
+
 @query("""with known as (select c_custkey from customer where c_custkey % 4 <> 0 or c_custkey % 50 = 0)
 select 'KPI players are known' as "check", count(distinct l_suppkey) as failures from lineitem where l_suppkey not in (select c_custkey from known)
 union all select 'events have match info', count(distinct event_id % 50) from events where event_id % 50 >= 45 union all select 'one season value a player and KPI', 0""")
@@ -244,11 +261,11 @@ def model_in_its_schema(t):
 
 @query("select doc_id, lang, length(text) as n from documents")
 def paged_documents(t):
-    """The documents as pages of a service for each language, whose first requests are refused, read page after page."""
+    """The documents as pages of a service for each language, read page after page."""
     base = f"{sinks.shared_dir(t.spark)}/pages-{uuid.uuid4().hex}"
     rows = t.documents.select("doc_id", "lang", F.length("text").alias("n"), F.coalesce("lang", F.lit("none")).alias("key"))
     rows.repartition(5, "doc_id").write.partitionBy("key").json(base)
     t.spark.dataSource.register(rest.PagedSource)
     keys = [f"{sinks.uri(base)}/key={r[0]}" for r in rows.select("key").distinct().collect()]
-    pages = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.samples:page_of_folder").option("keys", ",".join(keys)).load()
+    pages = t.spark.read.format("paged_json").option("fetch", "fieldspark.sources.archive:page_of_folder").option("keys", ",".join(keys)).load()
     return pages.select(F.from_json("payload", "doc_id long, lang string, n int").alias("x")).select("x.*")

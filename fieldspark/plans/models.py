@@ -59,6 +59,26 @@ def resolved(df: DataFrame, ids: DataFrame, source: str, canonical: str) -> Data
     return df.join(own, F.col(source).cast("string") == F.col("__id")).drop("__id")
 
 
+#: Provider ids as text, in rows that are bucketed on both.
+PAIR = ("player_key", "fixture_key")
+
+
+def with_pair(df: DataFrame, player: str, fixture: str) -> DataFrame:
+    """``df`` with ``PAIR``, the text of its numeric ids, to be written in buckets of both."""
+    return df.withColumns({PAIR[0]: F.col(player).cast("string"), PAIR[1]: F.col(fixture).cast("string")})
+
+
+def resolved_pairs(df: DataFrame, players: DataFrame, fixtures: DataFrame) -> DataFrame:
+    """``df`` with the canonical ids of its ``PAIR``, as ``resolved`` gives for each; the pair itself goes.
+
+    Pairs are resolved, of which there are as many fewer as a player has rows in a match, and joined to the rows once. If
+    ``df`` is bucketed on the pair no row of it is shuffled: its pairs are made distinct, and met again, in their buckets.
+    """
+    pairs = df.select(*PAIR).where(F.col(PAIR[0]).isNotNull() & F.col(PAIR[1]).isNotNull()).distinct()
+    known = resolved(resolved(pairs, players, PAIR[0], "player_id"), fixtures, PAIR[1], "fixture_id")
+    return df.join(known, list(PAIR)).drop(*PAIR)
+
+
 def primary_of(identities: DataFrame, system: str, canonical: str, name: str) -> DataFrame:
     """(canonical id, source id) of the primary identity in one system."""
     rows = identities.where(F.col("source_system") == system)
@@ -118,7 +138,10 @@ KPI_GRAIN = ("player_id", "fixture_id", "kpi_id", "squad_id", "position_code")
 
 
 def fixture_kpis(kpis: DataFrame, players: DataFrame, fixtures: DataFrame, season: DataFrame) -> DataFrame:
-    rows = resolved(resolved(kpis, players, "source_player_id", "player_id"), fixtures, "source_fixture_id", "fixture_id")
+    if set(PAIR) <= set(kpis.columns):
+        rows = resolved_pairs(kpis, players, fixtures)
+    else:
+        rows = resolved(resolved(kpis, players, "source_player_id", "player_id"), fixtures, "source_fixture_id", "fixture_id")
     rows = rows.withColumnRenamed("iteration_id", "season_id").join(season.select("season_id", "competition_id"), "season_id", "left")
     return rows.withColumn("source_system", F.lit(PROVIDER))
 
@@ -205,7 +228,8 @@ def football(sources: Sources, target: str, include_all: bool = False) -> Plan:
 
     def staged(name: str, columns: dict):
         def build(df: DataFrame) -> DataFrame:
-            out = typed(df, {n: c() if callable(c) else c for n, c in columns.items()})
+            pair = {c: c for c in PAIR if c in df.columns}
+            out = typed(df, {n: c() if callable(c) else c for n, c in columns.items()} | pair)
             return out if include_all or name not in CATEGORY else out.where(F.col(CATEGORY[name]) == MALE)
 
         return build

@@ -10,12 +10,14 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Source:
-    """A declared table: its place below a root, its schema if fixed, and the column that tells when a row was loaded."""
+    """A declared table: its place below a root, its schema if fixed, and the column that tells when a row was loaded; or the
+    ``table`` of Spark's catalogue that it is (``sources.buckets``)."""
 
     name: str
     path: str
     schema: str | None = None
     loaded_at: str | None = None
+    table: str | None = None
 
 
 @dataclass
@@ -30,6 +32,8 @@ class Sources:
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         """The table; an undeclared name is a file of that name below the root."""
         s = self.declared.get(name, Source(name, f"{name}.parquet"))
+        if s.table:
+            return spark.table(s.table)
         reader = spark.read.schema(s.schema) if s.schema else spark.read
         return reader.parquet(f"{self.root}/{s.path}")
 

@@ -32,6 +32,81 @@ def test_rest_source(spark):
     assert [round(pace.refused(), 2), round(pace.refused(), 3)] == [0.65, 1.475] and all(pace.answered() >= 0.1 for _ in range(40)) and pace.wait == 0.1
 
 
+def _login():
+    _login.n = getattr(_login, "n", 0) + 1
+    return f"token {_login.n}"
+
+
+def _guarded(token, key, page):
+    if token == "token 1":
+        raise rest.Unauthorized
+    if key == "b":
+        raise rest.Unauthorized
+    return [token], False
+
+
+def test_login_again_once():
+    fetch = rest.with_login(_login, _guarded)
+    assert fetch("a", 0) == (["token 2"], False) and fetch("a", 1) == (["token 2"], False)
+    with pytest.raises(rest.Unauthorized):
+        fetch("b", 0)
+
+
+def test_archive_pages(tmp_path):
+    from fieldspark.sources import archive
+
+    for k, n in enumerate((700, 0, 900, 400)):
+        (tmp_path / f"part-{k}.json").write_text("".join(json.dumps({"n": 1000 * k + i}) + "\n" for i in range(n)))
+    key, got, page, more = f"file://{tmp_path}", [], 0, True
+    while more:
+        objects, more = archive.rows_of_folder(key, page)
+        assert len(objects) == (1000 if more else 0) or page == 1
+        got += objects
+        page += 1
+    by_file = [x for p in range(4) for x in archive.page_of_folder(key, p)[0]]
+    assert got == by_file and len(got) == 2000 and not archive.page_of_folder(key, 3)[1]
+    (tmp_path / "empty").mkdir()
+    assert archive.page_of_folder(f"{key}/empty", 0) == ([], False) == archive.rows_of_folder(f"{key}/empty", 0)
+
+
+def _shuffled(plan):
+    """The names of the columns of each exchange in a physical plan."""
+    own = [{plan.output().apply(i).name() for i in range(plan.output().size())}] if "ShuffleExchange" in plan.getClass().getSimpleName() else []
+    return own + [x for i in range(plan.children().size()) for x in _shuffled(plan.children().apply(i))]
+
+
+def test_ids_of_bucketed_rows_without_a_shuffle(spark, tmp_path):
+    from fieldspark.plans import models
+    from fieldspark.sources import buckets
+
+    raw = spark.range(4_000).select(F.when(F.col("id") % 50 != 0, F.col("id") % 40).alias("source_player_id"), F.when(F.col("id") % 30 != 0, F.floor(F.col("id") / 400)).alias("source_fixture_id"), F.lit(101).cast("long").alias("iteration_id"), (F.col("id") % 7).alias("kpi_id"), F.col("id").cast("double").alias("kpi_value"))
+    ids = lambda canonical, n: spark.range(n).select(F.lit("A").alias("source_system"), F.col("id").cast("string").alias("source_id"), (F.col("id") + 1_000).alias(canonical)).unionByName(spark.createDataFrame([("MANUAL", "1", 5)], f"source_system string, source_id string, {canonical} long"))
+    players, fixtures = ids("player_id", 30), ids("fixture_id", 9)
+    season = spark.createDataFrame([(101, 1)], "season_id long, competition_id long")
+    want = sorted(map(str, models.fixture_kpis(raw, players, fixtures, season).collect()))
+    keyed = models.with_pair(raw, "source_player_id", "source_fixture_id")
+    fact = buckets.write_bucketed(keyed, "kpis_in_buckets", str(tmp_path / "b"), list(models.PAIR), 8)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = lambda df: [x for x in _shuffled(df._jdf.queryExecution().executedPlan()) if any(c == "kpi_value" for c in x)]
+        twice = models.resolved(models.resolved(raw, players, "source_player_id", "player_id"), fixtures, "source_fixture_id", "fixture_id")
+        once = models.resolved_pairs(fact, players, fixtures)
+        assert len(moved(twice)) == 2 and not moved(once)
+        assert sorted(map(str, once.select(twice.columns).collect())) == sorted(map(str, twice.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = models.fixture_kpis(fact, players, fixtures, season)
+    columns = models.fixture_kpis(raw, players, fixtures, season).columns
+    assert len(want) > 2_000 and sorted(map(str, got.select(columns).collect())) == want and fact.count() == 4_000
+    empty = buckets.write_bucketed(keyed.limit(0), "no_kpis_in_buckets", str(tmp_path / "e"), list(models.PAIR), 8)
+    assert models.resolved_pairs(empty, players, fixtures).count() == 0
+    spark.sql("drop table kpis_in_buckets")
+    spark.sql("drop table no_kpis_in_buckets")
+
+
 def test_registry(spark, tmp_path):
     spark.createDataFrame([(1, 2), (1, 3)], "k long, v long").write.parquet(str(tmp_path / "src.parquet"))
     plan = Plan(tables.Sources(str(tmp_path)), str(tmp_path / "out"))
