@@ -51,7 +51,7 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
                     out.append((ids[i + k], size, W.folded(w, x, x + size).decode("utf-8", "replace"), h))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], [], []), (pa.string(), pa.int32(), pa.string(), pa.int64()))], ["item", "size", "said", "h"])
 
-    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).where("item is not null and text is not null")
+    rows = benchmark.select(column(item).cast("string").alias("item"), column(text).alias("text")).where("item is not null and text is not null")
     return rows.mapInArrow(cut, "item string, size int, said string, h long").distinct()
 
 
@@ -166,28 +166,26 @@ def _scan_by_join(packed: Packed, windows: DataFrame) -> DataFrame:
 
         return run
 
-    # each text stays with the first of its rows
-    inner = Packed(packed.rows, "text", {"n_words": T.LongType(), "maybe": MAYBE})
-    rows = inner.mapped(start).withColumn("rid", F.monotonically_increasing_id())
-    cut = rows.select("rid", "row", "text", "n_words", F.posexplode_outer("maybe").alias("pos", "m"))
-    head = F.when(F.coalesce("pos", F.lit(0)) == 0, F.struct("row", "text", "n_words"))
-    cut = cut.select("rid", head.alias("head"), F.struct("m.start", "m.end").alias("span"), F.struct(F.col("m.first").alias("start"), F.col("m.last").alias("end")).alias("bound"), F.col("m.h").alias("h"), F.col("m.said").alias("said"), F.pmod(F.hash("rid", "pos"), F.lit(SALTS)).alias("salt"))
+    # windows alone are shuffled; what is found goes back to the documents that have it
+    inner = Packed(packed.rows, "text", {"n_words": T.LongType(), "maybe": MAYBE}, packed.keeps_text)
+    rows = written(inner.mapped(start).withColumn("rid", F.monotonically_increasing_id()), "scanned")
+    cut = rows.select("rid", F.posexplode("maybe").alias("pos", "m"))
+    cut = cut.select("rid", F.struct(F.struct("m.start", "m.end").alias("span"), F.struct(F.col("m.first").alias("start"), F.col("m.last").alias("end")).alias("bound")).alias("hit"), "m.h", "m.said", F.pmod(F.hash("rid", "pos"), F.lit(SALTS)).alias("salt"))
     salted = windows.select("h", "said", "item", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    met = cut.join(salted, ["h", "said", "salt"], "left")
-    hit = F.col("item").isNotNull()
-    grouped = met.groupBy("rid").agg(F.first("head", ignorenulls=True).alias("head"), F.collect_set(F.when(hit, F.struct("span", "bound"))).alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
-    kinds = T.StructType([grouped.schema["head"], *[T.StructField(f"n{k}", kind) for k, kind in enumerate(NEW.values())]])
+    found = cut.join(salted, ["h", "said", "salt"]).groupBy("rid").agg(F.collect_set("hit").alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
+    held = ["row", "text"] if packed.keeps_text else ["row"]
+    whole = rows.select("rid", *held, "n_words").join(found, "rid", "left").select(*held, "n_words", "hits", "items")
+    kinds = T.StructType([*[whole.schema[c] for c in held], *[T.StructField(f"n{k}", kind) for k, kind in enumerate(NEW.values())]])
 
     def merge(batches):
         for batch in batches:
-            words = batch.column(0).field("n_words").to_pylist()
-            hits = batch.column(1).to_pylist()
+            words, hits, items = (c.to_pylist() for c in batch.columns[-3:])
+            hits = [own or [] for own in hits]
             spans = [merged([(h["span"]["start"], h["span"]["end"]) for h in own]) for own in hits]
             bounds = [_bytes_of(own, found) for own, found in zip(spans, hits)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_found(words, spans, batch.column(2).to_pylist(), bounds)], ["head", *[f"n{k}" for k in range(len(NEW))]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *_found(words, spans, [own or [] for own in items], bounds)], [*held, *[f"n{k}" for k in range(len(NEW))]])
 
-    out = grouped.select("head", "hits", "items").mapInArrow(merge, kinds)
-    return packed.unpacked(out.select(F.col("head.row").alias("row"), F.col("head.text").alias("text"), *[f"n{k}" for k in range(len(NEW))]), *[F.col(f"n{k}") for k in range(len(NEW))])
+    return packed.unpacked(whole.mapInArrow(merge, kinds), *[F.col(f"n{k}") for k in range(len(NEW))])
 
 
 def _bytes_of(spans: list[list[int]], hits: list[dict]) -> list[list[int]]:
@@ -203,11 +201,13 @@ def is_contaminated(share: int = 20):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without contaminated documents (``mode="documents"``), or with the hit spans cut out of the texts of all
-    documents (``mode="spans"``; null stays null). Columns stay as they are, whatever their names."""
-    row = F.struct(F.lit(True).alias("here"), *[column(c).alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    documents (``mode="spans"``; null stays null); another mode is an error. Columns stay as they are, whatever their names."""
+    if mode not in ("documents", "spans"):
+        raise ValueError(f'mode is "documents" or "spans", not {mode!r}')
+    row = F.struct(F.lit(True).alias("here"), *[column(c).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text])
     found = scan(docs.select(row.alias("row"), column(text).alias("text")), benchmark, "text", item, item_text, n)
     if mode == "documents":
-        return found.where(~is_contaminated(share)).select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+        return found.where(~is_contaminated(share)).select(*[(F.col("text") if c == text else F.col(f"row.c{k}")).alias(c) for k, c in enumerate(docs.columns)])
     raw = F.encode("text", "utf-8")
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("bounds", lambda s: s["end"]))
     starts = F.concat(F.transform("bounds", lambda s: s["start"]), F.array(F.octet_length("text").cast("long")))

@@ -315,6 +315,21 @@ def test_decontamination(spark, texts, monkeypatch, block):
     cut = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(df, bench, mode="spans").collect()}
     assert cut[len(texts)] == "before  after" and cut[len(texts) + 1] == "" and cut[0] is None
     assert decontaminate.scan(df, bench.limit(0)).where("n_hit > 0").count() == 0
+    with pytest.raises(ValueError):
+        decontaminate.decontaminate(df, bench, mode="both")
+
+
+def test_decontamination_by_join_leaves_texts(spark, texts):
+    """Without ``keep_text`` no text is written or shuffled; with it, texts meet what is found in one join."""
+    bench = spark.createDataFrame([("`1", texts[12])], "`item``id` string, `said``` string")
+    df = docs(spark, [*texts, texts[12]])
+    how = dict(item="item`id", item_text="said`", broadcast_windows=0)
+    lean, full = (decontaminate.scan(df, bench, keep_text=k, **how) for k in (False, True))
+    plan = lambda x: x._jdf.queryExecution().optimizedPlan().toString()
+    assert "text#" not in plan(lean) and "text#" in plan(full)
+    rows = lambda x: sorted(map(str, x.drop("text").collect()))
+    assert rows(lean) == rows(full) == rows(decontaminate.scan(df, bench, item="item`id", item_text="said`"))
+    assert {r["doc_id"] for r in lean.where("n_items = 1").collect()} >= {12, len(texts)}
 
 
 # op 5
