@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import LOWER, UPPER, Packed, table
+from fieldspark.llm.shared import LOWER, UPPER, Packed, spread, table
 
 THRESHOLD = 0.8
 # Public notices by which texts name their licence, by SPDX name.
-TEMPLATES = [
+NOTICES = [
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -52,6 +52,19 @@ TEMPLATES = [
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
 ]
 
+# Whole licences, without their copyright lines.
+BODIES = [
+    ("0BSD", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("BSD-2-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("BSD-3-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("BSL-1.0", 'Boost Software License - Version 1.0 - August 17th, 2003 Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("Unlicense", 'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <http://unlicense.org/>'),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+]
+TEMPLATES = NOTICES + BODIES
+
 
 def normalised(text: Column) -> Column:
     """A-Z lower-cased, every run of other ASCII than letters, digits and line feeds made one space."""
@@ -88,15 +101,17 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
     The units of a text are its lines, its paragraphs of more than one line (between blank lines) and the whole where it
     has more than one paragraph. Units that match nothing, and texts that are null or empty, have null, 0.0, 0 and no
-    names. The templates are a fixed parameter and the only thing broadcast; units whose size fits no template are
-    dropped inside their row. Without ``keep_text`` the text doesn't pass, and none is shuffled. Columns of the four new
+    names. The templates are a fixed parameter and the only thing broadcast; units whose size fits no template, or that
+    share too few bigrams with all templates together, are dropped before they meet any. Without ``keep_text`` the text doesn't pass, and none is shuffled. Columns of the four new
     names are replaced, others pass through.
     """
     spark = docs.sparkSession
     new = {"license": T.StringType(), "dice": T.DoubleType(), "n_matches": T.LongType(), "licenses": T.ArrayType(T.StringType())}
-    sized = by_size(template_sets(spark, templates), threshold)
+    sets = template_sets(spark, templates)
+    sized = by_size(sets, threshold)
     sizes = [r["n"] for r in sized.select("n").distinct().collect()] or [1]  # of the fixed templates
     least, most = min(sizes), max(sizes)
+    smallest, known = sets.agg(F.coalesce(F.min(F.size("grams")), F.lit(1)), F.array_distinct(F.flatten(F.collect_list("grams")))).first()
 
     packed = Packed(docs, text, new, keep_text)
     held = F.struct("row", "text") if packed.keeps_text else F.struct("row")
@@ -108,10 +123,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
         F.filter("paragraphs", lambda p: F.contains(p, F.lit("\n"))),
         F.when(F.size("paragraphs") > 1, F.array("said")).otherwise(none),
     )
-    long_enough = F.filter(F.transform(units, words_of), lambda w: F.size(w) > least)
+    # all different words of a unit but the last begin a bigram each, so of those with too many none are made
+    few = lambda w: (F.size(w) <= most + 1) | (F.size(F.array_distinct(w)) <= most + 1)
+    long_enough = F.filter(F.transform(units, words_of), lambda w: (F.size(w) > least) & few(w))
     cut = rows.select("rid", "row", F.posexplode_outer(long_enough).alias("unit", "words"))
     cut = cut.select("rid", F.when(F.coalesce("unit", F.lit(0)) == 0, F.col("row")).alias("row"), "unit", bigrams(F.col("words")).alias("own"))
-    cut = cut.withColumn("n", F.when(F.size("own") <= most, F.size("own")))
+    # a unit meets templates only if enough of its bigrams are those of any
+    n, common = F.size("own"), F.size(F.filter("own", lambda g: g.isin(known)))
+    cut = cut.withColumn("n", F.when((n <= most) & (2 * common >= threshold * (n + smallest) - 1e-9), n)).where("n is not null or row is not null")
     met = cut.join(F.broadcast(sized), "n", "left")
     dice = 2 * F.size(F.array_intersect("own", "grams")) / (F.col("n") + F.size("grams"))
     met = met.select("rid", "row", "unit", "license", F.coalesce(dice, F.lit(0.0)).alias("dice"))
@@ -130,7 +149,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    out = scan(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), keep_text=False)
     return out.select("doc_id", "license", "dice", "n_matches", F.array_join("licenses", ",").alias("licenses"))
 
 

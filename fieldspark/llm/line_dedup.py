@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.llm.shared import Packed, ascii_lower, column, table, within, written
+from fieldspark.llm.shared import Packed, ascii_lower, column, spread, table, within, written
 
 #: Stripped at both ends of a line; the line feed cannot occur inside one.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -74,7 +74,7 @@ def drop_common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, m
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     out = drop_common_lines(docs, min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

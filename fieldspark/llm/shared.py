@@ -27,12 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as there are cores, where its few files give fewer (one row group is read by one task
-    alone, however many cores wait); a table of many files, or of few rows, stays as it is."""
+    """``df`` in as many partitions as there are cores, where fewer than that have rows (one row group is read by one task
+    alone, into however many splits its file is cut); a table of as many files, or of few rows, stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or within(df.select(F.lit(1)), FEW_ROWS):  # a look at the plan; no row is read as an RDD
+    if len(df.inputFiles()) >= cores or within(df.select(F.lit(1)), FEW_ROWS):
         return df
-    return df.repartition(cores)
+    held = df.select(F.spark_partition_id().alias("p")).distinct().count()  # reads footers of a few files
+    return df if held >= cores else df.repartition(cores)
 
 
 def column(name: str) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fieldspark.llm import bpe, decontaminate, fingerprints, html_text, language_id, licenses, line_dedup, lm_score, ngram_join, registry, token_counts
 from fieldspark.llm import words as W
 from fieldspark.llm.components import components
+from fieldspark.llm.shared import spread
 from fieldspark.llm.signature_tree import SignatureTree, forest, overlap, overlaps
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -582,6 +583,43 @@ def test_line_dedup(spark, monkeypatch, broadcast):
 # op 8
 
 
+def test_whole_licenses_and_pruned_units(spark):
+    """Whole licences below a copyright line, broken into lines and paragraphs; units near the threshold, and a unit of very many
+    words few of which differ; each against all templates one by one."""
+    words_of = lambda said: re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ", said).lower().split()
+    pairs = lambda w: {*zip(w, w[1:])}
+    wrapped = lambda said: "\n".join(" ".join(said.split()[k : k + 9]) for k in range(0, len(said.split()), 9))
+    said = [f"Copyright 2001 Some One\n\n{wrapped(body[:half])}\n\n{wrapped(body[half:])}" for _, body in licenses.BODIES for half in [len(body) // 2]]
+    said += [" ".join(body.split()[: len(body.split()) * k // 20]) for _, body in licenses.BODIES[:3] for k in range(10, 17)] + ["the software is " * 2_000, " ".join(map(str, range(3_000)))]
+    got = {r["doc_id"]: r for r in licenses.scan(docs(spark, said)).collect()}
+    for i, text in enumerate(said):
+        parts = [p for p in re.split("\n ?(?:\n ?)+", text)]
+        dice = {}
+        for unit in [*text.split("\n"), *[p for p in parts if "\n" in p], *([text] if len(parts) > 1 else [])]:
+            own = pairs(words_of(unit))
+            for name, template in licenses.TEMPLATES:
+                theirs = pairs(words_of(template))
+                d = 2 * len(own & theirs) / (len(own) + len(theirs)) if own else 0
+                if d >= 0.8:
+                    dice[name] = max(d, dice.get(name, 0))
+        assert got[i]["licenses"] == sorted(dice), text
+        assert got[i]["license"] == (min(dice, key=lambda n: (-dice[n], n)) if dice else None)
+    assert [got[i]["license"] for i in range(len(licenses.BODIES))] == [name for name, _ in licenses.BODIES]
+
+
+def test_spread_by_rows(spark, tmp_path):
+    """A file of one row group is read by one task, however it is split, and so it is dealt out; others stay as they are."""
+    one = str(tmp_path / "one")
+    spark.range(9_000).coalesce(1).write.parquet(one)
+    df = spark.read.parquet(one)
+    held = lambda x: x.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert held(df) == 1 and held(spread(df)) == spark.sparkContext.defaultParallelism
+    many = str(tmp_path / "many")
+    spark.range(9_000).repartition(8).write.parquet(many)
+    files = spark.read.parquet(many)
+    assert spread(files) is files and spread(df.limit(10)).count() == 10
+
+
 def test_license_scan(spark):
     said = [None, "", "Released under the MIT License", "a\nreleased UNDER the mit licence\nb", "x\n\nLicensed under the\nApache License, Version 2.0.\n\ny", "nothing here to see at all"]
     got = {r["doc_id"]: r for r in licenses.scan(docs(spark, said).withColumn("unit", F.lit(1))).collect()}
