@@ -23,6 +23,5 @@ SQL = {
     "op8_license_scan": licenses.OP8_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
-    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_substring_dedup": substring_dedup.OP12_SQL,
 }

@@ -66,6 +66,10 @@ def test_stages_take_empty_tables(spark):
     assert docs.count() == 0
 
 
+def test_sql_is_text_of_known_queries():
+    assert all(isinstance(x, str) for x in registry.SQL.values()) and set(registry.SQL) <= set(registry.QUERIES)
+
+
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, name):
     import duckdb
