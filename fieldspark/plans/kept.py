@@ -102,7 +102,7 @@ def feed_applied(t):
     payload = F.to_json(F.struct(F.col("value").alias("v"), (F.col("event_id") % 4).alias("n"), F.lpad(F.col("event_id").cast("string"), 20, "0").alias("place")))
     op = F.when(F.col("event_type") == "error", feeds_of.DELETE).otherwise("update")
     changes = t.events.select(F.col("user_id").alias("id"), op.alias("op"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"), payload.alias("payload"), F.to_date("ts").alias("day"))
-    changes.repartition("day").write.partitionBy("day").json(f"{base}/source")
+    changes.hint("rebalance", "day").write.partitionBy("day").json(f"{base}/source")
     info, events, status = (VersionedTable(t.spark, f"{base}/{n}", F.pmod("id", F.lit(8))) for n in ("info", "events", "status"))
     said = F.from_json("payload", "v double, n long")
     rows = {

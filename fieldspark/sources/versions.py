@@ -181,6 +181,10 @@ class VersionedTable:
         number = self.number()
         return self.publish(self.staged_upsert(changes, keys), number)
 
+    def drop(self) -> None:
+        """Delete the table, all its states and data."""
+        self._fs.delete(self._path_of(self.path), True)
+
     def drop_old(self, keep: int = 2) -> None:
         """Delete all states but the newest ``keep``, and data folders that no state left lists. Not while others write."""
         stay = self.numbers()[-keep:]

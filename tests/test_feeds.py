@@ -33,6 +33,16 @@ def test_records_of_a_span(tmp_path):
     assert found == [(1, "update", utc(2024, 1, 1, 23, 50), '{"a": 1}'), (2, "delete", utc(2024, 1, 2), None)]
 
 
+def test_a_span_is_read_in_pieces_of_bounded_size(tmp_path):
+    (tmp_path / "day=2024-01-01").mkdir()
+    for name, ids in (("a", range(40)), ("b", range(40, 100))):
+        (tmp_path / "day=2024-01-01" / f"{name}.json").write_text("".join(json.dumps({"id": i, "at": "2024-01-01T01:00:00"}) + "\n" for i in ids))
+    r = reader(folder=f"file://{tmp_path}", now="2024-01-03T00:00:00", parthours="2400", rangebytes="300")
+    spans = r.partitions({"at": "2024-01-01T00:15:00+00:00"}, r.latestOffset())
+    found = [[x[0] for x in r.read(s)] for s in spans]
+    assert len(spans) > 10 and max(map(len, found)) < 10 and sorted(sum(found, [])) == list(range(100))
+
+
 @pytest.fixture
 def feed(spark, tmp_path):
     """Two tables that follow a feed in a folder; ``say`` adds records to the feed, ``run`` applies what it has until a time."""
