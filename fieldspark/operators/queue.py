@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # States of an entry, hours of a lease and of a pause after a failure, and the longest error kept.
 PENDING, RUNNING, SUCCESS, NO_DATA, FAILED = "PENDING", "RUNNING", "SUCCESS", "NO_EVENT_DATA", "FAILED"
 LEASE_HOURS, PAUSE_HOURS, ERROR_CHARS = 12, 12, 4_000
+#: Bytes of error texts that a task gets to join. They are counted as they are in memory: Spark deals tasks out by bytes after
+#: compression, and texts that are much alike would be many times that.
+TASK_BYTES = 64 << 20
 
 
 def _hours(n: int) -> Column:
@@ -44,15 +49,30 @@ def claimed(queue: DataFrame, now: Column, worker: str, n: int, attempts: int, l
     return out.select(*queue.columns)
 
 
+def _bytes_of(*texts: DataFrame) -> int:
+    """Bytes of the texts in frames of one column each."""
+    sizes = [t.agg(F.sum(F.octet_length(t.columns[0])).alias("n")) for t in texts]
+    return reduce(DataFrame.union, sizes).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def finished(queue: DataFrame, results: DataFrame, now: Column, hours: int = PAUSE_HOURS) -> DataFrame:
-    """The queue after results (match_id, outcome, event_count, error): failures wait, errors are cut."""
-    new = results.select("match_id", F.col("outcome").alias("__outcome"), F.col("event_count").alias("__count"), F.col("error").alias("__error"))
+    """The queue after results (match_id, outcome, event_count, error): failures wait, errors are cut.
+
+    Errors are cut before they are joined, and only those of failures are. One job measures them, so that a task gets
+    ``TASK_BYTES`` of them however many there are.
+    """
+    error = F.when(F.col("outcome") == FAILED, F.substring("error", 1, ERROR_CHARS))
+    new = results.select("match_id", F.col("outcome").alias("__outcome"), F.col("event_count").alias("__count"), error.alias("__error"))
     done, outcome = F.col("__outcome").isNotNull(), F.col("__outcome")
     failed = outcome == FAILED
+    tasks = -(-_bytes_of(queue.select("last_error"), new.select("__error")) // TASK_BYTES)
+    if tasks > 1:
+        tasks = max(tasks, queue.sparkSession.sparkContext.defaultParallelism)
+        queue, new = queue.repartition(tasks, "match_id"), new.repartition(tasks, "match_id")
     out = queue.join(new, "match_id", "left").withColumns({
         "status": F.when(done, outcome).otherwise(F.col("status")),
         "event_count": F.when(done, F.col("__count")).otherwise(F.col("event_count")),
-        "last_error": F.when(failed, F.substring("__error", 1, ERROR_CHARS)).when(done, F.lit(None)).otherwise(F.col("last_error")),
+        "last_error": F.when(failed, F.col("__error")).when(done, F.lit(None)).otherwise(F.col("last_error")),
         "next_attempt_at": F.when(failed, now + _hours(hours)).when(done, F.lit(None)).otherwise(F.col("next_attempt_at")),
         "completed_at": F.when(done & ~failed, now).otherwise(F.col("completed_at")),
         "claimed_by": F.when(done, F.lit(None)).otherwise(F.col("claimed_by")), "claimed_at": F.when(done, F.lit(None)).otherwise(F.col("claimed_at")),

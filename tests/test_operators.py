@@ -128,6 +128,23 @@ def test_queue(spark):
     assert queue.grouped_by_budget([40, 40, 40, 100, 10], 90) == [[0, 1], [2], [3], [4]]
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_queue_results_are_dealt_by_the_bytes_of_their_errors(spark, no_broadcasts, monkeypatch):
+    monkeypatch.setattr(queue, "TASK_BYTES", 200_000, raising=False)
+    q = spark.range(1_000).selectExpr("id as match_id", *[f"cast(null as {kind}) as {name}" for name, kind in (c.rsplit(" ", 1) for c in QUEUE.split(", ")[1:])])
+    res = spark.range(0, 1_000, 2).select(F.col("id").alias("match_id"), F.when(F.col("id") % 4 == 0, "FAILED").otherwise("SUCCESS").alias("outcome"), F.lit(7).cast("long").alias("event_count"), F.repeat(F.lit("e"), 5_000).alias("error"))
+    out = queue.finished(q, res, F.expr("timestamp_ntz '2024-01-02 00:00:00'"))
+    held = [sum(len(r["last_error"] or "") for r in part) for part in out.rdd.glom().collect()]
+    assert sum(held) == 250 * 4_000 and max(held) < 500_000
+
+
 def test_discovery(spark):
     edges = spark.createDataFrame([("t33", "f1"), ("t99", "f1"), ("t99", "f2"), ("t100", "f2"), ("t7", "f9"), (None, "f1")], "a string, b string")
     got = discovery.reachable(edges, spark.createDataFrame([("t33",), ("t33",)], "node string"))
