@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MATCHED = "__matched"
+MATCHED, DEALT = "__matched", "__dealt"
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -17,6 +17,13 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(changes.select(*keys), keys, "left_anti").unionByName(changes, allowMissingColumns=True)
 
 
+def looked_up(rows: DataFrame, known: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with what ``known`` has for their ``key``, a left join. Rows without a key, which find nothing, are dealt out by
+    their ``by``: a plain join sends all of them to one task."""
+    dealt = F.when(F.col(key).isNull(), F.xxhash64(by)).otherwise(0)
+    return rows.withColumn(DEALT, dealt).join(known.withColumn(DEALT, F.col(key).isNull().cast("long")), [key, DEALT], "left").drop(DEALT)
+
+
 def insert_only(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Only rows with new keys are added; what is there stays."""
     return target.unionByName(missing(changes, target, keys), allowMissingColumns=True)

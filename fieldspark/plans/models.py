@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.scalars import at_path, date_or_null, id_of_float, json_or_null, timestamp_or_null, versus
-from fieldspark.operators import bridge, quality, ranking, spells
+from fieldspark.operators import bridge, merge, quality, ranking, spells
 from fieldspark.plans.registry import INCREMENTAL, TABLE, Plan
 from fieldspark.sources.tables import Sources
 
@@ -119,13 +119,11 @@ def fixture_details(fixtures: DataFrame, identities: DataFrame, matches: DataFra
     side = lambda s: squad.select(F.col("squad_id").alias(f"{s}_squad_id"), F.col("squad_name").alias(f"{s}_known"))
     manual = app.select(F.col("id").cast("string").alias("manual_id"), F.col("home_name").alias("home_manual"), F.col("away_name").alias("away_manual"), F.col("scheduled_at").alias("manual_at"))
     own = matches.select(F.col("source_fixture_id").cast("string").alias("external_id"), "iteration_id", "home_squad_id", "away_squad_id", "scheduled_at", "matchday_index", "matchday_name")
-    out = (
-        fixtures.join(primary_of(identities, PROVIDER, "fixture_id", "external_id"), "fixture_id", "left")
-        .join(primary_of(identities, MANUAL, "fixture_id", "manual_id"), "fixture_id", "left")
-        .join(own, "external_id", "left").join(manual, "manual_id", "left")
-        .join(season.select(F.col("season_id").alias("iteration_id"), "season_name", "competition_id", "competition_name", "competition_type"), "iteration_id", "left")
-        .join(side("home"), "home_squad_id", "left").join(side("away"), "away_squad_id", "left")
-    )
+    out = fixtures.join(primary_of(identities, PROVIDER, "fixture_id", "external_id"), "fixture_id", "left").join(primary_of(identities, MANUAL, "fixture_id", "manual_id"), "fixture_id", "left")
+    of_season = season.select(F.col("season_id").alias("iteration_id"), "season_name", "competition_id", "competition_name", "competition_type")
+    # most fixtures have but one of the two ids, and manual ones no season or squads
+    for known, key in ((own, "external_id"), (manual, "manual_id"), (of_season, "iteration_id"), (side("home"), "home_squad_id"), (side("away"), "away_squad_id")):
+        out = merge.looked_up(out, known, key, "fixture_id")
     home, away = F.coalesce("home_manual", "home_known"), F.coalesce("away_manual", "away_known")
     return out.select(
         "fixture_id", "external_id", "manual_id", F.coalesce("scheduled_at", "manual_at", F.col("fixture_date").cast("timestamp_ntz")).alias("scheduled_at"), "home_squad_id", "away_squad_id",

@@ -145,6 +145,18 @@ def test_queue_results_are_dealt_by_the_bytes_of_their_errors(spark, no_broadcas
     assert sum(held) == 250 * 4_000 and max(held) < 500_000
 
 
+def test_rows_without_a_key_are_dealt_out(spark, no_broadcasts, tmp_path):
+    spark.range(50).selectExpr("cast(id as int) as k", "id as v").write.parquet(str(tmp_path / "known"))
+    left = spark.range(4_000).selectExpr("id", "case when id % 10 = 0 then id % 60 end as k")
+    out = merge.looked_up(left, spark.read.parquet(str(tmp_path / "known")), "k", "id")
+    assert rows(out.select("id", "k", "v")) == rows(left.join(spark.read.parquet(str(tmp_path / "known")), "k", "left").select("id", "k", "v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert max(len(part) for part in out.rdd.glom().collect()) < 2_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_discovery(spark):
     edges = spark.createDataFrame([("t33", "f1"), ("t99", "f1"), ("t99", "f2"), ("t100", "f2"), ("t7", "f9"), (None, "f1")], "a string, b string")
     got = discovery.reachable(edges, spark.createDataFrame([("t33",), ("t33",)], "node string"))
