@@ -72,7 +72,7 @@ def model_bucketed_kpis(t):
     kpis = raw["player_kpis"]
     one = kpis.groupBy(*[c for c in kpis.columns if c not in ("value", "scheduledDate")]).agg(F.max("scheduledDate").alias("scheduledDate"), F.max("value").alias("value"))
     name = f"player_kpis_{uuid.uuid4().hex}"
-    buckets.write_bucketed(models.with_pair(one, "playerId", "matchId"), name, f"{base}/player_kpis", list(models.PAIR), 8)
+    buckets.write_bucketed(models.with_pair(one, "playerId", "matchId"), name, f"{base}/player_kpis", list(models.PAIR), buckets.enough(kpis.count()))
     plan = football(tables.Sources(f"{base}/raw").add(tables.Source("player_kpis", "", table=name)), f"{base}/models")
     del plan.checks["KPI players are known"]  # some aren't, and their rows stay away
     return plan.build(t.spark, ["player_fixture_kpis"])["player_fixture_kpis"].select("player_id", "fixture_id", "kpi_id", "squad_id", "season_id", "competition_id", "kpi_value")

@@ -81,3 +81,9 @@ def test_season_parts_replace_fixtures_that_come_again(spark, tmp_path):
     assert table.state().folders["2"] == kept
     whole = models.season_kpis(first)
     assert sorted(map(tuple, models.season_kpis_of(models.season_state(first)).select(*whole.columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_more_rows_make_more_buckets():
+    from fieldspark.sources import buckets
+
+    assert buckets.enough(5) == 8 and buckets.enough(216_000_000) == 216
