@@ -35,6 +35,13 @@ def table_states(t):
 _DAY = "2001-06-01"
 
 
+def _one_a_grain(kpis):
+    """The newest date and the largest value of each KPI, which line items repeat. Dates are compared as times: for texts Spark
+    sorts all rows on both sides of the shuffle."""
+    newest = F.max(F.col("scheduledDate").cast("timestamp_ntz")).cast("string")
+    return kpis.groupBy(*[c for c in kpis.columns if c not in ("value", "scheduledDate")]).agg(newest.alias("scheduledDate"), F.max("value").alias("value"))
+
+
 @query(_SEASONS + f""", k as (select l_suppkey, l_orderkey, l_linenumber, max(l_shipdate) as d, max(l_quantity)::double as q from lineitem group by all)
 select player_id, l_orderkey + 5000000 as fixture_id, l_linenumber::bigint as kpi_id, l_suppkey as squad_id, 'CB' as position_code, l_orderkey % 25 + 100 as season_id, s.competition_id, d::timestamp as scheduled_at,
 case when d::timestamp < timestamp '{_DAY}' and d::timestamp >= timestamp '{_DAY}' - interval 5 day then q + 1 else q end as kpi_value, case when d::timestamp >= timestamp '{_DAY}' - interval 5 day then 'late' end as note
@@ -46,7 +53,7 @@ def model_incremental_kpis(t):
     for s in ("player_identities", "player_overrides", "fixture_identities", "iterations"):
         raw[s].write.parquet(f"{base}/raw/{s}.parquet")
     kpis = raw["player_kpis"]
-    one = kpis.groupBy("playerId", "matchId", "iterationId", "squadId", "side", "position", "kpiId", "playDuration", "matchShare").agg(F.max("scheduledDate").alias("scheduledDate"), F.max("value").alias("value"))
+    one = sinks.written(_one_a_grain(kpis), "kpis")
     day = F.lit(_DAY).cast("timestamp_ntz")
     at = F.col("scheduledDate").cast("timestamp_ntz")
     late = (at < day) & (at >= day - F.make_dt_interval(F.lit(5)))
@@ -70,7 +77,7 @@ def model_bucketed_kpis(t):
     for s in ("player_identities", "player_overrides", "fixture_identities", "iterations"):
         raw[s].write.parquet(f"{base}/raw/{s}.parquet")
     kpis = raw["player_kpis"]
-    one = kpis.groupBy(*[c for c in kpis.columns if c not in ("value", "scheduledDate")]).agg(F.max("scheduledDate").alias("scheduledDate"), F.max("value").alias("value"))
+    one = _one_a_grain(kpis)
     name = f"player_kpis_{uuid.uuid4().hex}"
     buckets.write_bucketed(models.with_pair(one, "playerId", "matchId"), name, f"{base}/player_kpis", list(models.PAIR), buckets.enough(kpis.count()))
     plan = football(tables.Sources(f"{base}/raw").add(tables.Source("player_kpis", "", table=name)), f"{base}/models")

@@ -87,3 +87,12 @@ def test_more_rows_make_more_buckets():
     from fieldspark.sources import buckets
 
     assert buckets.enough(5) == 8 and buckets.enough(216_000_000) == 216
+
+
+def test_the_newest_date_of_a_kpi_is_hashed_not_sorted(spark):
+    from fieldspark.plans import kept
+
+    kpis = spark.sql("select * from values (1L, '1995-01-02 00:00:00', 2.0d), (1L, '1996-01-02 00:00:00', 1.0d), (2L, '1995-01-02 00:00:00', 3.0d) t(playerId, scheduledDate, value)").repartition(2)
+    one = kept._one_a_grain(kpis)
+    assert sorted(map(tuple, one.select("playerId", "scheduledDate", "value").collect())) == [(1, "1996-01-02 00:00:00", 2.0), (2, "1995-01-02 00:00:00", 3.0)]
+    assert "SortAggregate" not in one._jdf.queryExecution().executedPlan().toString()
