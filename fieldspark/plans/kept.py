@@ -188,7 +188,7 @@ select player_id, season_id, competition_id, kpi_id, sum(v)::double as season_to
 def season_states(t):
     """Season values kept as mergeable parts: three loads of new fixtures, the last with some calculated again."""
     kpis = t.lineitem.select(F.col("l_suppkey").alias("player_id"), (F.col("l_orderkey") % 5).alias("season_id"), (F.col("l_orderkey") % 3).alias("competition_id"), F.col("l_linenumber").cast("long").alias("kpi_id"), F.col("l_orderkey").alias("fixture_id"), F.col("l_quantity").cast("double").alias("kpi_value"), F.lit(60.0).alias("play_duration_seconds"))
-    table = VersionedTable(t.spark, f"{sinks.shared_dir(t.spark)}/seasons-{uuid.uuid4().hex}", F.col("season_id"))
+    table = VersionedTable(t.spark, f"{sinks.shared_dir(t.spark)}/seasons-{uuid.uuid4().hex}", F.col("season_id"), by_keys=True)
     table.replace(models.season_state(kpis.where("fixture_id % 4 = 0")))
     again = kpis.where("fixture_id % 20 = 1").withColumn("kpi_value", F.col("kpi_value") * 2)
     for part in (kpis.where("fixture_id % 4 in (1, 2)"), kpis.where("fixture_id % 4 = 3").unionByName(again)):

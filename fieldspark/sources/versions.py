@@ -66,10 +66,11 @@ def sliced(by: Column | None) -> Column:
 
 
 class VersionedTable:
-    """The table at ``path``; ``by`` cuts it into slices, by an expression of its columns that never changes."""
+    """The table at ``path``; ``by`` cuts it into slices, by an expression of its columns that never changes. ``by_keys`` says that
+    it is one of the keys of all upserts alone, which then needn't look for the slices of the rows they replace."""
 
-    def __init__(self, spark: SparkSession, path: str, by: Column | None = None):
-        self.spark, self.path, self.by = spark, path.rstrip("/"), by
+    def __init__(self, spark: SparkSession, path: str, by: Column | None = None, by_keys: bool = False):
+        self.spark, self.path, self.by, self.by_keys = spark, path.rstrip("/"), by, by_keys
         jvm = spark.sparkContext._jvm
         self._path_of, self._jvm = jvm.org.apache.hadoop.fs.Path, jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -159,11 +160,13 @@ class VersionedTable:
         changes = changes.select(*[_named(c).cast(known[c]).alias(c) if c in known else _named(c) for c in changes.columns])
         own = VersionedTable(self.spark, f"{self.path}/changes")  # read three times
         changes = own.of(State(_loose(changes.schema), own.written(changes)))
-        leaving = old.join(changes.select(*keys).distinct(), keys, "left_semi").select(sliced(self.by).alias(SLICE))
+        full = old.limit(0).unionByName(changes, allowMissingColumns=True)
+        leaving = full.select(sliced(self.by).alias(SLICE))
+        if not self.by_keys:  # else a row that is replaced is in the slice of the one that replaces it
+            leaving = leaving.union(old.join(changes.select(*keys).distinct(), keys, "left_semi").select(sliced(self.by).alias(SLICE)))
         if gone is not None:
             leaving = leaving.union(old.join(gone.select(*(by_keys or keys)).distinct(), by_keys or keys, "left_semi").select(sliced(self.by).alias(SLICE)))
-        full = old.limit(0).unionByName(changes, allowMissingColumns=True)
-        touched = {r[0] for r in leaving.union(full.select(sliced(self.by))).distinct().collect()}
+        touched = {r[0] for r in leaving.distinct().collect()}
         part = self.of(state, touched)
         if gone is not None:
             part = merge.delete_keys(part, gone, by_keys or keys)

@@ -83,10 +83,14 @@ def test_season_parts_replace_fixtures_that_come_again(spark, tmp_path):
     assert sorted(map(tuple, models.season_kpis_of(models.season_state(first)).select(*whole.columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
 
 
-def test_more_rows_make_more_buckets():
-    from fieldspark.sources import buckets
-
-    assert buckets.enough(5) == 8 and buckets.enough(216_000_000) == 216
+def test_season_parts_are_shuffled_once(spark):
+    kpis = spark.range(100).selectExpr("id % 3 as player_id", "id % 2 as season_id", "id % 4 as competition_id", "id % 5 as kpi_id", "id as fixture_id", "1.0d as kpi_value", "60.0d as play_duration_seconds")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = models.season_state(kpis)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_the_newest_date_of_a_kpi_is_hashed_not_sorted(spark):
@@ -96,3 +100,18 @@ def test_the_newest_date_of_a_kpi_is_hashed_not_sorted(spark):
     one = kept._one_a_grain(kpis)
     assert sorted(map(tuple, one.select("playerId", "scheduledDate", "value").collect())) == [(1, "1996-01-02 00:00:00", 2.0), (2, "1995-01-02 00:00:00", 3.0)]
     assert "SortAggregate" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_more_rows_make_more_buckets():
+    from fieldspark.sources import buckets
+
+    assert buckets.enough(5) == 8 and buckets.enough(216_000_000) == 216
+
+
+def test_a_table_cut_by_its_keys_finds_its_slices_in_the_changes(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), F.col("k") % 4, by_keys=True)
+    t.replace(spark.range(8).selectExpr("id as k", "0 as v"))
+    first = t.state()
+    t.upsert(spark.createDataFrame([(1, 5), (9, 6)], "k long, v int"), ["k"])
+    assert {s for s, f in t.state().folders.items() if f != first.folders[s]} == {"1"}
+    assert sorted(map(tuple, t.read().where("v > 0 or k = 5").collect())) == [(1, 5), (5, 0), (9, 6)]
